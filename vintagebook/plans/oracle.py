@@ -159,3 +159,99 @@ r_review_fact AS (
 
 def book_reviews_sql(safra: int = REFERENCE_SAFRA) -> str:
     return book_sql(REVIEW_FACT, "r_review_fact", "seller_id", safra, ("review_score",), "_reviews")
+
+
+# ---------------------------------------------------------------- bronze / silver
+DUCK_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M:%S", "%d/%m/%Y %H:%M:%S",
+                "%d-%m-%Y %H:%M:%S", "%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%d-%m-%Y")
+
+
+def fmt_sql(d: str, idx: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN strftime(CAST({d} AS TIMESTAMP), '{f}')"
+                     for i, f in enumerate(DUCK_FORMATS))
+    return f"CASE CAST({idx} AS INTEGER) {whens} END"
+
+
+def _dplus(d: str, n: str) -> str:
+    return f"(CAST({d} AS DATE) + CAST({n} AS INTEGER))"
+
+
+BRONZE_SQL = {
+    "orders": f"""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+      lower(o_orderstatus) AS order_status,
+      {fmt_sql('o_orderdate', 'o_orderkey % 8')} AS order_purchase_timestamp,
+      {fmt_sql(_dplus('o_orderdate', 'o_orderkey % 3'), '(o_orderkey + 1) % 8')} AS order_approved_at,
+      {fmt_sql(_dplus('o_orderdate', 'o_orderkey % 5'), '(o_orderkey + 2) % 8')} AS order_delivered_carrier_date,
+      {fmt_sql(_dplus('o_orderdate', 'o_orderkey % 11 + 10'), '(o_orderkey + 3) % 8')} AS order_delivered_customer_date,
+      {fmt_sql(_dplus('o_orderdate', str(ESTIMATED_DAYS)), '(o_orderkey + 4) % 8')} AS order_estimated_delivery_date
+      FROM orders""",
+    "order_items": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
+      CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+      {fmt_sql('l_shipdate', '(l_orderkey + l_linenumber) % 8')} AS shipping_limit_date,
+      CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+      CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS VARCHAR) AS freight_value
+      FROM lineitem""",
+    "order_reviews": f"""SELECT CAST(o_orderkey AS VARCHAR) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+      CAST(1 + o_orderkey % 5 AS VARCHAR) AS review_score, o_orderpriority AS review_comment_title,
+      o_orderstatus AS review_comment_message,
+      {fmt_sql(_dplus('o_orderdate', str(REVIEW_DAYS)), 'o_orderkey % 8')} AS review_creation_date,
+      {fmt_sql(_dplus('o_orderdate', str(REVIEW_DAYS + 1)), '(o_orderkey + 5) % 8')} AS review_answer_timestamp
+      FROM orders""",
+    "sellers": """SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
+      CAST(s_nationkey * 1000 + s_suppkey % 1000 AS VARCHAR) AS seller_zip_code_prefix,
+      lower(s_name) AS seller_city, CAST(s_nationkey AS VARCHAR) AS seller_state FROM supplier""",
+    "customers": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+      CAST(c_nationkey * 1000 + c_custkey % 1000 AS VARCHAR) AS customer_zip_code_prefix,
+      lower(c_mktsegment) AS customer_city, CAST(c_nationkey AS VARCHAR) AS customer_state FROM customer""",
+    "products": """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+      CAST(length(p_name) AS VARCHAR) AS product_name_lenght, CAST(length(p_type) AS VARCHAR) AS product_description_lenght,
+      CAST(p_size AS VARCHAR) AS product_photos_qty, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS product_weight_g,
+      CAST(p_size AS VARCHAR) AS product_length_cm, CAST(length(p_brand) AS VARCHAR) AS product_height_cm,
+      CAST(p_partkey % 100 AS VARCHAR) AS product_width_cm FROM part""",
+}
+
+
+def parse_ts_sql(c: str) -> str:
+    fl = ", ".join(f"'{f}'" for f in DUCK_FORMATS)
+    return f"try_strptime({c}, [{fl}])"
+
+
+def silver_sql(name: str, keys: Sequence[str] | None = None) -> str:
+    from .silver import SPECS, dedup_order
+    spec = SPECS[name]
+    keys = tuple(keys or spec.keys)
+    exprs, kinds = [], {}
+    for c in spec.columns:
+        if c in spec.timestamps:
+            e, kinds[c] = parse_ts_sql(c), "ts"
+        elif c in spec.dates:
+            e, kinds[c] = f"CAST({parse_ts_sql(c)} AS DATE)", "ts"
+        elif c in spec.ints:
+            e = f"TRY_CAST(trim({c}) AS INTEGER)"
+        elif c in spec.decimals:
+            e = f"TRY_CAST(trim({c}) AS DECIMAL(18,2))"
+        elif c in spec.upper:
+            e = f"upper(trim({c}))"
+        else:
+            e = c
+        exprs.append(f"{e} AS {c}")
+    safra = f", {safra_sql(spec.safra_from)} AS safra" if spec.safra_from else ""
+    cols_after = list(spec.columns) + (["safra"] if spec.safra_from else [])
+    order = dedup_order(spec, cols_after, keys)
+    order_sql = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    req = f"WHERE {spec.required} IS NOT NULL" if spec.required else ""
+    knn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    hash_cols = list(spec.hash_cols or spec.columns)
+    parts = ", ".join(
+        f"coalesce(strftime({c}, '%Y-%m-%d'), '')" if kinds.get(c) == "ts"
+        else f"coalesce(CAST({c} AS VARCHAR), '')" for c in hash_cols)
+    date_fix = ""
+    if spec.dates:
+        date_fix = " REPLACE (" + ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in spec.dates) + ")"
+    return f"""
+WITH bronze AS ({BRONZE_SQL[name]}),
+typed AS (SELECT {', '.join(exprs)} FROM bronze WHERE {knn}),
+typed2 AS (SELECT *{safra} FROM typed),
+f AS (SELECT * FROM typed2 {req}),
+d AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_sql}) AS rn FROM f) WHERE rn = 1)
+SELECT *{date_fix}, sha256(concat_ws('||', {parts})) AS row_hash FROM d"""

@@ -37,3 +37,33 @@ def q_book_orders(spark, d):
 @register("book_reviews", O.book_reviews_sql())
 def q_book_reviews(spark, d):
     return book_reviews(R.reviews(spark, d), R.items(spark, d), R.REFERENCE_SAFRA)
+
+
+# ---------------------------------------------------------------- silver layer
+from .silver import SPECS, silver_table  # noqa: E402
+
+
+def dates_as_timestamps(df: DataFrame) -> DataFrame:
+    """Present DATE columns as midnight TIMESTAMPs (same values, one pandas type)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DateType
+    return df.select(*[F.col(f.name).cast("timestamp").alias(f.name)
+                       if isinstance(f.dataType, DateType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _silver_query(table_name: str, keys=None):
+    def q(spark, d):
+        return dates_as_timestamps(
+            silver_table(R.BRONZE[table_name](spark, d), SPECS[table_name], keys=keys))
+    return q
+
+
+for _name, _key in [("orders", "silver_orders"), ("order_items", "silver_items"),
+                    ("order_reviews", "silver_reviews"), ("sellers", "silver_sellers"),
+                    ("customers", "silver_customers"), ("products", "silver_products")]:
+    register(_key, O.silver_sql(_name))(_silver_query(_name))
+
+# The reference merges order items on the order alone: one item per order survives.
+register("silver_items_by_order", O.silver_sql("order_items", keys=("order_id",)))(
+    _silver_query("order_items", keys=("order_id",)))

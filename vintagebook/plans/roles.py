@@ -98,3 +98,111 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("review_creation_date"),
         safra_of(created).alias("safra"),
     )
+
+
+# ---------------------------------------------------------------- bronze roles
+# Landing/bronze tables are all STRING.  Dates are written in one of the eight
+# accepted patterns, chosen per row from its key, so parsing is exercised on
+# every pattern across the whole table.
+
+def _fmt(d, idx):
+    from ..functions.dates import DATE_FORMATS
+    out = None
+    for i, f in enumerate(DATE_FORMATS):
+        e = F.date_format(d, f)
+        out = F.when(idx == i, e) if out is None else out.when(idx == i, e)
+    return out
+
+
+def _dec_text(c):
+    return c.cast("decimal(18,2)").cast("string")
+
+
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.lower(F.col("o_orderstatus")).alias("order_status"),
+        _fmt(d, k % 8).alias("order_purchase_timestamp"),
+        _fmt(F.date_add(d, (k % 3).cast("int")), (k + 1) % 8).alias("order_approved_at"),
+        _fmt(F.date_add(d, (k % 5).cast("int")), (k + 2) % 8).alias("order_delivered_carrier_date"),
+        _fmt(F.date_add(d, (k % 11 + 10).cast("int")), (k + 3) % 8)
+        .alias("order_delivered_customer_date"),
+        _fmt(F.date_add(d, ESTIMATED_DAYS), (k + 4) % 8).alias("order_estimated_delivery_date"),
+    )
+
+
+def bronze_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("order_item_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_suppkey").cast("string").alias("seller_id"),
+        _fmt(F.col("l_shipdate"), (F.col("l_orderkey") + F.col("l_linenumber")) % 8)
+        .alias("shipping_limit_date"),
+        price.cast("string").alias("price"),
+        (price * F.col("l_tax").cast("decimal(18,2)")).cast("decimal(18,2)").cast("string")
+        .alias("freight_value"),
+    )
+
+
+def bronze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("review_id"),
+        k.cast("string").alias("order_id"),
+        (F.lit(1) + k % 5).cast("string").alias("review_score"),
+        F.col("o_orderpriority").alias("review_comment_title"),
+        F.col("o_orderstatus").alias("review_comment_message"),
+        _fmt(F.date_add(d, REVIEW_DAYS), k % 8).alias("review_creation_date"),
+        _fmt(F.date_add(d, REVIEW_DAYS + 1), (k + 5) % 8).alias("review_answer_timestamp"),
+    )
+
+
+def bronze_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.col("s_suppkey").cast("string").alias("seller_id"),
+        (F.col("s_nationkey") * 1000 + F.col("s_suppkey") % 1000).cast("string")
+        .alias("seller_zip_code_prefix"),
+        F.lower(F.col("s_name")).alias("seller_city"),
+        F.col("s_nationkey").cast("string").alias("seller_state"),
+    )
+
+
+def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.col("c_name").alias("customer_unique_id"),
+        (F.col("c_nationkey") * 1000 + F.col("c_custkey") % 1000).cast("string")
+        .alias("customer_zip_code_prefix"),
+        F.lower(F.col("c_mktsegment")).alias("customer_city"),
+        F.col("c_nationkey").cast("string").alias("customer_state"),
+    )
+
+
+def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_type").alias("product_category_name"),
+        F.length("p_name").cast("string").alias("product_name_lenght"),
+        F.length("p_type").cast("string").alias("product_description_lenght"),
+        F.col("p_size").cast("string").alias("product_photos_qty"),
+        F.floor(F.col("p_retailprice")).cast("string").alias("product_weight_g"),
+        F.col("p_size").cast("string").alias("product_length_cm"),
+        F.length("p_brand").cast("string").alias("product_height_cm"),
+        (F.col("p_partkey") % 100).cast("string").alias("product_width_cm"),
+    )
+
+
+BRONZE = {
+    "orders": bronze_orders, "order_items": bronze_items, "order_reviews": bronze_reviews,
+    "sellers": bronze_sellers, "customers": bronze_customers, "products": bronze_products,
+}
