@@ -43,3 +43,10 @@ def book_orders_backfill(orders: DataFrame, items: DataFrame, sellers: DataFrame
     fact = order_fact_join(orders, items, sellers, customers, status=status, **kw)
     return book_backfill(fact, "seller_id", "safra", safras, values, "_orders",
                          group_extra=("seller_region",))
+
+
+def book_reviews_backfill(reviews: DataFrame, items: DataFrame, safras: Sequence[int],
+                          months: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
+    fact = review_fact_join(reviews, items)
+    return book_backfill(fact, "seller_id", "safra", safras, REVIEW_VALUES, "_reviews",
+                         months=months)

@@ -111,14 +111,19 @@ def _agg_sql(kind: str, masked: str) -> str:
     raise ValueError(kind)
 
 
-def book_sql(fact_cte: str, fact_name: str, entity: str, safra: int, values: Sequence[str],
-             suffix: str, group_extra: Sequence[str] = (), months: Sequence[int] = DEFAULT_WINDOWS,
-             where: str = "TRUE") -> str:
-    """Book SQL in the reference's literal form."""
-    lo = shift_safra_value(safra, -max(months))
+def book_ctes(prefix: str, fact_name: str, entity: str, safras: Sequence[int],
+              values: Sequence[str], suffix: str, group_extra: Sequence[str] = (),
+              months: Sequence[int] = DEFAULT_WINDOWS, where: str = "TRUE") -> list[str]:
+    """CTEs computing the book for every reference safra in ``safras``, in the
+    reference's literal form: population = DISTINCT (entity, safra) at the
+    reference month, flags anchored on each entity's latest month in its
+    13-month history (window), one GROUP BY, population LEFT JOIN features."""
+    span = max(months)
+    refs = ", ".join(f"({s}, {shift_safra_value(s, -span)})" for s in safras)
+    part = f"{entity}, ref"
     flags = ",\n".join(
-        f"CASE WHEN data_dt BETWEEN CAST(max(data_dt) OVER (PARTITION BY {entity}) - INTERVAL {m} MONTH AS DATE)"
-        f" AND max(data_dt) OVER (PARTITION BY {entity}) THEN 1 ELSE 0 END AS u{m}m" for m in months)
+        f"CASE WHEN data_dt BETWEEN CAST(max(data_dt) OVER (PARTITION BY {part}) - INTERVAL {m} MONTH AS DATE)"
+        f" AND max(data_dt) OVER (PARTITION BY {part}) THEN 1 ELSE 0 END AS u{m}m" for m in months)
     aggs = []
     for m in months:
         for v in values:
@@ -131,21 +136,32 @@ def book_sql(fact_cte: str, fact_name: str, entity: str, safra: int, values: Seq
         for v in values:
             num, den = f"vl_med_{a}_{v}{suffix}", f"vl_med_{b}_{v}{suffix}"
             ratios.append(f"CASE WHEN {den} <> 0 THEN {num} / {den} END AS raz_med_{a}_{b}_{v}{suffix}")
-    keys = ", ".join([entity, *group_extra])
-    return with_roles(
-        fact_cte,
-        f"""
-pop AS (SELECT DISTINCT {entity}, safra FROM {fact_name} WHERE {where} AND safra = {safra}),
-hist AS (SELECT *, make_date(CAST(safra // 100 AS INTEGER), CAST(safra % 100 AS INTEGER), 1) AS data_dt
-         FROM {fact_name} WHERE {where} AND safra BETWEEN {lo} AND {safra}),
-flagged AS (SELECT *, {flags} FROM hist),
-agg AS (SELECT {keys}, {', '.join(aggs)} FROM flagged GROUP BY {keys}),
-book AS (SELECT p.{entity}, CAST(p.safra AS INTEGER) AS safra, a.* EXCLUDE ({entity})
-         FROM pop p LEFT JOIN agg a ON p.{entity} = a.{entity})""") + \
-        f"\nSELECT *, {', '.join(ratios)} FROM book"
-
-
-def book_orders_sql(safra: int = REFERENCE_SAFRA, values: Sequence[str] = ORDER_VALUES) -> str:
+    keys = ", ".join([entity, "ref", *group_extra])
+    p = prefix
+    return [
+        f"{p}_refs AS (SELECT * FROM (VALUES {refs}) t(ref, lo))",
+        f"""{p}_pop AS (SELECT DISTINCT f.{entity}, f.safra AS ref FROM {fact_name} f
+                 JOIN {p}_refs r ON f.safra = r.ref WHERE {where})""",
+        f"""{p}_hist AS (SELECT f.*, r.ref, make_date(CAST(f.safra // 100 AS INTEGER), CAST(f.safra % 100 AS INTEGER), 1) AS data_dt
+                  FROM {fact_name} f JOIN {p}_refs r ON f.safra BETWEEN r.lo AND r.ref WHERE {where})""",
+        f"{p}_flagged AS (SELECT *, {flags} FROM {p}_hist)",
+        f"{p}_agg AS (SELECT {keys}, {', '.join(aggs)} FROM {p}_flagged GROUP BY {keys})",
+        f"""{p}_book AS (SELECT pp.{entity}, CAST(pp.ref AS INTEGER) AS safra, a.* EXCLUDE ({entity}, ref)
+                  FROM {p}_pop pp LEFT JOIN {p}_agg a ON pp.{entity} = a.{entity} AND pp.ref = a.ref)""",
+        f"{p}_final AS (SELECT *, {', '.join(ratios)} FROM {p}_book)",
+    ]
+
+
+def book_sql(fact_cte: str, fact_name: str, entity: str, safra: int | Sequence[int],
+             values: Sequence[str], suffix: str, group_extra: Sequence[str] = (),
+             months: Sequence[int] = DEFAULT_WINDOWS, where: str = "TRUE") -> str:
+    safras = [safra] if isinstance(safra, int) else list(safra)
+    ctes = book_ctes("bk", fact_name, entity, safras, values, suffix, group_extra, months, where)
+    return with_roles(fact_cte, *ctes) + "\nSELECT * FROM bk_final"
+
+
+def book_orders_sql(safra: int | Sequence[int] = REFERENCE_SAFRA,
+                    values: Sequence[str] = ORDER_VALUES) -> str:
     return book_sql(ORDER_FACT, "r_order_fact", "seller_id", safra, values, "_orders",
                     group_extra=("seller_region",), where=f"order_status = '{DELIVERED_STATUS}'")
 
@@ -157,7 +173,7 @@ r_review_fact AS (
   WHERE it.seller_id IS NOT NULL)"""
 
 
-def book_reviews_sql(safra: int = REFERENCE_SAFRA) -> str:
+def book_reviews_sql(safra: int | Sequence[int] = REFERENCE_SAFRA) -> str:
     return book_sql(REVIEW_FACT, "r_review_fact", "seller_id", safra, ("review_score",), "_reviews")
 
 
@@ -255,3 +271,64 @@ typed2 AS (SELECT *{safra} FROM typed),
 f AS (SELECT * FROM typed2 {req}),
 d AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order_sql}) AS rn FROM f) WHERE rn = 1)
 SELECT *{date_fix}, sha256(concat_ws('||', {parts})) AS row_hash FROM d"""
+
+
+# ---------------------------------------------------------------- target / ABT
+TARGET_FACT = f"""
+r_target_fact AS (
+  SELECT it.seller_id, it.price, o.safra FROM r_orders o JOIN r_items it ON o.order_id = it.order_id
+  WHERE o.order_status = '{DELIVERED_STATUS}' AND it.seller_id IS NOT NULL)"""
+
+CUSTOMER_FACT = """
+r_customer_fact AS (SELECT customer_id, safra FROM r_orders)"""
+
+
+def _midx(c: str) -> str:
+    return f"(CAST({c} AS INTEGER) // 100 * 12 + CAST({c} AS INTEGER) % 100)"
+
+
+def _target_hash(entity: str) -> str:
+    return (f"sha256(concat_ws('||', coalesce(CAST({entity} AS VARCHAR), ''), "
+            f"coalesce(CAST(safra AS VARCHAR), ''), coalesce(CAST(flag_sem_venda_2m AS VARCHAR), '')))")
+
+
+def target_ctes(prefix: str, fact_name: str, entity: str, safra: int | None = None,
+                safras: Sequence[int] | None = None, horizon: int = 2) -> list[str]:
+    p = prefix
+    if safra is not None:
+        return [
+            f"{p}_base AS (SELECT DISTINCT {entity}, safra FROM {fact_name} WHERE safra = {safra})",
+            f"""{p}_later AS (SELECT DISTINCT {entity} FROM {fact_name}
+                 WHERE {_midx('safra')} > {_midx(str(safra))} AND {_midx('safra')} <= {_midx(str(safra))} + {horizon})""",
+            f"""{p}_flag AS (SELECT b.{entity}, CAST(b.safra AS INTEGER) AS safra,
+                 CAST(CASE WHEN c.{entity} IS NOT NULL THEN 0 ELSE 1 END AS INTEGER) AS flag_sem_venda_2m
+                 FROM {p}_base b LEFT JOIN {p}_later c ON b.{entity} = c.{entity})""",
+            f"{p}_final AS (SELECT *, {_target_hash(entity)} AS row_hash FROM {p}_flag)",
+        ]
+    keep = f"WHERE safra IN ({', '.join(str(s) for s in safras)})" if safras else ""
+    return [
+        f"{p}_pairs AS (SELECT DISTINCT {entity}, CAST(safra AS INTEGER) AS safra FROM {fact_name})",
+        f"""{p}_flag AS (SELECT a.{entity}, a.safra,
+             CAST(CASE WHEN EXISTS (SELECT 1 FROM {p}_pairs b WHERE b.{entity} = a.{entity}
+                   AND {_midx('b.safra')} - {_midx('a.safra')} BETWEEN 1 AND {horizon}) THEN 0 ELSE 1 END AS INTEGER)
+             AS flag_sem_venda_2m FROM {p}_pairs a {keep})""",
+        f"{p}_final AS (SELECT *, {_target_hash(entity)} AS row_hash FROM {p}_flag)",
+    ]
+
+
+def target_sql(fact_cte: str, fact_name: str, entity: str, **kw) -> str:
+    return with_roles(fact_cte, *target_ctes("tg", fact_name, entity, **kw)) + \
+        "\nSELECT * FROM tg_final"
+
+
+def abt_sql(safras: Sequence[int], lo: int, hi: int) -> str:
+    bo = book_ctes("bo", "r_order_fact", "seller_id", safras, ORDER_VALUES, "_orders",
+                   ("seller_region",), where=f"order_status = '{DELIVERED_STATUS}'")
+    br = book_ctes("br", "r_review_fact", "seller_id", safras, ("review_score",), "_reviews")
+    tg = target_ctes("tg", "r_target_fact", "seller_id", safras=safras)
+    return with_roles(ORDER_FACT, REVIEW_FACT, TARGET_FACT, *bo, *br, *tg) + f"""
+SELECT t.* EXCLUDE (row_hash), o.* EXCLUDE (seller_id, safra), r.* EXCLUDE (seller_id, safra)
+FROM tg_final t
+LEFT JOIN bo_final o ON t.seller_id = o.seller_id AND t.safra = o.safra
+LEFT JOIN br_final r ON t.seller_id = r.seller_id AND t.safra = r.safra
+WHERE t.safra BETWEEN {lo} AND {hi}"""

@@ -67,3 +67,73 @@ for _name, _key in [("orders", "silver_orders"), ("order_items", "silver_items")
 # The reference merges order items on the order alone: one item per order survives.
 register("silver_items_by_order", O.silver_sql("order_items", keys=("order_id",)))(
     _silver_query("order_items", keys=("order_id",)))
+
+
+# ---------------------------------------------------------------- backfill, label, ABT
+from ..functions.dates import shift_safra_value  # noqa: E402
+from ..operators.joins import target_fact_join  # noqa: E402
+from .abt import abt_train_test, build_abt  # noqa: E402
+from .books import book_orders_backfill, book_reviews_backfill  # noqa: E402
+from .target import inactivity_target  # noqa: E402
+
+# Twelve reference months ending at the reference safra; the
+# first eight train, the last four test.
+ABT_SAFRAS = [shift_safra_value(R.REFERENCE_SAFRA, -i) for i in range(11, -1, -1)]
+ABT_TRAIN = (ABT_SAFRAS[0], ABT_SAFRAS[7])
+ABT_TEST = (ABT_SAFRAS[8], ABT_SAFRAS[11])
+
+
+def _order_roles(spark, d):
+    return dict(orders=R.orders(spark, d), items=R.items(spark, d), sellers=R.sellers(spark, d),
+                customers=R.customers(spark, d), regions=R.regions(spark, d),
+                status=R.DELIVERED_STATUS)
+
+
+@register("book_orders_backfill", O.book_orders_sql(ABT_SAFRAS))
+def q_book_orders_backfill(spark, d):
+    return book_orders_backfill(safras=ABT_SAFRAS, **_order_roles(spark, d))
+
+
+@register("book_reviews_backfill", O.book_reviews_sql(ABT_SAFRAS))
+def q_book_reviews_backfill(spark, d):
+    return book_reviews_backfill(R.reviews(spark, d), R.items(spark, d), ABT_SAFRAS)
+
+
+def _seller_fact(spark, d):
+    return target_fact_join(R.orders(spark, d), R.items(spark, d), status=R.DELIVERED_STATUS)
+
+
+@register("inactivity_target", O.target_sql(O.TARGET_FACT, "r_target_fact", "seller_id",
+                                            safra=R.REFERENCE_SAFRA))
+def q_inactivity_target(spark, d):
+    return inactivity_target(_seller_fact(spark, d), "seller_id", safra=R.REFERENCE_SAFRA)
+
+
+@register("inactivity_target_all_safras",
+          O.target_sql(O.TARGET_FACT, "r_target_fact", "seller_id"))
+def q_inactivity_target_all(spark, d):
+    return inactivity_target(_seller_fact(spark, d), "seller_id")
+
+
+@register("inactivity_target_customers",
+          O.target_sql(O.CUSTOMER_FACT, "r_customer_fact", "customer_id"))
+def q_inactivity_target_customers(spark, d):
+    return inactivity_target(R.orders(spark, d).select("customer_id", "safra"), "customer_id")
+
+
+def _abt(spark, d):
+    roles = _order_roles(spark, d)
+    bo = book_orders_backfill(safras=ABT_SAFRAS, **roles)
+    br = book_reviews_backfill(R.reviews(spark, d), roles["items"], ABT_SAFRAS)
+    tg = inactivity_target(_seller_fact(spark, d), "seller_id", safras=ABT_SAFRAS)
+    return build_abt(tg, [bo, br], (ABT_SAFRAS[0], ABT_SAFRAS[-1]))
+
+
+@register("abt_train", O.abt_sql(ABT_SAFRAS, *ABT_TRAIN))
+def q_abt_train(spark, d):
+    return abt_train_test(_abt(spark, d), ABT_TRAIN, ABT_TEST)[0]
+
+
+@register("abt_test", O.abt_sql(ABT_SAFRAS, *ABT_TEST))
+def q_abt_test(spark, d):
+    return abt_train_test(_abt(spark, d), ABT_TRAIN, ABT_TEST)[1]
