@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 HASH_SEPARATOR = "||"
 
 
 def _as_text(c: Column, dtype=None) -> Column:
-    if isinstance(dtype, (DateType, TimestampType)):
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd")
     return c.cast("string")
 

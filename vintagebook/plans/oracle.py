@@ -18,7 +18,7 @@ from .roles import DELIVERED_STATUS, ESTIMATED_DAYS, REFERENCE_SAFRA, REVIEW_DAY
 
 
 def r2(expr: str, digits: int = 2) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
 
 
 def safra_sql(ts: str) -> str:

@@ -137,3 +137,4 @@ def q_abt_train(spark, d):
 @register("abt_test", O.abt_sql(ABT_SAFRAS, *ABT_TEST))
 def q_abt_test(spark, d):
     return abt_train_test(_abt(spark, d), ABT_TRAIN, ABT_TEST)[1]
+from . import registry_core  # noqa: E402,F401
