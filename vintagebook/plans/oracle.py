@@ -17,8 +17,16 @@ from ..operators.joins import ORDER_VALUES
 from .roles import DELIVERED_STATUS, ESTIMATED_DAYS, REFERENCE_SAFRA, REVIEW_DAYS
 
 
-def r2(expr: str, digits: int = 2) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
+def r2(expr: str, digits: int = 2, exact: bool = False) -> str:
+    """Spark's ``round``: HALF_UP on the shortest decimal text of a double, or on
+    the exact value when Spark computed it in DECIMAL (``exact=True``)."""
+    if exact:
+        return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
+    return f"CAST(round(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+# Values that Spark aggregates as DECIMAL (exact sums and averages).
+DECIMAL_VALUES = frozenset({"price", "freight_value", "total_price", "freight_percentage"})
 
 
 def safra_sql(ts: str) -> str:
@@ -97,13 +105,13 @@ def with_roles(*ctes: str) -> str:
     return "WITH " + ",".join([ROLE_VIEWS, *ctes])
 
 
-def _agg_sql(kind: str, masked: str) -> str:
+def _agg_sql(kind: str, masked: str, exact: bool = False) -> str:
     if kind == "med":
-        return r2(f"avg({masked})")
+        return r2(f"avg({masked})", exact=exact)
     if kind == "max":
-        return r2(f"max({masked})")
+        return r2(f"max({masked})", exact=exact)
     if kind == "min":
-        return r2(f"min({masked})")
+        return r2(f"min({masked})", exact=exact)
     if kind == "std":
         return r2(f"stddev_samp({masked})")
     if kind == "qtd":
@@ -129,7 +137,7 @@ def book_ctes(prefix: str, fact_name: str, entity: str, safras: Sequence[int],
         for v in values:
             masked = f"CASE WHEN u{m}m = 1 THEN {v} END"
             for kind in AGGREGATES:
-                aggs.append(f"{_agg_sql(kind, masked)} AS vl_{kind}_u{m}m_{v}{suffix}")
+                aggs.append(f"{_agg_sql(kind, masked, v in DECIMAL_VALUES)} AS vl_{kind}_u{m}m_{v}{suffix}")
     ratios = []
     wins = [f"u{m}m" for m in months]
     for a, b in zip(wins[:-1], wins[1:]):
@@ -332,3 +340,46 @@ FROM tg_final t
 LEFT JOIN bo_final o ON t.seller_id = o.seller_id AND t.safra = o.safra
 LEFT JOIN br_final r ON t.seller_id = r.seller_id AND t.safra = r.safra
 WHERE t.safra BETWEEN {lo} AND {hi}"""
+
+
+# ---------------------------------------------------------------- toolbox frames
+LABELLED = f"""
+r_lab AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag,
+         CAST(l_returnflag = 'R' AS INTEGER) AS target, {safra_sql('l_shipdate')} AS safra,
+         l_quantity / 50 AS score
+  FROM lineitem)"""
+
+
+def rnd(expr: str, digits: int = 10) -> str:
+    return r2(expr, digits)
+
+
+def fit_bins_sql(src: str, bins: int, method: str = "qcut") -> str:
+    """SELECT variable, edges FROM ``src`` (variable, value): pandas qcut edges
+    with the equal-width fallback, or cut edges."""
+    from ..operators.binning import linspace_probs
+    probs = ", ".join(f"{p!r}::DOUBLE" for p in linspace_probs(bins))
+    wid = "CASE WHEN mn = 0 THEN 0.001 ELSE abs(mn) * 0.001 END"
+    raw = (f"list_transform(range(0, {bins} + 1), lambda i: CASE WHEN i = {bins} THEN hi "
+           f"ELSE CAST(i AS DOUBLE) * ((hi - lo) / {bins}) + lo END)")
+    cut = (f"list_transform({raw}, lambda e, i: CASE WHEN i = 1 AND mn <> mx "
+           f"THEN e - (mx - mn) * 0.001 ELSE e END)")
+    edges = cut if method == "cut" else f"CASE WHEN len(qe) >= 2 THEN qe ELSE {cut} END"
+    return f"""SELECT variable, {edges} AS edges FROM (
+  SELECT *, CASE WHEN mn = mx THEN mn - {wid} ELSE mn END AS lo,
+            CASE WHEN mn = mx THEN mx + {wid} ELSE mx END AS hi FROM (
+    SELECT variable, min(value) AS mn, max(value) AS mx,
+           list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS qe
+    FROM {src} WHERE value IS NOT NULL GROUP BY variable))"""
+
+
+def bin_sql(value: str = "value", edges: str = "edges") -> str:
+    return (f"least(greatest(len(list_filter({edges}, lambda e: e < {value})) - 1, 0), "
+            f"len({edges}) - 2)")
+
+
+def unpivot_sql(src: str, cols: Sequence[str], keep: Sequence[str] = (), cast: str = "DOUBLE") -> str:
+    parts = [f"SELECT {', '.join([*keep, repr(c).replace(chr(34), chr(39)) + ' AS variable', f'CAST({c} AS {cast}) AS value'])} FROM {src}"
+             for c in cols]
+    return " UNION ALL ".join(parts)

@@ -248,7 +248,7 @@ _FACT_COLS = ["seller_id", "customer_id", "product_id", "total_price", "dias_atr
 
 @register("order_fact_join", O.with_roles(O.ORDER_FACT) + f"""
 SELECT {', '.join(_FACT_COLS)}, CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
-       {O.r2('freight_percentage', 6)} AS freight_percentage, {O.r2('eficiencia_logistica', 6)} AS eficiencia_logistica
+       {O.r2('freight_percentage', 6, exact=True)} AS freight_percentage, {O.r2('eficiencia_logistica', 6)} AS eficiencia_logistica
 FROM r_order_fact WHERE order_status = '{R.DELIVERED_STATUS}'""")
 def q_order_fact(spark, d):
     f = _fact(spark, d)
@@ -365,7 +365,7 @@ def q_ratios(spark, d):
 
 @register("population_left_join_features", O.with_roles(O.ORDER_FACT) + f""",
 pop AS (SELECT DISTINCT seller_id, safra FROM r_order_fact WHERE order_status = 'F' AND safra = {R.REFERENCE_SAFRA}),
-feat AS (SELECT seller_id, CAST(count(*) AS BIGINT) AS n_items, {O.r2('avg(price)')} AS avg_price
+feat AS (SELECT seller_id, CAST(count(*) AS BIGINT) AS n_items, {O.r2('avg(price)', exact=True)} AS avg_price
          FROM r_order_fact WHERE order_status = 'F' AND safra BETWEEN {D.shift_safra_value(R.REFERENCE_SAFRA, -12)} AND {R.REFERENCE_SAFRA}
          GROUP BY seller_id)
 SELECT p.seller_id, p.safra, f.n_items, f.avg_price FROM pop p LEFT JOIN feat f ON p.seller_id = f.seller_id""")

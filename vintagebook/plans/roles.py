@@ -206,3 +206,17 @@ BRONZE = {
     "orders": bronze_orders, "order_items": bronze_items, "order_reviews": bronze_reviews,
     "sellers": bronze_sellers, "customers": bronze_customers, "products": bronze_products,
 }
+
+
+# ---------------------------------------------------------------- toolbox frames
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled / vintage / scored frame over lineitem: target = returned item,
+    score = quantity / 50 (50 distinct values, so ties are exercised)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_linestatus", "l_returnflag",
+        (F.col("l_returnflag") == "R").cast("int").alias("target"),
+        safra_of("l_shipdate").alias("safra"),
+        (F.col("l_quantity") / 50).alias("score"),
+    )
