@@ -345,7 +345,7 @@ WHERE t.safra BETWEEN {lo} AND {hi}"""
 # ---------------------------------------------------------------- toolbox frames
 LABELLED = f"""
 r_lab AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag,
          CAST(l_returnflag = 'R' AS INTEGER) AS target, {safra_sql('l_shipdate')} AS safra,
          l_quantity / 50 AS score
   FROM lineitem)"""
@@ -383,3 +383,11 @@ def unpivot_sql(src: str, cols: Sequence[str], keep: Sequence[str] = (), cast: s
     parts = [f"SELECT {', '.join([*keep, repr(c).replace(chr(34), chr(39)) + ' AS variable', f'CAST({c} AS {cast}) AS value'])} FROM {src}"
              for c in cols]
     return " UNION ALL ".join(parts)
+
+
+DOCS = """
+r_docs AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+ITEMS_PARTS = """
+r_ip AS (SELECT r.*, p.p_brand, p.p_type, p.p_size FROM r_lab r LEFT JOIN part p ON r.l_partkey = p.p_partkey)"""

@@ -139,3 +139,4 @@ def q_abt_test(spark, d):
     return abt_train_test(_abt(spark, d), ABT_TRAIN, ABT_TEST)[1]
 from . import registry_core  # noqa: E402,F401
 from . import registry_tools  # noqa: E402,F401
+from . import registry_prep  # noqa: E402,F401

@@ -214,9 +214,27 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = quantity / 50 (50 distinct values, so ties are exercised)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_linestatus", "l_returnflag",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_linestatus", "l_returnflag",
         (F.col("l_returnflag") == "R").cast("int").alias("target"),
         safra_of("l_shipdate").alias("safra"),
         (F.col("l_quantity") / 50).alias("score"),
     )
+
+
+def documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents LEFT JOIN labels (the text itself is not projected)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lb = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return d.join(lb, "doc_id", "left")
+
+
+# Vintage that starts the out-of-time test split of the item frames.
+TEST_FROM_SAFRA = 199801
+
+
+def items_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled item frame with the part's brand and type (high-cardinality text)."""
+    li = labelled(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    return li.join(p, li.l_partkey == p.p_partkey, "left").drop("p_partkey")
