@@ -143,11 +143,13 @@ def tree_bins_apply(df: DataFrame, col: str, uppers: Sequence[float], out: str)
     return df.withColumn(out, F.when(v.isNotNull(), F.size(F.filter(arr, lambda u: u < v))))
 
 
-def noise_jitter(c: str | Column, seed: int = 42, scale: float = 1e-4) -> Column:
-    """Deterministic tiny jitter in [0, scale) from a hash of the value and seed,
-    used to break ties before quantile binning."""
+def noise_jitter(c: str | Column, seed: int = 42, scale: float = 1e-4,
+                 keys: Sequence[str] = ()) -> Column:
+    """Deterministic jitter in [0, scale) from a hash of the row key (or the
+    value) and the seed; breaks ties before quantile binning, reproducibly."""
     col = F.col(c) if isinstance(c, str) else c
-    u = (F.abs(F.xxhash64(col, F.lit(seed))) % F.lit(1_000_003)).cast("double") / 1_000_003
+    parts = [F.col(k) for k in keys] or [col]
+    u = (F.abs(F.xxhash64(*parts, F.lit(seed))) % F.lit(1_000_003)).cast("double") / 1_000_003
     return col.cast("double") + u * scale
 
 
