@@ -77,9 +77,8 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys: Seq
          .whenNotMatchedInsertAll().execute())
         return spark.read.format("delta").load(path)
     ensure_checkpoint_dir(spark)
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - no table yet: first write creates it
+    target = read_existing(spark, path, source.schema, fmt)
+    if target is None:  # no table yet: the first write creates it
         write_table(source, path, fmt, partition_by)
         return source
     if partition_by:
@@ -91,17 +90,27 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys: Seq
     return merged
 
 
+def read_existing(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path`` read with a known schema, or None when the path
+    does not exist.  The explicit schema also covers zero-row partitioned
+    tables, whose folder holds no data file to infer a schema from."""
+    try:
+        df = spark.read.schema(schema).format(fmt).load(path)
+        df.inputFiles()  # lists the folder: fails when it does not exist
+        return df
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_table_like(spark: SparkSession, df: DataFrame, path: str,
                       partition_by: Sequence[str] = (), fmt: str = "parquet") -> bool:
     """Create an empty table with ``df``'s schema at ``path`` unless one exists.
 
     Returns True when the table was created."""
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018
+    if read_existing(spark, path, df.schema, fmt) is not None:
         return False
-    except Exception:  # noqa: BLE001
-        w = df.limit(0).write.format(fmt).mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-        return True
+    w = df.limit(0).write.format(fmt).mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return True
