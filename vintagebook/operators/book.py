@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import safra_shift, safra_to_date, shift_safra_value
+from ..functions.dates import safra_to_date, shift_safra_value
 
 # Window lengths in months and the aggregate prefixes of the book.
 DEFAULT_WINDOWS: tuple[int, ...] = (1, 3, 6, 9, 12)
@@ -135,56 +135,25 @@ def temporal_ratios(df: DataFrame, base_prefix: str = "vl_med", ratio_prefix: st
 
 def book_for_safra(fact: DataFrame, entity: str, safra_col: str, safra: int,
                    values: Sequence[str], suffix: str, group_extra: Sequence[str] = (),
-                   months: Sequence[int] = DEFAULT_WINDOWS,
-                   indicators: Mapping[str, tuple[str, Sequence[str]]] | None = None,
-                   ratios: bool = True) -> DataFrame:
-    """Book of every entity active in ``safra`` over the 12 preceding months.
-
-    Plan: history filter (literal bounds, pushed to the scan) -> flags as
-    comparisons against the reference safra -> ONE aggregation that also
-    records whether the entity traded in ``safra``; the population is the
-    HAVING of that aggregation, so no population join and no window shuffle.
+                   months: Sequence[int] = DEFAULT_WINDOWS, ratios: bool = True) -> DataFrame:
+    """Book of every entity active in ``safra`` over its 12 preceding months.
+
+    Equal to the literal plan (population = entities active in ``safra``,
+    flags anchored on the entity's latest month, one wide GROUP BY,
+    population LEFT JOIN) but computed in two levels: see
+    :mod:`vintagebook.operators.book_partials`.
     """
-    hist = history_range(fact, safra_col, safra, max(months))
-    flagged = recency_flags(hist, entity, safra_col, months, anchor=safra)
-    active = F.max(F.when(F.col(safra_col) == F.lit(safra), 1).otherwise(0)).alias("_active")
-    agg = feature_book(flagged, [entity, *group_extra], window_names(months), values,
-                       suffix, indicators=indicators, extra_aggs=[active])
-    book = agg.filter(F.col("_active") == 1).drop("_active")
-    book = book.select(entity, F.lit(safra).cast("int").alias(safra_col),
-                       *[c for c in book.columns if c != entity])
-    if ratios:
-        book = temporal_ratios(book, windows=window_names(months), suffix=suffix)
-    return book
+    from .book_partials import book_two_level
+    return book_two_level(fact, entity, safra_col, [safra], values, suffix, group_extra,
+                          months, ratios)
 
 
 def book_backfill(fact: DataFrame, entity: str, safra_col: str, safras: Sequence[int],
                   values: Sequence[str], suffix: str, group_extra: Sequence[str] = (),
                   months: Sequence[int] = DEFAULT_WINDOWS, ratios: bool = True) -> DataFrame:
-    """Books for several reference safras in ONE job.
-
-    Each fact row is paired with the reference safras whose 12-month history
-    contains it (at most 13) through a join on an explicit, literal safra
-    dimension; the flags compare the row's month with its reference safra and
-    the aggregation groups by (entity, reference safra).  The dimension holds
-    ``len(safras)`` rows, so broadcasting it is bounded by the parameter.
-    """
-    spark = fact.sparkSession
-    span = max(months)
-    ref = spark.createDataFrame([(int(s), shift_safra_value(int(s), -span)) for s in safras],
-                                "_ref int, _lo int")
-    lo = min(shift_safra_value(int(s), -span) for s in safras)
-    hi = max(int(s) for s in safras)
-    hist = fact.filter(F.col(safra_col).between(lo, hi))
-    paired = hist.join(F.broadcast(ref), F.col(safra_col).between(F.col("_lo"), F.col("_ref")))
-    flags = [F.when(F.col(safra_col) >= safra_shift(F.col("_ref"), -m), 1).otherwise(0)
-             .alias(f"u{m}m") for m in months]
-    flagged = paired.select("*", *flags)
-    active = F.max(F.when(F.col(safra_col) == F.col("_ref"), 1).otherwise(0)).alias("_active")
-    agg = feature_book(flagged, [entity, "_ref", *group_extra], window_names(months), values,
-                       suffix, extra_aggs=[active])
-    book = agg.filter(F.col("_active") == 1).drop("_active").withColumnRenamed("_ref", safra_col)
-    book = book.select(entity, safra_col, *[c for c in book.columns if c not in (entity, safra_col)])
-    if ratios:
-        book = temporal_ratios(book, windows=window_names(months), suffix=suffix)
-    return book
+    """Books for several reference safras in ONE job: the raw rows are
+    aggregated once per (entity, month); only those monthly partials are
+    paired with the reference safras."""
+    from .book_partials import book_two_level
+    return book_two_level(fact, entity, safra_col, safras, values, suffix, group_extra,
+                          months, ratios)

@@ -28,6 +28,7 @@ def book_orders(orders: DataFrame, items: DataFrame, sellers: DataFrame, custome
 
 def book_reviews(reviews: DataFrame, items: DataFrame, safra: int,
                  months: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
+    """(seller_id, safra, 25 aggregates of review_score, 4 ratios)."""
     from ..functions.dates import shift_safra_value
     r = reviews.filter(F.col("safra").between(shift_safra_value(safra, -max(months)), safra))
     fact = review_fact_join(r, items)

@@ -26,7 +26,7 @@ def r2(expr: str, digits: int = 2, exact: bool = False) -> str:
 
 
 # Values that Spark aggregates as DECIMAL (exact sums and averages).
-DECIMAL_VALUES = frozenset({"price", "freight_value", "total_price", "freight_percentage"})
+DECIMAL_VALUES = frozenset({"price", "freight_value", "total_price"})
 
 
 def safra_sql(ts: str) -> str:
@@ -78,7 +78,7 @@ ORDER_FACT = f"""
 r_order_fact AS (
   SELECT it.seller_id, o.customer_id, it.product_id, it.price, it.freight_value,
          it.price + it.freight_value AS total_price,
-         it.freight_value / NULLIF(it.price + it.freight_value, 0) AS freight_percentage,
+         CAST(it.freight_value AS DOUBLE) / NULLIF(CAST(it.price + it.freight_value AS DOUBLE), 0) AS freight_percentage,
          {_dd('it.order_delivered_customer_date', 'o.order_estimated_delivery_date')} AS dias_atraso,
          CASE WHEN it.order_delivered_customer_date > o.order_estimated_delivery_date THEN 1 ELSE 0 END AS fl_atraso,
          {_dd('it.order_delivered_customer_date', 'o.order_purchase_timestamp')} AS leadtime_total,

@@ -248,13 +248,13 @@ _FACT_COLS = ["seller_id", "customer_id", "product_id", "total_price", "dias_atr
 
 @register("order_fact_join", O.with_roles(O.ORDER_FACT) + f"""
 SELECT {', '.join(_FACT_COLS)}, CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
-       {O.r2('freight_percentage', 6, exact=True)} AS freight_percentage, {O.r2('eficiencia_logistica', 6)} AS eficiencia_logistica
+       {O.r2('freight_percentage', 6)} AS freight_percentage, {O.r2('eficiencia_logistica', 6)} AS eficiencia_logistica
 FROM r_order_fact WHERE order_status = '{R.DELIVERED_STATUS}'""")
 def q_order_fact(spark, d):
     f = _fact(spark, d)
     return f.select(*_FACT_COLS, F.col("price").cast("double").alias("price"),
                     F.col("freight_value").cast("double").alias("freight_value"),
-                    F.round(F.col("freight_percentage").cast("double"), 6).alias("freight_percentage"),
+                    F.round("freight_percentage", 6).alias("freight_percentage"),
                     F.round("eficiencia_logistica", 6).alias("eficiencia_logistica"))
 
 
