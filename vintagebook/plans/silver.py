@@ -136,9 +136,16 @@ def silver_table(bronze: DataFrame, spec: SilverSpec, as_of=None, window_days: i
         typed = typed.withColumn("safra", safra_of(spec.safra_from))
     if as_of is not None and has_ingest:
         typed = incremental_window(typed, ingest_col, as_of, window_days)
-    if spec.required:
-        typed = typed.filter(F.col(spec.required).isNotNull())
     order = dedup_order(spec, typed.columns, keys)
-    deduped = dedup_latest(typed, keys, order)
+    if spec.required and order and order[0] == spec.required:
+        # The required date leads the DESC NULLS LAST order, so the winner of
+        # a key has a NULL date only when all its rows do: filtering after
+        # the dedup keeps exactly the same rows, and keeps Catalyst from
+        # pushing the filter under the projection (which would parse twice).
+        deduped = dedup_latest(typed, keys, order).filter(F.col(spec.required).isNotNull())
+    else:
+        if spec.required:
+            typed = typed.filter(F.col(spec.required).isNotNull())
+        deduped = dedup_latest(typed, keys, order)
     hash_cols = list(spec.hash_cols or spec.columns)
     return deduped.withColumn("row_hash", row_hash(hash_cols, deduped))
