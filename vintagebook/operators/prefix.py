@@ -23,38 +23,70 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
+# Small per-group tables (cut ranges, bucket offsets, totals) hold at most
+# groups x buckets rows; above this bound they are joined by shuffle instead.
+SMALL_TABLE_ROWS = 2_000_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    from .bounded import bounded_broadcast
+    return bounded_broadcast(df, SMALL_TABLE_ROWS)
+
+
 def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int
                ) -> DataFrame:
+    """Add ``_bucket``: the range of ``order_col`` (per group) the row falls in.
+
+    Cut points come from ``percentile_approx`` (one row per group); they are
+    exploded into (lo, hi] ranges, at most ``buckets`` per group, and joined
+    back on the group plus the range condition against the broadcast range
+    table, so the large side is not shuffled by group."""
+    g = list(group_cols)
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*group_cols).agg(
-        F.array_distinct(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000))
-        .alias("_cuts"))
-    if group_cols:
-        j = df.join(cuts, list(group_cols))
-    else:
-        j = df.crossJoin(F.broadcast(cuts))  # one row: the global cut list
-    return j.withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order_col).cast("double")))
-    ).drop("_cuts")
+    cuts = df.groupBy(*g).agg(
+        F.array_sort(F.array_distinct(
+            F.percentile_approx(F.col(order_col).cast("double"), probs, 10000))).alias("_cuts"))
+    lows = F.concat(F.array(F.lit(None).cast("double")), F.col("_cuts"))
+    highs = F.concat(F.col("_cuts"), F.array(F.lit(None).cast("double")))
+    ranges = cuts.select(*g, F.posexplode(F.arrays_zip(lows.alias("lo"), highs.alias("hi")))
+                         .alias("_bucket", "_r")) \
+        .select(*[F.col(c).alias(f"_g_{c}") for c in g], "_bucket",
+                F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"))
+    v = F.col(order_col).cast("double")
+    cond = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
+    for c in g:
+        cond = cond & (F.col(c) == F.col(f"_g_{c}"))
+    j = df.join(_small(ranges), cond)
+    return j.drop("_lo", "_hi", *[f"_g_{c}" for c in g])
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
-                buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
+                materialize: bool = True) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` ordered by ``order_col``
     (within ``group_cols``).  Rows with equal ``order_col`` values are summed
     in an arbitrary order: aggregate to one row per value first for tie-safe
     results (all callers here do).
+
+    ``materialize`` checkpoints the input once (shared checkpoint folder), so
+    the cut, total and running-sum passes read it instead of recomputing it.
     """
     g = list(group_cols)
+    if materialize:
+        df = df.checkpoint(eager=True)
     b = _bucket_of(df, order_col, g, buckets)
     totals = b.groupBy(*g, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     ob = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     wt = (Window.partitionBy(*g).orderBy(ob)
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*g, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0))
-                                             .alias(f"_o_{c}") for c in sum_cols])
-    j = b.join(offsets, [*g, "_bucket"])
+    offsets = totals.select(*[F.col(c).alias(f"_g_{c}") for c in g], F.col("_bucket").alias("_ob"),
+                            *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0))
+                              .alias(f"_o_{c}") for c in sum_cols])
+    cond = F.col("_bucket") == F.col("_ob")
+    for c in g:
+        cond = cond & (F.col(c) == F.col(f"_g_{c}"))
+    j = b.join(_small(offsets), cond).drop("_ob", *[f"_g_{c}" for c in g])
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*g, "_bucket").orderBy(oc)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -62,15 +94,22 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                                    for c in sum_cols])
 
 
+def _counts_and_totals(df: DataFrame, value_col: str, group_cols: Sequence[str],
+                       buckets: int) -> tuple[DataFrame, DataFrame]:
+    g = list(group_cols)
+    counts = (df.filter(F.col(value_col).isNotNull())
+              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt"))).checkpoint(eager=True)
+    cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False)
+    n = counts.groupBy(*g).agg(F.sum("cnt").alias("n"))
+    return cum, n
+
+
 def value_counts_cumulative(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """(group, value, cnt, cum_cnt, n): one row per distinct non-null value."""
     g = list(group_cols)
-    counts = (df.filter(F.col(value_col).isNotNull())
-              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets)
-    n = counts.groupBy(*g).agg(F.sum("cnt").alias("n"))
-    return cum.join(n, g) if g else cum.crossJoin(F.broadcast(n))
+    cum, n = _counts_and_totals(df, value_col, g, buckets)
+    return cum.join(_small(n), g) if g else cum.crossJoin(F.broadcast(n))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
@@ -86,18 +125,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     spark = df.sparkSession
     v = F.col(value_col).cast("double")
     base = df.select(*g, v.alias("_v"))
-    cum = value_counts_cumulative(base, "_v", g, buckets)
+    cum, n = _counts_and_totals(base, "_v", g, buckets)
     cum = cum.withColumn("_start", F.col("cum_cnt") - F.col("cnt"))
     qs = spark.createDataFrame([(i, float(q)) for i, q in enumerate(probs)], "q_index int, q double")
-    n = cum.select(*g, "n").distinct()
     ranks = (n.crossJoin(F.broadcast(qs))
              .withColumn("_h", (F.col("n") - 1).cast("double") * F.col("q"))
              .withColumn("_lo", F.floor("_h").cast("bigint"))
              .withColumn("_hi", F.ceil("_h").cast("bigint")))
     lookup = ranks.select(*g, "q_index", "q", "_h", "_lo",
                           F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_rank"))
-    from .bounded import bounded_broadcast
-    lookup = bounded_broadcast(lookup)
+    lookup = _small(lookup)
     hit = lookup.join(
         cum.select(*g, "_v", "_start", "cum_cnt"),
         [*[lookup[c] == cum[c] for c in g],
