@@ -1,0 +1,5 @@
+"""No streaming operators: the reference processes files in batch only.
+
+Its "90-day watermark" is a batch filter on the ingestion timestamp and is
+implemented as :func:`vintagebook.operators.select.incremental_window`.
+"""
