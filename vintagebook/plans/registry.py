@@ -141,3 +141,4 @@ from . import registry_core  # noqa: E402,F401
 from . import registry_tools  # noqa: E402,F401
 from . import registry_prep  # noqa: E402,F401
 from . import registry_model  # noqa: E402,F401
+from . import registry_extra  # noqa: E402,F401
