@@ -25,6 +25,7 @@ from pyspark.sql.types import NumericType
 
 from .bounded import bounded_broadcast
 from .prefix import exact_quantiles
+from ..session import checkpointed
 
 
 def linspace_probs(q: int) -> list[float]:
@@ -67,15 +68,15 @@ def fit_bins(long_df: DataFrame, bins: int = 10, method: str = "qcut",
     """(variable, edges, method): qcut edges with the cut fallback, or cut edges."""
     ce = cut_edges(long_df, bins, group).withColumnRenamed("edges", "_cut")
     if method == "cut":
-        return ce.select(group, F.col("_cut").alias("edges"), F.lit("cut").alias("method")) \
-            .checkpoint(eager=True)
+        return checkpointed(ce.select(group, F.col("_cut").alias("edges"),
+                                      F.lit("cut").alias("method")))
     qe = qcut_edges(long_df, bins, group)
     j = ce.join(qe, group, "left")
     use_q = F.size(F.coalesce(F.col("edges"), F.array())) >= 2
     fitted = j.select(group, F.when(use_q, F.col("edges")).otherwise(F.col("_cut")).alias("edges"),
                       F.when(use_q, F.lit("qcut")).otherwise(F.lit("cut")).alias("method"))
     # one short row per variable: materialised once, then broadcast by every user
-    return fitted.checkpoint(eager=True)
+    return checkpointed(fitted)
 
 
 def bin_index(value: Column, edges: Column) -> Column:

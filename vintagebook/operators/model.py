@@ -17,6 +17,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GeneralizedLinearRegres
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from .metrics import roc_auc
 
 FEATURES_COL = "features"
@@ -132,7 +133,7 @@ def cv_search(train: DataFrame, features: Sequence[str], label: str, key: Sequen
     checkpointed once so every trial reads the same rows."""
     rng = random.Random(seed)
     data = stratified_folds(assemble(train, features), label, key, folds, seed)
-    data = data.select(FEATURES_COL, F.col(label).cast("double").alias(label), "fold").checkpoint()
+    data = checkpointed(data.select(FEATURES_COL, F.col(label).cast("double").alias(label), "fold"))
     rows, best, stale, t0 = [], -1.0, 0, time.time()
     for trial in range(n_trials):
         if time.time() - t0 > timeout_s or stale >= patience:

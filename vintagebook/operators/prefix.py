@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from ..session import checkpointed
 
 DEFAULT_BUCKETS = 64
 
@@ -74,7 +75,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     """
     g = list(group_cols)
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = checkpointed(df)
     b = _bucket_of(df, order_col, g, buckets)
     totals = b.groupBy(*g, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     ob = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
@@ -97,8 +98,8 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 def _counts_and_totals(df: DataFrame, value_col: str, group_cols: Sequence[str],
                        buckets: int) -> tuple[DataFrame, DataFrame]:
     g = list(group_cols)
-    counts = (df.filter(F.col(value_col).isNotNull())
-              .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt"))).checkpoint(eager=True)
+    counts = checkpointed(df.filter(F.col(value_col).isNotNull())
+                          .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt")))
     cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False)
     n = counts.groupBy(*g).agg(F.sum("cnt").alias("n"))
     return cum, n

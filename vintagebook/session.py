@@ -54,3 +54,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def checkpointed(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (set from
+    ``spark.checkpoint.dir`` when the context has none yet)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from ..session import checkpointed
 
 
 def upsert_hash_gated(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -85,7 +86,7 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys: Seq
         touched = source.select(*partition_by).distinct()
         target = target.join(touched, list(partition_by), "left_semi")
     merged = upsert_hash_gated(target, source.select(*target.columns), keys, hash_col)
-    merged = merged.checkpoint(eager=True)
+    merged = checkpointed(merged)
     write_table(merged, path, fmt, partition_by)
     return merged
 
