@@ -123,11 +123,13 @@ def cut(df: DataFrame, col: str, bins: int = 10, out: str | None = None) -> Data
 
 
 def categorize_numericals(df: DataFrame, bins: int = 10, prefix: str = "BIN_",
-                          target: str | None = None) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Every numeric column except ``target`` replaced by ``{prefix}{col}`` (bin
-    index); other columns kept.  One quantile job fits all columns."""
+                          target: str | None = None, keep: Sequence[str] = ()
+                          ) -> tuple[DataFrame, dict[str, list[float]]]:
+    """Every numeric column except ``target`` (and ``keep``, e.g. ids) replaced by
+    ``{prefix}{col}`` (bin index); other columns kept.  One quantile job fits
+    all columns."""
     num = [f.name for f in df.schema.fields
-           if isinstance(f.dataType, NumericType) and f.name != target]
+           if isinstance(f.dataType, NumericType) and f.name != target and f.name not in keep]
     if not num:
         return df, {}
     edges = fitted_edges(fit_bins(to_long(df, num), bins, "qcut"))

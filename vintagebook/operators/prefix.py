@@ -29,13 +29,25 @@ DEFAULT_BUCKETS = 64
 SMALL_TABLE_ROWS = 2_000_000
 
 
-def _small(df: DataFrame) -> DataFrame:
+def _small(df: DataFrame, rows_bound: int | None = None) -> DataFrame:
+    """Broadcast a per-group table.  ``rows_bound`` is a proven upper bound on
+    its rows (groups x buckets); without one the rows are counted first."""
     from .bounded import bounded_broadcast
+    if rows_bound is not None:
+        return F.broadcast(df) if rows_bound <= SMALL_TABLE_ROWS else df
     return bounded_broadcast(df, SMALL_TABLE_ROWS)
 
 
-def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int
-               ) -> DataFrame:
+def _group_count(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Number of groups, counted on the (materialised) aggregated input; at
+    most SMALL_TABLE_ROWS + 1 groups are read."""
+    if not group_cols:
+        return 1
+    return df.select(*group_cols).distinct().limit(SMALL_TABLE_ROWS + 1).count()
+
+
+def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets: int,
+               rows_bound: int | None = None) -> DataFrame:
     """Add ``_bucket``: the range of ``order_col`` (per group) the row falls in.
 
     Cut points come from ``percentile_approx`` (one row per group); they are
@@ -57,14 +69,14 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
     cond = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
     for c in g:
         cond = cond & (F.col(c) == F.col(f"_g_{c}"))
-    j = df.join(_small(ranges), cond)
+    j = df.join(_small(ranges, rows_bound), cond)
     return j.drop("_lo", "_hi", *[f"_g_{c}" for c in g])
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-                materialize: bool = True) -> DataFrame:
+                materialize: bool = True, n_groups: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` ordered by ``order_col``
     (within ``group_cols``).  Rows with equal ``order_col`` values are summed
     in an arbitrary order: aggregate to one row per value first for tie-safe
@@ -76,7 +88,10 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     g = list(group_cols)
     if materialize:
         df = checkpointed(df)
-    b = _bucket_of(df, order_col, g, buckets)
+    if n_groups is None:
+        n_groups = _group_count(df, g)
+    bound = n_groups * buckets  # rows of the range and offset tables
+    b = _bucket_of(df, order_col, g, buckets, bound)
     totals = b.groupBy(*g, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     ob = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     wt = (Window.partitionBy(*g).orderBy(ob)
@@ -87,7 +102,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     cond = F.col("_bucket") == F.col("_ob")
     for c in g:
         cond = cond & (F.col(c) == F.col(f"_g_{c}"))
-    j = b.join(_small(offsets), cond).drop("_ob", *[f"_g_{c}" for c in g])
+    j = b.join(_small(offsets, bound), cond).drop("_ob", *[f"_g_{c}" for c in g])
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*g, "_bucket").orderBy(oc)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -100,17 +115,19 @@ def _counts_and_totals(df: DataFrame, value_col: str, group_cols: Sequence[str],
     g = list(group_cols)
     counts = checkpointed(df.filter(F.col(value_col).isNotNull())
                           .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False)
+    n_groups = _group_count(counts, g)
+    cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False,
+                      n_groups=n_groups)
     n = counts.groupBy(*g).agg(F.sum("cnt").alias("n"))
-    return cum, n
+    return cum, n, n_groups
 
 
 def value_counts_cumulative(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """(group, value, cnt, cum_cnt, n): one row per distinct non-null value."""
     g = list(group_cols)
-    cum, n = _counts_and_totals(df, value_col, g, buckets)
-    return cum.join(_small(n), g) if g else cum.crossJoin(F.broadcast(n))
+    cum, n, n_groups = _counts_and_totals(df, value_col, g, buckets)
+    return cum.join(_small(n, n_groups), g) if g else cum.crossJoin(F.broadcast(n))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
@@ -126,7 +143,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     spark = df.sparkSession
     v = F.col(value_col).cast("double")
     base = df.select(*g, v.alias("_v"))
-    cum, n = _counts_and_totals(base, "_v", g, buckets)
+    cum, n, n_groups = _counts_and_totals(base, "_v", g, buckets)
     cum = cum.withColumn("_start", F.col("cum_cnt") - F.col("cnt"))
     qs = spark.createDataFrame([(i, float(q)) for i, q in enumerate(probs)], "q_index int, q double")
     ranks = (n.crossJoin(F.broadcast(qs))
@@ -135,7 +152,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
              .withColumn("_hi", F.ceil("_h").cast("bigint")))
     lookup = ranks.select(*g, "q_index", "q", "_h", "_lo",
                           F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_rank"))
-    lookup = _small(lookup)
+    lookup = _small(lookup, n_groups * len(probs) * 2)
     hit = lookup.join(
         cum.select(*g, "_v", "_start", "cum_cnt"),
         [*[lookup[c] == cum[c] for c in g],

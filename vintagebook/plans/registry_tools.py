@@ -302,12 +302,8 @@ SELECT l_orderkey, l_linenumber, l_linestatus, target,
 def q_categorize(spark, d):
     df = lab(spark, d).select("l_orderkey", "l_linenumber", "l_linestatus", "target",
                               "l_quantity", "l_discount", "l_tax")
-    out, _ = BN.categorize_numericals(df.drop("l_orderkey", "l_linenumber"), 10, target="target")
-    base = df.select("l_orderkey", "l_linenumber", "l_linestatus", "target", "l_quantity", "l_discount", "l_tax")
-    edges = BN.fitted_edges(BN.fit_bins(BN.to_long(base, ["l_quantity", "l_discount", "l_tax"]), 10))
-    return base.select("l_orderkey", "l_linenumber", "l_linestatus", "target",
-                       *[BN.bins_from_edges(c, edges[c]).alias(f"BIN_{c}")
-                         for c in ["l_quantity", "l_discount", "l_tax"]])
+    out, _ = BN.categorize_numericals(df, 10, target="target", keep=["l_orderkey", "l_linenumber"])
+    return out
 
 
 _DEC_SQL = f"""
