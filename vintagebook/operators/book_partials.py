@@ -88,7 +88,8 @@ def _exact_decimal_avg(total: Column, n: Column, dt: T.DecimalType) -> Column:
 def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
                        values: Sequence[str], value_types: dict, safras: Sequence[int],
                        suffix: str = "", months: Sequence[int] = DEFAULT_WINDOWS,
-                       ref_col: str = "safra", ratios: bool = True) -> DataFrame:
+                       ref_col: str = "safra", ratios: bool = True, layout: str = "array"
+                       ) -> DataFrame:
     """Books of every entity active in each reference safra, from monthly partials.
 
     Each monthly row is paired with the reference safras whose history holds
@@ -119,29 +120,42 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
                  F.sum(F.when(F.col(f"n_{i}") > 0, sd * sd / F.col(f"n_{i}"))).alias(f"SQ_{i}")]
     per_window = exploded.groupBy(*keys, "_ref", "_w").agg(*aggs)
     fields = [c for c in per_window.columns if c not in (*keys, "_ref", "_w", "_active")]
-    grouped = per_window.groupBy(*keys, "_ref").agg(
-        F.array_sort(F.collect_list(F.struct("_w", *fields))).alias("_a"),  # len(months) rows
-        F.max("_active").alias("_active"))
-    grouped = grouped.filter(F.col("_active") == 1)
+    if layout == "pivot":
+        # every window of an active entity holds its reference month, so the
+        # five pivot cells of an (entity, safra) are all present
+        grouped = per_window.groupBy(*keys, "_ref").pivot("_w", [int(k) for k in months]).agg(
+            *[F.first(c).alias(c) for c in fields], F.max("_active").alias("_active"))
+        act = F.greatest(*[F.col(f"{k}__active") for k in months])
+        grouped = grouped.filter(act == 1)
+
+        def get(j, k, name):
+            return F.col(f"{k}_{name}")
+    else:
+        grouped = per_window.groupBy(*keys, "_ref").agg(
+            F.array_sort(F.collect_list(F.struct("_w", *fields))).alias("_a"),  # len(months) rows
+            F.max("_active").alias("_active"))
+        grouped = grouped.filter(F.col("_active") == 1)
+
+        def get(j, k, name):
+            return F.element_at("_a", j + 1)[name]
 
     out = []
     for j, k in enumerate(months):
-        e = F.element_at("_a", j + 1)
         for i, v in enumerate(values):
             dt = value_types[v]
-            n, s_ = e[f"N_{i}"], e[f"S_{i}"]
+            n, s_ = get(j, k, f"N_{i}"), get(j, k, f"S_{i}")
             if _kind(dt) == "decimal":
                 med = _exact_decimal_avg(s_, n, dt)
             else:
                 med = F.when(n > 0, s_.cast("double") / n.cast("double"))
             sd = _as_double_sum(s_, dt)
-            m2 = F.coalesce(e[f"M2_{i}"], F.lit(0.0)) + F.coalesce(e[f"SQ_{i}"], F.lit(0.0)) \
+            m2 = F.coalesce(get(j, k, f"M2_{i}"), F.lit(0.0)) + F.coalesce(get(j, k, f"SQ_{i}"), F.lit(0.0)) \
                 - F.when(n > 0, sd * sd / n).otherwise(0.0)
             std = F.when(n >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
             cols = {
                 "med": F.round(med, 2).cast("double"),
-                "max": F.round(e[f"MX_{i}"], 2).cast("double"),
-                "min": F.round(e[f"MN_{i}"], 2).cast("double"),
+                "max": F.round(get(j, k, f"MX_{i}"), 2).cast("double"),
+                "min": F.round(get(j, k, f"MN_{i}"), 2).cast("double"),
                 "std": F.round(std, 2).cast("double"),
                 "qtd": F.coalesce(n, F.lit(0)).cast("bigint"),
             }
