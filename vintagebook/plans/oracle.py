@@ -71,7 +71,7 @@ r_reviews AS (
 
 
 def _dd(end: str, start: str) -> str:
-    return f"date_diff('day', CAST({start} AS DATE), CAST({end} AS DATE))"
+    return f"CAST(date_diff('day', CAST({start} AS DATE), CAST({end} AS DATE)) AS INTEGER)"
 
 
 ORDER_FACT = f"""

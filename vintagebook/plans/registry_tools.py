@@ -201,7 +201,7 @@ def q_er_grid(spark, d):
 
 
 @register("event_rate_by_vintage_category", with_lab() + f"""
-SELECT *, sum(volume) OVER (PARTITION BY safra) AS volume_safra FROM (
+SELECT *, CAST(sum(volume) OVER (PARTITION BY safra) AS BIGINT) AS volume_safra FROM (
   SELECT safra, l_linestatus, {O.rnd('avg(CAST(target AS DOUBLE))')} AS taxa_de_evento, count(*) AS volume
   FROM r_lab WHERE l_linestatus IS NOT NULL GROUP BY safra, l_linestatus)""")
 def q_er_vc(spark, d):
@@ -209,7 +209,7 @@ def q_er_vc(spark, d):
 
 
 @register("volume_by_vintage", with_lab() + """
-SELECT safra, sum(volume) AS volume FROM (SELECT safra, l_linestatus, count(*) AS volume FROM r_lab
+SELECT safra, CAST(sum(volume) AS BIGINT) AS volume FROM (SELECT safra, l_linestatus, count(*) AS volume FROM r_lab
 WHERE l_linestatus IS NOT NULL GROUP BY safra, l_linestatus) GROUP BY safra""")
 def q_vol_vintage(spark, d):
     r = RT.event_rate_by_vintage_category(lab(spark, d), "safra", "l_linestatus", "target")
@@ -220,7 +220,7 @@ _MAP_SQL = " UNION ALL ".join(f"SELECT '{a}' AS l_linestatus, '{b}' AS mapped" f
 
 
 @register("domain_mapping", with_lab(f"m AS ({_MAP_SQL})") + f"""
-SELECT *, sum(volume) OVER (PARTITION BY safra) AS volume_safra FROM (
+SELECT *, CAST(sum(volume) OVER (PARTITION BY safra) AS BIGINT) AS volume_safra FROM (
   SELECT safra, coalesce(m.mapped, r.l_linestatus) AS TFB_l_linestatus, {O.rnd('avg(CAST(target AS DOUBLE))')} AS taxa_de_evento,
          count(*) AS volume
   FROM r_lab r LEFT JOIN m ON r.l_linestatus = m.l_linestatus
@@ -235,7 +235,7 @@ g AS (SELECT variable, value, count(*) AS count FROM (
         SELECT 'l_returnflag' AS variable, l_returnflag AS value FROM r_lab
         UNION ALL SELECT 'l_linestatus', l_linestatus FROM r_lab) GROUP BY variable, value)""") + f"""
 SELECT variable, value, count, {O.r2('count / sum(count) OVER (PARTITION BY variable) * 100')} AS pct FROM g
-UNION ALL SELECT variable, 'Total', sum(count), 100.0 FROM g GROUP BY variable""")
+UNION ALL SELECT variable, 'Total', CAST(sum(count) AS BIGINT), 100.0 FROM g GROUP BY variable""")
 def q_cat_counts(spark, d):
     return RT.category_counts(lab(spark, d), ["l_returnflag", "l_linestatus"])
 
