@@ -38,15 +38,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only when it is unset (local tests) do we create one under /tmp.
+    Under Spark Connect there is no SparkContext; the server's setting is used.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return cur or ""
     if not cur:
-        cur = spark.sparkContext.getCheckpointDir()
+        cur = sc.getCheckpointDir()
     if not cur:
         cur = tempfile.mkdtemp(prefix="vintagebook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(cur)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(cur)
     return cur
 
 
