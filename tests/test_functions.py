@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from vintagebook.functions import dates as D
 from vintagebook.functions.hashing import row_hash

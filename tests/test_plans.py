@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from vintagebook.operators import metrics as M
 from vintagebook.operators.dedup import dedup_latest

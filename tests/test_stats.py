@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from vintagebook.operators import binning as BN
 from vintagebook.operators import encode as E

@@ -1,6 +1,5 @@
 """Dedup, upsert and table-maintenance invariants (FIXTURES §C: keys, upsert)."""
 
-from pyspark.sql import functions as F
 
 from vintagebook.operators.dedup import dedup_latest
 from vintagebook.sources.upsert import (ensure_table_like, merge_into_path, upsert_changes,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .binning import fit_bins, linspace_probs, to_long
+from .binning import fit_bins, linspace_probs
 from .prefix import prefix_sums
 
 LOG_LOSS_EPS = 2.220446049250313e-16  # float64 machine epsilon
