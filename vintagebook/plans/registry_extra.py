@@ -74,3 +74,45 @@ SELECT CAST(decile AS INTEGER) AS decile, {dbl(['min_score', 'max_score', 'event
        CAST(qt_bads AS BIGINT) AS qt_bads, {O.rnd('qt_bads / sum(qt_bads) OVER ()')} AS perc_total_bads FROM t""")
 def q_decile_cut(spark, d):
     return rounded(M.decile_table(lab(spark, d), "score", "target", 10, "cut", scale=1.0))
+
+
+# ---------------------------------------------------------------- F8 / F9 on their own
+from ..functions.logistics import delivery_metrics, price_metrics  # noqa: E402
+
+_DELIVERY_COLS = ["dias_atraso", "fl_atraso", "leadtime_total", "dias_ate_envio",
+                  "dias_transporte", "dias_aprovacao"]
+
+
+def _order_items(spark, d):
+    return R.orders(spark, d).join(R.items(spark, d), "order_id")
+
+
+@register("delivery_metrics", O.with_roles() + f"""
+SELECT order_id, order_item_id, {', '.join(_DELIVERY_COLS)},
+       {O.r2('eficiencia_logistica', 6)} AS eficiencia_logistica
+FROM (SELECT o.order_id, it.order_item_id,
+        {O._dd('it.order_delivered_customer_date', 'o.order_estimated_delivery_date')} AS dias_atraso,
+        CASE WHEN it.order_delivered_customer_date > o.order_estimated_delivery_date THEN 1 ELSE 0 END AS fl_atraso,
+        {O._dd('it.order_delivered_customer_date', 'o.order_purchase_timestamp')} AS leadtime_total,
+        {O._dd('o.order_delivered_carrier_date', 'o.order_purchase_timestamp')} AS dias_ate_envio,
+        {O._dd('it.order_delivered_customer_date', 'o.order_delivered_carrier_date')} AS dias_transporte,
+        {O._dd('o.order_approved_at', 'o.order_purchase_timestamp')} AS dias_aprovacao,
+        {O._dd('it.order_delivered_customer_date', 'o.order_purchase_timestamp')}
+          / NULLIF({O._dd('it.order_delivered_customer_date', 'o.order_delivered_carrier_date')}, 0)
+          AS eficiencia_logistica
+      FROM r_orders o JOIN r_items it ON o.order_id = it.order_id)""")
+def q_delivery_metrics(spark, d):
+    m = _order_items(spark, d).select("order_id", "order_item_id", *delivery_metrics())
+    return m.select("order_id", "order_item_id", *_DELIVERY_COLS,
+                    F.round("eficiencia_logistica", 6).alias("eficiencia_logistica"))
+
+
+@register("price_metrics", O.with_roles() + f"""
+SELECT order_id, order_item_id, CAST(price + freight_value AS DOUBLE) AS total_price,
+       {O.r2('CAST(freight_value AS DOUBLE) / NULLIF(CAST(price + freight_value AS DOUBLE), 0)', 6)}
+         AS freight_percentage
+FROM r_items""")
+def q_price_metrics(spark, d):
+    m = R.items(spark, d).select("order_id", "order_item_id", *price_metrics())
+    return m.select("order_id", "order_item_id", F.col("total_price").cast("double").alias("total_price"),
+                    F.round("freight_percentage", 6).alias("freight_percentage"))
