@@ -70,19 +70,19 @@ def monthly_partials(fact: DataFrame, keys: Sequence[str], month_col: str,
     return fact.groupBy(*keys, month_col).agg(*aggs)
 
 
-def _as_double_sum(s: Column, dt: T.DataType) -> Column:
+def _double_sum_sql(s: str, dt: T.DataType) -> str:
     if _kind(dt) == "decimal":
-        return s.cast("double") / float(10 ** dt.scale)
-    return s.cast("double")
+        return f"(CAST({s} AS DOUBLE) / {float(10 ** dt.scale)!r}D)"
+    return f"CAST({s} AS DOUBLE)"
 
 
-def _exact_decimal_avg(total: Column, n: Column, dt: T.DecimalType) -> Column:
+def _exact_decimal_avg_sql(total: str, n: str, dt: T.DecimalType) -> str:
     """Spark's avg(DECIMAL(p, s)) from the unscaled sum and the count."""
     p, s = dt.precision, dt.scale
-    sum_t = T.DecimalType(min(38, p + 10), s)
-    res_t = T.DecimalType(min(38, p + 4), min(38, s + 4))
-    dec_sum = (total.cast("decimal(38,0)") / F.lit(10 ** s).cast("decimal(38,0)")).cast(sum_t)
-    return F.when(n > 0, (dec_sum / n.cast("decimal(20,0)")).cast(res_t))
+    dec_sum = (f"CAST(CAST({total} AS DECIMAL(38,0)) / CAST({10 ** s} AS DECIMAL(38,0))"
+               f" AS DECIMAL({min(38, p + 10)},{s}))")
+    return (f"CASE WHEN {n} > 0 THEN CAST({dec_sum} / CAST({n} AS DECIMAL(20,0))"
+            f" AS DECIMAL({min(38, p + 4)},{min(38, s + 4)})) END")
 
 
 def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
@@ -110,14 +110,15 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
     exploded = (paired.withColumn("_d", d)
                 .withColumn("_w", F.explode(F.filter(wins, lambda k: F.col("_d") <= k))))
     exploded = exploded.repartition(*[F.col(k) for k in keys], F.col("_ref"))
-    aggs = [F.max((F.col("_d") == 0).cast("int")).alias("_active")]
+    # expressions are SQL text: one parse on the JVM per column instead of a
+    # py4j round trip per nested Column call (hundreds of columns per book)
+    aggs = [F.expr("max(CAST(_d = 0 AS INT))").alias("_active")]
     for i, v in enumerate(values):
-        dt = value_types[v]
-        sd = _as_double_sum(F.col(f"s_{i}"), dt)
-        aggs += [F.sum(f"n_{i}").alias(f"N_{i}"), F.sum(f"s_{i}").alias(f"S_{i}"),
-                 F.min(f"mn_{i}").alias(f"MN_{i}"), F.max(f"mx_{i}").alias(f"MX_{i}"),
-                 F.sum(f"m2_{i}").alias(f"M2_{i}"),
-                 F.sum(F.when(F.col(f"n_{i}") > 0, sd * sd / F.col(f"n_{i}"))).alias(f"SQ_{i}")]
+        sd = _double_sum_sql(f"s_{i}", value_types[v])
+        aggs += [F.expr(f"sum(n_{i})").alias(f"N_{i}"), F.expr(f"sum(s_{i})").alias(f"S_{i}"),
+                 F.expr(f"min(mn_{i})").alias(f"MN_{i}"), F.expr(f"max(mx_{i})").alias(f"MX_{i}"),
+                 F.expr(f"sum(m2_{i})").alias(f"M2_{i}"),
+                 F.expr(f"sum(CASE WHEN n_{i} > 0 THEN {sd} * {sd} / n_{i} END)").alias(f"SQ_{i}")]
     per_window = exploded.groupBy(*keys, "_ref", "_w").agg(*aggs)
     fields = [c for c in per_window.columns if c not in (*keys, "_ref", "_w", "_active")]
     if layout == "pivot":
@@ -129,7 +130,7 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
         grouped = grouped.filter(act == 1)
 
         def get(j, k, name):
-            return F.col(f"{k}_{name}")
+            return f"`{k}_{name}`"
     else:
         grouped = per_window.groupBy(*keys, "_ref").agg(
             F.array_sort(F.collect_list(F.struct("_w", *fields))).alias("_a"),  # len(months) rows
@@ -137,7 +138,7 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
         grouped = grouped.filter(F.col("_active") == 1)
 
         def get(j, k, name):
-            return F.element_at("_a", j + 1)[name]
+            return f"element_at(_a, {j + 1}).{name}"
 
     out = []
     for j, k in enumerate(months):
@@ -145,22 +146,23 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
             dt = value_types[v]
             n, s_ = get(j, k, f"N_{i}"), get(j, k, f"S_{i}")
             if _kind(dt) == "decimal":
-                med = _exact_decimal_avg(s_, n, dt)
+                med = _exact_decimal_avg_sql(s_, n, dt)
             else:
-                med = F.when(n > 0, s_.cast("double") / n.cast("double"))
-            sd = _as_double_sum(s_, dt)
-            m2 = F.coalesce(get(j, k, f"M2_{i}"), F.lit(0.0)) + F.coalesce(get(j, k, f"SQ_{i}"), F.lit(0.0)) \
-                - F.when(n > 0, sd * sd / n).otherwise(0.0)
-            std = F.when(n >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
+                med = f"CASE WHEN {n} > 0 THEN CAST({s_} AS DOUBLE) / CAST({n} AS DOUBLE) END"
+            sd = _double_sum_sql(s_, dt)
+            m2 = (f"coalesce({get(j, k, f'M2_{i}')}, 0.0D) + coalesce({get(j, k, f'SQ_{i}')}, 0.0D)"
+                  f" - CASE WHEN {n} > 0 THEN {sd} * {sd} / {n} ELSE 0.0D END")
+            std = f"CASE WHEN {n} >= 2 THEN sqrt(greatest({m2}, 0.0D) / ({n} - 1)) END"
             cols = {
-                "med": F.round(med, 2).cast("double"),
-                "max": F.round(get(j, k, f"MX_{i}"), 2).cast("double"),
-                "min": F.round(get(j, k, f"MN_{i}"), 2).cast("double"),
-                "std": F.round(std, 2).cast("double"),
-                "qtd": F.coalesce(n, F.lit(0)).cast("bigint"),
+                "med": f"CAST(round({med}, 2) AS DOUBLE)",
+                "max": f"CAST(round({get(j, k, f'MX_{i}')}, 2) AS DOUBLE)",
+                "min": f"CAST(round({get(j, k, f'MN_{i}')}, 2) AS DOUBLE)",
+                "std": f"CAST(round({std}, 2) AS DOUBLE)",
+                "qtd": f"CAST(coalesce({n}, 0) AS BIGINT)",
             }
-            out += [cols[a].alias(f"vl_{a}_u{k}m_{v}{suffix}") for a in AGGREGATES]
-    book = grouped.select(*keys, F.col("_ref").cast("int").alias(ref_col), *out)
+            out += [f"{cols[a]} AS `vl_{a}_u{k}m_{v}{suffix}`" for a in AGGREGATES]
+    key_cols = [f"`{k}`" for k in keys]
+    book = grouped.selectExpr(*key_cols, f"CAST(_ref AS INT) AS `{ref_col}`", *out)
     if ratios:
         book = temporal_ratios(book, windows=window_names(months), suffix=suffix)
     return book
