@@ -95,9 +95,10 @@ def iv_sim_nao(df: DataFrame, target: str, variable: str, yes: str = "Sim", no:
     c = df.filter(F.col(variable).isNotNull() & t.isNotNull()).groupBy(variable).agg(
         F.sum(F.when(t == yes, 1).otherwise(0)).alias("Sim"),
         F.sum(F.when(t == no, 1).otherwise(0)).alias("Nao"))
-    w = Window.partitionBy()
-    ps = F.round(F.try_divide(F.col("Sim"), F.sum("Sim").over(w)) * 100, 2)
-    pn = F.round(F.try_divide(F.col("Nao"), F.sum("Nao").over(w)) * 100, 2)
+    # class totals as scalar subqueries (partial sums, one row), not a window
+    # without partitionBy that would move every category into one task
+    ps = F.round(F.try_divide(F.col("Sim"), c.select(F.sum("Sim")).scalar()) * 100, 2)
+    pn = F.round(F.try_divide(F.col("Nao"), c.select(F.sum("Nao")).scalar()) * 100, 2)
     out = c.select("*", ps.alias("pct_sim"), pn.alias("pct_nao"),
                    F.round(F.col("Sim") / (F.col("Nao") + F.col("Sim")) * 100, 2).alias("pct_freq_linha"))
     ratio = F.try_divide(F.col("pct_sim"), F.col("pct_nao"))
