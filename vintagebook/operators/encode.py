@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bounded import bounded_broadcast
+from .bounded import bounded_broadcast, with_row
 from .prefix import exact_quantiles
 
 
@@ -82,7 +82,7 @@ def target_encode_fit(df: DataFrame, cols: Sequence[str], target: str,
     long = (df.select(y.alias("_y"), *[F.col(c).cast("string").alias(c) for c in cols])
             .unpivot(["_y"], list(cols), "variable", "value").filter(F.col("value").isNotNull()))
     st = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("mean"))
-    st = st.crossJoin(F.broadcast(prior))
+    st = with_row(st, prior)
     w = 1 / (1 + F.exp(-(F.col("n") - min_samples_leaf) / F.lit(float(smoothing))))
     enc = F.col("prior") * (1 - w) + F.col("mean") * w
     return st.select("variable", "value", F.when(F.col("n") == 1, F.col("prior")).otherwise(enc)
@@ -92,13 +92,13 @@ def target_encode_fit(df: DataFrame, cols: Sequence[str], target: str,
 def target_encode_apply(df: DataFrame, fit: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each column by its encoding; unknown and NULL -> prior.  The fit
     table is joined per column (broadcast when it is small)."""
-    prior = fit.select("prior").limit(1)
+    prior = fit.agg(F.max("prior").alias("_prior"))  # one value repeated on every fit row
     out = df
     for c in cols:
         m = fit.filter(F.col("variable") == c).select(F.col("value").alias(f"_k_{c}"),
                                                       F.col("encoding").alias(f"_e_{c}"))
         out = out.join(bounded_broadcast(m), F.col(c).cast("string") == F.col(f"_k_{c}"), "left")
-    out = out.crossJoin(F.broadcast(prior.withColumnRenamed("prior", "_prior")))
+    out = with_row(out, prior)
     sel = []
     for col in df.columns:
         if col in cols:

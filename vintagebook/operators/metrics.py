@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .binning import fit_bins, linspace_probs
 from .prefix import prefix_sums
+from .bounded import with_row
 
 LOG_LOSS_EPS = 2.220446049250313e-16  # float64 machine epsilon
 
@@ -36,7 +37,7 @@ def cumulative_counts(df: DataFrame, score: str, label: str, group_cols: Sequenc
     cum = prefix_sums(sc, "score", ["n", "pos", "neg"], g, descending=descending)
     tot = sc.groupBy(*g).agg(F.sum("n").alias("n_total"), F.sum("pos").alias("pos_total"),
                              F.sum("neg").alias("neg_total"))
-    return cum.join(tot, g) if g else cum.crossJoin(F.broadcast(tot))
+    return cum.join(tot, g) if g else with_row(cum, tot)
 
 
 def ks_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -98,7 +99,7 @@ def gini_normalized(df: DataFrame, actual: str, pred: str, group_cols: Sequence[
 
     gp = gap(lorenz_gap(pred), "g_pred")
     gt = gap(lorenz_gap(actual), "g_true")
-    j = gp.join(gt, g) if g else gp.crossJoin(gt)
+    j = gp.join(gt, g) if g else with_row(gp, gt)
     return j.select(*g, F.try_divide(F.col("g_pred"), F.col("g_true")).alias("gini_normalized"))
 
 
@@ -136,7 +137,7 @@ def probability_metrics(df: DataFrame, score: str, label: str, group_cols: Seque
     ap = c.groupBy(*group_cols).agg(
         F.sum(F.try_divide(F.col("pos"), F.col("pos_total")) *
               F.try_divide(F.col("cum_pos"), F.col("cum_n"))).alias("average_precision"))
-    return base.join(ap, list(group_cols)) if group_cols else base.crossJoin(ap)
+    return base.join(ap, list(group_cols)) if group_cols else with_row(base, ap)
 
 
 def roc_curve_table(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()

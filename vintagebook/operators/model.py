@@ -71,8 +71,8 @@ def top_k_features(importances: DataFrame, k: int = 20, col: str = "importance")
 def threshold_by_max(importances: DataFrame, ratio: float = 0.2, col: str = "importance"
                      ) -> DataFrame:
     """Importances above ``ratio`` x the largest one."""
-    mx = importances.agg(F.max(col).alias("_mx"))
-    return importances.crossJoin(F.broadcast(mx)).filter(F.col(col) > ratio * F.col("_mx")).drop("_mx")
+    mx = importances.agg(F.max(col)).scalar()
+    return importances.filter(F.col(col) > ratio * mx)
 
 
 def rf_feature_selection(train: DataFrame, features: Sequence[str], label: str, mode: str = "max_ratio",

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from ..session import checkpointed
+from .bounded import with_row
 
 DEFAULT_BUCKETS = 64
 
@@ -127,7 +128,7 @@ def value_counts_cumulative(df: DataFrame, value_col: str, group_cols: Sequence[
     """(group, value, cnt, cum_cnt, n): one row per distinct non-null value."""
     g = list(group_cols)
     cum, n, n_groups = _counts_and_totals(df, value_col, g, buckets)
-    return cum.join(_small(n, n_groups), g) if g else cum.crossJoin(F.broadcast(n))
+    return cum.join(_small(n, n_groups), g) if g else with_row(cum, n)
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
@@ -140,13 +141,14 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     (group, range bucket), so no task ever holds a whole group.
     """
     g = list(group_cols)
-    spark = df.sparkSession
     v = F.col(value_col).cast("double")
     base = df.select(*g, v.alias("_v"))
     cum, n, n_groups = _counts_and_totals(base, "_v", g, buckets)
     cum = cum.withColumn("_start", F.col("cum_cnt") - F.col("cnt"))
-    qs = spark.createDataFrame([(i, float(q)) for i, q in enumerate(probs)], "q_index int, q double")
-    ranks = (n.crossJoin(F.broadcast(qs))
+    # the probabilities are a parameter list: each group row is expanded by it
+    qs = F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
+                   for i, q in enumerate(probs)])
+    ranks = (n.select("*", F.inline(qs))
              .withColumn("_h", (F.col("n") - 1).cast("double") * F.col("q"))
              .withColumn("_lo", F.floor("_h").cast("bigint"))
              .withColumn("_hi", F.ceil("_h").cast("bigint")))

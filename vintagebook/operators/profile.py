@@ -199,8 +199,8 @@ def kde_by_target(df: DataFrame, cols: Sequence[str], target: str, grid: int = 2
     hist = (j.groupBy("variable", "cls", F.coalesce(fb, F.lit(0)).alias("fb"), "mn", "mx", "bw", "n")
             .agg(F.count(F.lit(1)).alias("w")))
     hist = hist.withColumn("center", F.col("mn") + (F.col("fb") + 0.5) * (F.col("mx") - F.col("mn")) / fine_bins)
-    pts = df.sparkSession.range(grid).withColumnRenamed("id", "g")
-    axis = st.crossJoin(F.broadcast(pts)).select(
+    pts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long")))
+    axis = st.select("*", pts.alias("g")).select(
         "variable", "cls", "g",
         (F.col("mn") - cut * F.col("bw") + F.col("g") * ((F.col("mx") - F.col("mn")) + 2 * cut * F.col("bw"))
          / (grid - 1)).alias("x"))
