@@ -58,3 +58,22 @@ def test_scans_prune_columns(spark):
     for m in re.finditer(r"ReadSchema: struct<([^>]*)>", plan):
         assert "l_comment" not in m.group(1)
         assert len(m.group(1).split(",")) <= 3
+
+
+def test_global_totals_need_no_cross_join(spark):
+    from __spark_entry__ import queries
+    for name in ("roc_auc", "gini_normalized", "probability_metrics", "qcut", "target_encode",
+                 "kde_by_target", "iv_category"):
+        plan = _plan(queries()[name](spark, SF_SMALL))
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+
+
+def test_book_projection_is_built_without_a_round_trip_per_column(spark):
+    import time
+    from __spark_entry__ import queries
+    q = queries()["book_orders"]
+    q(spark, SF_SMALL)  # warm
+    t = time.time()
+    df = q(spark, SF_SMALL)
+    assert len(df.columns) > 400
+    assert time.time() - t < 15, "building the book plan should not cost a py4j call per Column node"

@@ -51,27 +51,22 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
                rows_bound: int | None = None) -> DataFrame:
     """Add ``_bucket``: the range of ``order_col`` (per group) the row falls in.
 
-    Cut points come from ``percentile_approx`` (one row per group); they are
-    exploded into (lo, hi] ranges, at most ``buckets`` per group, and joined
-    back on the group plus the range condition against the broadcast range
-    table, so the large side is not shuffled by group."""
+    Cut points come from ``percentile_approx`` (one short sorted array per
+    group), attached by an equi-join on the group against the broadcast cut
+    table (a scalar subquery without groups); the bucket is the number of
+    cut points below the value: ranges (-inf, c0], (c0, c1], ..., (c_last, inf).
+    The large side is not shuffled by group and no nested-loop join is
+    planned.  As with a range join, NULL values only survive when there is a
+    single range."""
     g = list(group_cols)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.groupBy(*g).agg(
         F.array_sort(F.array_distinct(
             F.percentile_approx(F.col(order_col).cast("double"), probs, 10000))).alias("_cuts"))
-    lows = F.concat(F.array(F.lit(None).cast("double")), F.col("_cuts"))
-    highs = F.concat(F.col("_cuts"), F.array(F.lit(None).cast("double")))
-    ranges = cuts.select(*g, F.posexplode(F.arrays_zip(lows.alias("lo"), highs.alias("hi")))
-                         .alias("_bucket", "_r")) \
-        .select(*[F.col(c).alias(f"_g_{c}") for c in g], "_bucket",
-                F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"))
+    j = df.join(_small(cuts, rows_bound), g) if g else with_row(df, cuts)
     v = F.col(order_col).cast("double")
-    cond = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
-    for c in g:
-        cond = cond & (F.col(c) == F.col(f"_g_{c}"))
-    j = df.join(_small(ranges, rows_bound), cond)
-    return j.drop("_lo", "_hi", *[f"_g_{c}" for c in g])
+    j = j.filter(F.col("_cuts").isNotNull() & (v.isNotNull() | (F.size("_cuts") == 0)))
+    return j.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v))).drop("_cuts")
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
