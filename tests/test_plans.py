@@ -77,3 +77,10 @@ def test_book_projection_is_built_without_a_round_trip_per_column(spark):
     df = q(spark, SF_SMALL)
     assert len(df.columns) > 400
     assert time.time() - t < 15, "building the book plan should not cost a py4j call per Column node"
+
+
+def test_books_pair_months_with_safras_without_a_join(spark):
+    from __spark_entry__ import queries
+    for name in ("book_orders", "book_reviews_backfill"):
+        plan = _plan(queries()[name](spark, SF_SMALL))
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, name

@@ -7,7 +7,7 @@ hash-aggregatable ``groupBy`` whose map-side partial aggregation makes a
 hot entity cost one buffer per input partition.
 
 Level 2 pairs each monthly row with the reference safras whose history
-contains it (the safra list is a broadcast parameter), collects the at most
+contains it (a filter over the literal safra list), collects the at most
 ``max(months) + 1`` monthly partials of each (entity, safra) and folds them
 into every window with array functions.  Windows are unions of months, so
 counts, sums, minima and maxima combine exactly, and M2 combines with the
@@ -93,18 +93,21 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
     """Books of every entity active in each reference safra, from monthly partials.
 
     Each monthly row is paired with the reference safras whose history holds
-    it (broadcast of the parameter list), repeated once per window that
+    it (a filter over the literal parameter list), repeated once per window that
     contains it (at most ``len(months)`` copies of a small table), merged by
     (entity, safra, window), and the windows of one (entity, safra) are
     laid side by side from a sorted list of exactly ``len(months)`` rows
     (every window of an active entity contains its reference month).  One
     repartition by (entity, safra) serves both merges.
     """
-    spark = partials.sparkSession
     span = max(months)
-    refs = spark.createDataFrame(
-        [(int(s), shift_safra_value(int(s), -span)) for s in safras], "_ref int, _lo int")
-    paired = partials.join(F.broadcast(refs), F.col(month_col).between(F.col("_lo"), F.col("_ref")))
+    # the reference safras are a parameter list: each monthly row is expanded
+    # by the safras whose history holds it (no join, no nested loop)
+    refs = F.array(*[F.struct(F.lit(int(s)).alias("_ref"),
+                              F.lit(shift_safra_value(int(s), -span)).alias("_lo"))
+                     for s in safras])
+    paired = partials.select("*", F.inline(
+        F.filter(refs, lambda r: F.col(month_col).between(r["_lo"], r["_ref"]))))
     d = (month_index("_ref") - month_index(month_col)).cast("int")
     wins = F.array(*[F.lit(int(k)) for k in months])
     exploded = (paired.withColumn("_d", d)
