@@ -63,7 +63,7 @@ def test_scans_prune_columns(spark):
 def test_global_totals_need_no_cross_join(spark):
     from __spark_entry__ import queries
     for name in ("roc_auc", "gini_normalized", "probability_metrics", "qcut", "target_encode",
-                 "kde_by_target", "iv_category"):
+                 "kde_by_target", "iv_category", "decile_table", "decile_train_test_summary"):
         plan = _plan(queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 

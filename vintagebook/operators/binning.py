@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .bounded import bounded_broadcast
+from .bounded import bounded_broadcast, with_row
 from .prefix import exact_quantiles
 from ..session import checkpointed
 
@@ -89,6 +89,16 @@ def apply_bins(long_df: DataFrame, fitted: DataFrame, group: str = "variable") -
     """Add ``bin``, ``bin_low``, ``bin_high`` to the long form (edges broadcast:
     one short array per variable)."""
     j = long_df.join(bounded_broadcast(fitted.select(group, "edges")), group, "left")
+    return _with_bin_columns(j)
+
+
+def apply_single_bins(df: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``apply_bins`` for a frame holding one variable: its edges arrive as a
+    scalar subquery (one row, checked by Spark), no join."""
+    return _with_bin_columns(with_row(df, fitted.select("edges")))
+
+
+def _with_bin_columns(j: DataFrame) -> DataFrame:
     b = bin_index(F.col("value"), F.col("edges"))
     n = F.size("edges")
     b = F.when(b > n - 2, n - 2).otherwise(b)

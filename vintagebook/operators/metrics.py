@@ -179,13 +179,18 @@ def decile_table(df: DataFrame, score: str, target: str, bins: int = 10, mode: s
     long = df.select(*g, F.col(target).alias("_y"), F.col(score).cast("double").alias("value"))
     long = long.withColumn("variable", F.lit("score") if not g else F.concat_ws("|", *[F.col(c).cast("string") for c in g]))
     fitted = fit_bins(long.filter(F.col("value").isNotNull()), bins, mode)
-    from .binning import apply_bins
-    b = apply_bins(long.filter(F.col("value").isNotNull()), fitted)
+    from .binning import apply_bins, apply_single_bins
+    present = long.filter(F.col("value").isNotNull())
+    b = apply_bins(present, fitted) if g else apply_single_bins(present, fitted)
     y = F.col("_y").cast("double")
     t = b.groupBy(*key, F.col("bin").alias("decile")).agg(
         (F.min("value") * scale).alias("min_score"), (F.max("value") * scale).alias("max_score"),
         F.avg(y).alias("event_rate"), F.count(F.lit(1)).alias("volume"),
         F.sum((F.col("_y") == 1).cast("long")).alias("qt_bads"))
+    if not g:  # the total is one scalar, not a window without partitionBy
+        tot = t.agg(F.sum("qt_bads").alias("_tot_bads"))
+        return (with_row(t, tot).withColumn("perc_total_bads", F.try_divide(F.col("qt_bads"), F.col("_tot_bads")))
+                .drop("_tot_bads"))
     w = Window.partitionBy(*key)
     return t.withColumn("perc_total_bads", F.try_divide(F.col("qt_bads"), F.sum("qt_bads").over(w)))
 
