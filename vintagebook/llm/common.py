@@ -38,7 +38,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and return a reader of it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     _WRITTEN.append(path)
     return spark.read.parquet(path)
 
