@@ -4,8 +4,9 @@ Words are made canonical one by one: punctuation around them is stripped,
 numbers, names (capitalised words) and units become typed placeholders, all
 others are lower-cased.  Windows of ``width`` template words with at least
 ``min_literals`` ordinary words are hashed and joined between benchmark and
-documents, so a question with other numbers or names still matches.  The
-slots (the words behind the placeholders) of the matched windows must then
+documents, so a question with other numbers or names still matches.  A second
+reading leaves names as ordinary words, for texts whose capitals were changed;
+an item counts under the reading that finds more of it.  The slots (the words behind the placeholders) of the matched windows must then
 map one-to-one: a document holds an item when its windows cover at least
 ``coverage`` of the item's and the slot mapping is consistent to at least
 ``consistency``.
@@ -47,12 +48,14 @@ UNITS = frozenset(
     "dollar dollars cent cents euro euros usd eur gbp".split())
 _NUMBER = re.compile(r"[-+]?\d[\d.,:/]*(?:st|nd|rd|th|%|[a-z]{1,3})?$")
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¿¡"
-NUM, NAME, UNIT = 1, 2, 3
+# A template word is 0 (no word), NUM or UNIT, or a hash whose last three bits are NAME or PLAIN.
+NUM, UNIT, NAME, PLAIN = 1, 2, 3, 4
+READINGS = (NAME, PLAIN)  # what a name becomes
 _BASE = 0x9E3779B97F4A7C15
 
 
 def template_of(word: bytes) -> int:
-    """0 (no word), a placeholder's number, or the hash of the lower-cased word."""
+    """The template word of a word of a text."""
     w = word.decode().strip(_STRIP)
     if not w:
         return 0
@@ -61,9 +64,8 @@ def template_of(word: bytes) -> int:
         return NUM
     if low in UNITS:
         return UNIT
-    if w[0].isupper() and len(w) > 1 and w[1:].islower():
-        return NAME
-    return xxhash.xxh64_intdigest(low.encode()) | 4
+    kind = NAME if w[0].isupper() and len(w) > 1 and w[1:].islower() else PLAIN
+    return xxhash.xxh64_intdigest(low.encode()) & ~7 | kind
 
 
 class _Templates(dict):
@@ -79,110 +81,117 @@ class _Templates(dict):
 _KNOWN = _Templates()
 
 
-def _windows(texts: list[bytes | None], width: int, min_literals: int, whole: bool
-             ) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, codes, window starts, their text numbers and hashes; with ``whole``
-    only texts of exactly ``width`` template words count."""
+def _read(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' words, and of the template words: place, text number and code."""
     words, sizes = [], []
     for t in texts:
         w = (t or b"").split()
         words += w
         sizes.append(len(w))
     codes = np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
-    owner = np.repeat(np.arange(len(texts)), sizes)
     real = np.flatnonzero(codes)
-    codes, owner = codes[real], owner[real]
+    return words, real, np.repeat(np.arange(len(texts)), sizes)[real], codes[real]
+
+
+def _windows(codes: np.ndarray, owner: np.ndarray, reading: int, width: int, min_literals: int,
+             whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows; with ``whole`` only texts of exactly
+    ``width`` template words count."""
+    names = codes & np.uint64(7) == NAME
+    codes = np.where(names & (codes > 7), np.uint64(NAME) if reading == NAME
+                     else codes ^ np.uint64(NAME ^ PLAIN), codes)
     n = len(codes) - width + 1
     if n <= 0:
-        none = np.zeros(0, np.int64)
-        return words, real, none, none, none.astype(np.uint64)
-    literals = np.concatenate(([0], np.cumsum(codes > UNIT)))
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    literals = np.concatenate(([0], np.cumsum(codes > 7)))
     ok = (owner[:n] == owner[width - 1:]) & (literals[width:] - literals[:n] >= min_literals)
     if whole:
-        ok &= np.bincount(owner, minlength=len(texts))[owner[:n]] == width
+        ok &= np.bincount(owner, minlength=owner.max() + 1)[owner[:n]] == width
     h = np.zeros(n, np.uint64)
     factor = np.uint64(1)
     with np.errstate(over="ignore"):
         for j in range(width):
-            factor = factor * np.uint64(_BASE) + np.uint64(2 * j + width)
+            factor = factor * np.uint64(_BASE) + np.uint64(2 * (16 * j + reading) + width)
             mixed = codes[j:j + n] * factor
             h += mixed ^ (mixed >> np.uint64(29))
         h ^= h >> np.uint64(32)
     at = np.flatnonzero(ok)
-    return words, real, at, owner[at], h[at]
+    return at, h[at]
 
 
-def _slots(words: list, real: np.ndarray, start: int, width: int) -> list[str]:
-    """The words behind the window's placeholders, with their type in front."""
-    out = []
-    for i in real[start:start + width]:
-        code = _KNOWN[words[i]]
-        if code <= UNIT:
-            out.append(f"{code}{words[i].decode().strip(_STRIP).lower()}")
-    return out
+def _slots(words: list[bytes], codes: np.ndarray, reading: int) -> list[str]:
+    """The words behind a window's placeholders, with their type in front."""
+    return [f"{int(c) & 7}{w.decode().strip(_STRIP).lower()}" for w, c in zip(words, codes)
+            if c < 8 or (reading == NAME and int(c) & 7 == NAME)]
 
 
-_FOUND = "id long, hash long, width int, slots array<string>"
+_FOUND = "id long, hash long, width int, reading int, slots array<string>"
 
 
-def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, int, bool]],
+def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, bool]], min_literals: int,
           cells: bytes | None) -> Iterator[pa.RecordBatch]:
-    """Windows (id, hash, width, slots), each hash once per text.  ``cells``:
-    the bitmap that a hash must hit."""
+    """Windows (id, hash, width, reading, slots), each hash once per text.
+    ``cells``: the bitmap that a hash must hit."""
     marked = np.unpackbits(np.frombuffer(cells, np.uint8)) if cells is not None else None
     for b in batches:
         for i in range(0, b.num_rows, 512):
             part = b.slice(i, 512)
             ids, texts = part.column(0), part.column(1).cast(pa.binary()).to_pylist()
-            at_all, hashes, sizes, slots = [], [], [], []
-            for width, literals, whole in widths:
-                words, real, at, owner, h = _windows(texts, width, literals, whole)
-                if marked is not None:
-                    hit = marked[(h & np.uint64(CELLS - 1)).astype(np.int64)] > 0
-                    at, owner, h = at[hit], owner[hit], h[hit]
-                _, first = np.unique(np.stack([owner.astype(np.uint64), h]), axis=1, return_index=True)
-                for k in np.sort(first):
-                    at_all.append(int(owner[k]))
-                    hashes.append(h[k])
-                    sizes.append(width)
-                    slots.append(_slots(words, real, at[k], width))
+            words, real, owner, codes = _read(texts)
+            rows = []
+            for width, whole in widths:
+                for reading in READINGS:
+                    at, h = _windows(codes, owner, reading, width, min_literals, whole)
+                    if marked is not None:
+                        hit = marked[(h & np.uint64(CELLS - 1)).astype(np.int64)] > 0
+                        at, h = at[hit], h[hit]
+                    seen = set()
+                    for k, x in zip(at.tolist(), h.astype(np.int64).tolist()):
+                        if (owner[k], x) not in seen:
+                            seen.add((owner[k], x))
+                            rows.append((int(owner[k]), x, width, reading, _slots(
+                                [words[j] for j in real[k:k + width]], codes[k:k + width], reading)))
+            at, h, width, reading, slots = zip(*rows) if rows else ([],) * 5
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at_all, pa.int64())),
-                 pa.array(np.array(hashes, np.uint64).astype(np.int64)),
-                 pa.array(sizes, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                names=["id", "hash", "width", "slots"])
+                [ids.take(pa.array(at, pa.int64())), pa.array(h, pa.int64()), pa.array(width, pa.int32()),
+                 pa.array(reading, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
+                names=["id", "hash", "width", "reading", "slots"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals: int = 5,
             coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """(doc_id, item_id, n_windows, coverage, consistency) of the contaminated pairs."""
-    short = [(w, min_literals, True) for w in range(min_literals, width)]
+    sizes = [(width, False), *((w, True) for w in range(min_literals, width))]
     items = benchmark.select("item_id", "text").mapInArrow(
-        lambda it: _emit(it, [(width, min_literals, False), *short], None), _FOUND)
-    items = items.dropDuplicates(["id", "hash", "width"])
+        lambda it: _emit(it, sizes, min_literals, None), _FOUND)
+    items = items.dropDuplicates(["id", "hash", "width", "reading"])
     seen = items.select((F.col("hash").bitwiseAND(F.lit(CELLS - 1))).alias("cell"), "width").distinct()
     rows = seen.toPandas()  # bounded: CELLS cells of at most `width` widths
     bits = np.zeros(CELLS, np.uint8)
     bits[rows["cell"].to_numpy(np.int64)] = 1
     cells = np.packbits(bits).tobytes()
-    used = set(rows["width"])
-    widths = [(w, min_literals, False) for w in sorted(used)] or [(width, min_literals, False)]
-    found = docs.select("doc_id", "text").mapInArrow(lambda it: _emit(it, widths, cells), _FOUND)
-    n_item = items.groupBy("id").agg(F.count(F.lit(1)).alias("n_item"))
-    b = items.join(n_item, "id").select(
+    widths = [(int(w), False) for w in sorted(set(rows["width"]))] or [(width, False)]
+    found = docs.select("doc_id", "text").mapInArrow(
+        lambda it: _emit(it, widths, min_literals, cells), _FOUND)
+    n_item = items.groupBy("id", "reading").agg(F.count(F.lit(1)).alias("n_item"))
+    b = items.join(n_item, ["id", "reading"]).select(
         F.col("id").alias("item_id"), F.col("hash").alias("_h"), F.col("width").alias("_w"),
-        F.col("slots").alias("_s"), "n_item")
-    hit = found.join(b, (F.col("hash") == F.col("_h")) & (F.col("width") == F.col("_w")))
-    pairs = hit.select(F.col("id").alias("doc_id"), "item_id", "hash", "n_item",
+        F.col("reading").alias("_r"), F.col("slots").alias("_s"), "n_item")
+    hit = found.join(b, (F.col("hash") == F.col("_h")) & (F.col("width") == F.col("_w"))
+                     & (F.col("reading") == F.col("_r")))
+    pairs = hit.select(F.col("id").alias("doc_id"), "item_id", "reading", "hash", "n_item",
                        F.explode_outer(F.arrays_zip("_s", "slots")).alias("slot"))
-    measured = pairs.groupBy("doc_id", "item_id", "n_item").agg(
+    measured = pairs.groupBy("doc_id", "item_id", "reading", "n_item").agg(
         F.countDistinct("hash").alias("n_windows"), F.countDistinct("slot").alias("_pairs"),
         F.countDistinct("slot._s").alias("_theirs"), F.countDistinct("slot.slots").alias("_ours"))
-    return measured.select(
+    passed = measured.select(
         "doc_id", "item_id", "n_windows", (F.col("n_windows") / F.col("n_item")).alias("coverage"),
         F.when(F.col("_pairs") == 0, 1.0).otherwise(
             F.least("_theirs", "_ours") / F.col("_pairs")).alias("consistency")
     ).filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistency))
+    best = passed.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("coverage", "consistency", "n_windows")).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.coverage", "b.consistency")
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -5,10 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat_format, licenses, sharding, url_filter
+from . import (chat_format, decontaminate, licenses, packing, quality, sharding, substring_dedup,
+               url_filter)
 from .common import table
 
 
+def op1_min_bin_slack_packing(spark, d):
+    """Every document's pieces in sequences of 4096 ids."""
+    out = packing.pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                      "sequence_id", "offset")
+
+
 def op2_url_filter(spark, d):
     """Every page's verdict, by rules and link-graph propagation."""
     out = url_filter.filter_urls(table(spark, d, "pages"))
@@ -35,6 +43,27 @@ def op5_hash_tree_sharding(spark, d):
                       "grown_shard")
 
 
+def op6_sentence_span_dedup(spark, d):
+    """Every document without the passages it repeats from another one."""
+    out = substring_dedup.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "n_sentences", "n_removed")
+
+
+def op7_quality_rules(spark, d):
+    """Every document's counts and verdict."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = quality.judge(docs, table(spark, d, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", "base_failed", "kept")
+
+
+def op8_template_decontamination(spark, d):
+    """Every document's benchmark items."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = decontaminate.mark_contaminated(docs, table(spark, d, "benchmark"))
+    return out.select("doc_id", "contaminated", "n_items", "item_id", "coverage")
+
+
 def op9_chat_format(spark, d):
     """Every conversation (and -7) formatted, read back from the output."""
     extra = "</s>[INST] ok [/INST]"
@@ -46,6 +75,7 @@ def op9_chat_format(spark, d):
     return chat_format.read_back(windows)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_license_scan, op5_hash_tree_sharding,
-                                   op9_chat_format)}
+QUERIES = {f.__name__: f for f in (
+    op1_min_bin_slack_packing, op2_url_filter, op4_license_scan, op5_hash_tree_sharding,
+    op6_sentence_span_dedup, op7_quality_rules, op8_template_decontamination, op9_chat_format)}
 ORACLES = {"op4_license_scan": licenses.oracle_sql()}

@@ -129,7 +129,7 @@ def _rewrite(batches: Iterator[pa.RecordBatch], text_at: int, runs_at: int, min_
             names=[*names, "n_sentences", "n_removed"])
 
 
-def repeated_runs(docs: DataFrame, min_words: int = 12) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """(doc_id, runs): the runs that each document has from another one."""
     found = docs.select("doc_id", "text").mapInArrow(
         lambda it: _spans(it, min_words), "doc_id long, run long")
@@ -141,7 +141,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 12) -> DataFrame:
             .groupBy("doc_id").agg(F.collect_list("run").alias("runs")))
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 12) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """``docs`` (doc_id, text and any others) with the repeated passages taken
     out of ``text``, and ``n_sentences``, ``n_removed``."""
     drop = repeated_runs(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("runs").alias("_runs"))
