@@ -46,7 +46,7 @@ def op5_hash_tree_sharding(spark, d):
 def op6_sentence_span_dedup(spark, d):
     """Every document without the passages it repeats from another one."""
     out = substring_dedup.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "text", "n_sentences", "n_removed")
+    return out.select("doc_id", "text", "n_removed")
 
 
 def op7_quality_rules(spark, d):

@@ -32,6 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 LONG = 16
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -89,68 +91,74 @@ def runs(units: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, i
 
 
 def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, run, again): the runs of each text, once each; ``again``: it
+    holds the run more than once."""
     for b in batches:
         ids, texts = b.column(0), b.column(1).cast(pa.binary())
-        counts, hashes = np.zeros(b.num_rows, np.int64), []
+        counts, hashes, again = np.zeros(b.num_rows, np.int64), [], []
         for i in range(b.num_rows):
-            found = {h for h, _, _ in runs(sentences(texts[i].as_py() or b""), min_words)}
+            found = np.array([h for h, _, _ in runs(sentences(texts[i].as_py() or b""), min_words)],
+                             np.int64)
+            found, times = np.unique(found, return_counts=True)
             counts[i] = len(found)
-            hashes.append(np.fromiter(found, np.int64, len(found)))
+            hashes.append(found)
+            again.append(times > 1)
         at = np.repeat(np.arange(b.num_rows), counts)
         yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(at)), pa.array(np.concatenate(hashes) if hashes else at)],
-            names=["doc_id", "run"])
+            [ids.take(pa.array(at)), pa.array(np.concatenate(hashes) if hashes else at),
+             pa.array(np.concatenate(again) if again else at > 0)], names=["doc_id", "run", "again"])
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch], text_at: int, runs_at: int, min_words: int
              ) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts, gone = b.column(text_at).cast(pa.binary()).to_pylist(), b.column(runs_at).to_pylist()
-        new, total, removed = [], [], []
-        for text, drop in zip(texts, gone):
-            units = sentences(text or b"")
-            out, seen, covered = set(drop or ()), set(), set()
-            for h, a, z in runs(units, min_words):
-                if h in out or h in seen:
-                    covered.update(range(a, z))
-                seen.add(h)
-            total.append(len(units))
-            removed.append(len(covered))
-            if covered:
+        texts, found = b.column(text_at).cast(pa.binary()).to_pylist(), b.column(runs_at).to_pylist()
+        new, removed = [], []
+        for text, listed in zip(texts, found):
+            covered = set()
+            if text and listed:
+                units, seen = sentences(text), set()
+                own = {x["run"]: x["own"] for x in listed}
+                for h, a, z in runs(units, min_words):
+                    if h in own and (not own[h] or h in seen):
+                        covered.update(range(a, z))
+                    seen.add(h)
                 starts = [0, *(u[0] for u in units)]
                 text = b"".join(text[starts[i]:u[0]] for i, u in enumerate(units)
                                 if i not in covered)
+            removed.append(len(covered))
             new.append(text)
         cols = [pa.array(new, pa.binary()).cast(pa.string()) if i == text_at else c
                 for i, c in enumerate(b.columns) if i != runs_at]
         names = [n for i, n in enumerate(b.schema.names) if i != runs_at]
-        yield pa.RecordBatch.from_arrays(
-            [*cols, pa.array(total, pa.int32()), pa.array(removed, pa.int32())],
-            names=[*names, "n_sentences", "n_removed"])
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(removed, pa.int32())],
+                                         names=[*names, "n_removed"])
 
 
 def repeated_runs(docs: DataFrame, min_words: int = 20) -> DataFrame:
-    """(doc_id, runs): the runs that each document has from another one."""
-    found = docs.select("doc_id", "text").mapInArrow(
-        lambda it: _spans(it, min_words), "doc_id long, run long")
-    owners = (found.groupBy("run").agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1 and owner is not null").select(F.col("run").alias("_run"), "owner"))
-    other = F.col("doc_id").isNull() | (F.col("doc_id") > F.col("owner"))
-    return (found.join(owners, F.col("run") == F.col("_run")).filter(other)
-            .select("doc_id", "run").distinct()
-            .groupBy("doc_id").agg(F.collect_list("run").alias("runs")))
+    """(doc_id, runs): the runs that each document has from another one
+    (``own`` false) or holds more than once itself (``own`` true: the first
+    stays)."""
+    found = materialize(docs.select("doc_id", "text").mapInArrow(
+        lambda it: _spans(it, min_words), "doc_id long, run long, again boolean"), "span-runs")
+    owners = (found.groupBy("run").agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n"),
+                                       F.max("again").alias("_again"))
+              .filter("n > 1 or _again").select(F.col("run").alias("_run"), "owner"))
+    other = F.col("owner").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("owner")))
+    return (found.join(owners, F.col("run") == F.col("_run")).filter(other | F.col("again"))
+            .groupBy("doc_id", "run").agg(F.min(~other).alias("own"))
+            .groupBy("doc_id").agg(F.collect_list(F.struct("run", "own")).alias("runs")))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """``docs`` (doc_id, text and any others) with the repeated passages taken
-    out of ``text``, and ``n_sentences``, ``n_removed``."""
+    out of ``text``, and ``n_removed`` sentences."""
+    if "n_removed" in docs.columns:
+        raise ValueError("rename the column n_removed first")
     drop = repeated_runs(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("runs").alias("_runs"))
     joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     names = joined.columns
-    fields = [f for f in docs.schema.fields if f.name not in ("n_sentences", "n_removed")]
-    if len(fields) < len(docs.schema.fields):
-        raise ValueError("rename the columns n_sentences and n_removed first")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields),
-                        "n_sentences int", "n_removed int"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
+                        "n_removed int"])
     text_at, runs_at = names.index("text"), names.index("_runs")
     return joined.mapInArrow(lambda it: _rewrite(it, text_at, runs_at, min_words), schema)
