@@ -24,6 +24,7 @@ columns are ignored; a text of any length is cut into windows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import dense_positions, materialize
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 LONG_WORD = 64
 
 
@@ -56,21 +57,26 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes | None], close: int) -> list[bytes]:
         end = np.array([close], self.dtype).tobytes()
-        split = [(t or b"").split() for t in texts]
         known = self.cache
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        long = {w for w in new if len(w) > LONG_WORD}
-        short = [w for w in new if w not in long]
-        for i in range(0, len(short), 20_000):
-            part = short[i:i + 20_000]
-            known.update(zip(part, self._ids(part)))
-        if not long:
-            return [b"".join([known[w] for w in words]) + end for words in split]
-        once = {w: self._ids([w])[0] for w in long}
-        return [b"".join([known[w] if len(w) <= LONG_WORD else once[w] for w in words]) + end
-                for words in split]
+        split = [(t or b"").split() for t in texts]
+        words = list(chain.from_iterable(split))
+        ids = list(map(known.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        new = list({words[i] for i in gaps})
+        made = {}
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
+            made.update(zip(part, self._ids(part)))
+        for i in gaps:
+            ids[i] = made[words[i]]
+        known.update((w, x) for w, x in made.items() if len(w) <= LONG_WORD)
+        out, at = [], 0
+        for w in split:
+            out.append(b"".join(ids[at:at + len(w)]) + end)
+            at += len(w)
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
