@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,3 +79,30 @@ def dense_positions(rows: DataFrame, by: str, row_id: str, n_rows: int, weight:
                            & (F.col("_salt") == F.col("_cell")))
     return joined.withColumn(out, F.col("_sum") + F.col("_shift")).drop(
         "_salt", "_sum", "_by", "_cell", "_shift")
+
+
+def word_table(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of an Arrow batch of texts (null: none) as (starts, index,
+    words): text i has the words ``words[index[starts[i]:starts[i + 1]]]``,
+    and ``words`` holds each distinct one once.  ``lower``: A-Z lower-cased."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = lists.values.dictionary_encode()
+    starts, index = np.asarray(lists.offsets), np.asarray(coded.indices)
+    words = coded.dictionary
+    empty = np.flatnonzero(np.asarray(pc.equal(words, "")))
+    if len(empty):  # at the ends of texts
+        keep = index != empty[0]
+        starts = np.concatenate(([0], np.cumsum(keep)))[starts]
+        index = index[keep]
+    return starts, index, words
+
+
+def text_slices(batch: pa.RecordBatch, column: int, most: int = 16_000_000):
+    """Cut a batch into slices of at most ``most`` bytes of text (or one row)."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
+    part = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)

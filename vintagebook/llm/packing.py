@@ -24,14 +24,13 @@ columns are ignored; a text of any length is cut into windows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_positions, materialize
+from .common import dense_positions, materialize, text_slices, word_table
 
 CACHE_WORDS = 1_500_000
 LONG_WORD = 64
@@ -55,50 +54,50 @@ class WordEncoder:
         made = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in made]
 
-    def encode(self, texts: list[bytes | None], close: int) -> list[bytes]:
-        end = np.array([close], self.dtype).tobytes()
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The texts' ids; distinct words are looked up once a batch and laid
+        out word after word, so that a text is a stretch of the result."""
+        starts, index, found = word_table(texts)
+        words = found.cast(pa.large_binary()).to_pylist()
         known = self.cache
         if len(known) > CACHE_WORDS:
             known.clear()
-        split = [(t or b"").split() for t in texts]
-        words = list(chain.from_iterable(split))
         ids = list(map(known.get, words))
         gaps = [i for i, x in enumerate(ids) if x is None]
-        new = list({words[i] for i in gaps})
-        made = {}
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            made.update(zip(part, self._ids(part)))
-        for i in gaps:
-            ids[i] = made[words[i]]
-        known.update((w, x) for w, x in made.items() if len(w) <= LONG_WORD)
-        out, at = [], 0
-        for w in split:
-            out.append(b"".join(ids[at:at + len(w)]) + end)
-            at += len(w)
-        return out
+        for k in range(0, len(gaps), 20_000):
+            part = gaps[k:k + 20_000]
+            for i, x in zip(part, self._ids([words[i] for i in part])):
+                ids[i] = x
+                if len(words[i]) <= LONG_WORD:
+                    known[words[i]] = x
+        laid = pa.array(ids, pa.large_binary()).take(pa.array(index))
+        _, offsets, data = laid.buffers()
+        ends = np.frombuffer(offsets, np.int64)[laid.offset:][starts]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts),
+                                     [None, pa.py_buffer(ends.astype(np.int64)), data])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, close: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     if path not in _ENCODERS:  # kept between tasks of one worker, with its word cache
         _ENCODERS[path] = WordEncoder(path)
     enc = _ENCODERS[path]
     for b in batches:
-        for i in range(0, b.num_rows, 1000):
-            part = b.slice(i, 1000)
-            ids = enc.encode(part.column(1).cast(pa.binary()).to_pylist(), close)
-            sizes = np.array([len(x) // enc.dtype.itemsize for x in ids], np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()),
-                                              pa.array(sizes)], names=["doc_id", "ids", "n_ids"])
+        for part in text_slices(b, 1):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), enc.encode(part.column(1)).cast(pa.binary())], names=["doc_id", "ids"])
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, close: int) -> DataFrame:
     """(doc_id, ids, n_ids): ids in the tokenizer's narrowest width, ``close`` last."""
-    return docs.select("doc_id", "text").mapInArrow(
-        lambda it: _encode(it, tokenizer, close), "doc_id long, ids binary, n_ids long")
+    size = WordEncoder(tokenizer).dtype.itemsize
+    end = F.lit(bytearray(int(close).to_bytes(size, "little")))
+    ids = docs.select("doc_id", "text").mapInArrow(
+        lambda it: _encode(it, tokenizer), "doc_id long, ids binary")
+    return ids.select("doc_id", F.concat("ids", end).alias("ids")).withColumn(
+        "n_ids", (F.octet_length("ids") / size).cast("long"))
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
