@@ -81,12 +81,12 @@ def dense_positions(rows: DataFrame, by: str, row_id: str, n_rows: int, weight:
         "_salt", "_sum", "_by", "_cell", "_shift")
 
 
-def word_table(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """The words of an Arrow batch of texts (null: none) as (starts, index,
     words): text i has the words ``words[index[starts[i]:starts[i + 1]]]``,
-    and ``words`` holds each distinct one once.  ``lower``: A-Z lower-cased."""
+    and ``words`` holds each distinct one once."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    lists = pc.ascii_split_whitespace(texts)
     coded = lists.values.dictionary_encode()
     starts, index = np.asarray(lists.offsets), np.asarray(coded.indices)
     words = coded.dictionary
