@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, licenses, packing, quality, sharding, substring_dedup,
-               url_filter)
+from . import (chat_format, decontaminate, jaccard, licenses, lm_score, packing, quality, sharding,
+               substring_dedup, url_filter)
 from .common import table
 
 
@@ -23,6 +23,12 @@ def op2_url_filter(spark, d):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_lattice_lm_score(spark, d):
+    """Every document's probability over all segmentations of its words."""
+    return lm_score.score_documents(table(spark, d, "documents"),
+                                    public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_license_scan(spark, d):
     """Every document's licence sentences and licences."""
     out = licenses.scan_licenses(table(spark, d, "documents"))
@@ -75,7 +81,13 @@ def op9_chat_format(spark, d):
     return chat_format.read_back(windows)
 
 
+def op10_parity_sketch_join(spark, d):
+    """Every document's shingles and component of near duplicates."""
+    return jaccard.similar_documents(table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_min_bin_slack_packing, op2_url_filter, op4_license_scan, op5_hash_tree_sharding,
-    op6_sentence_span_dedup, op7_quality_rules, op8_template_decontamination, op9_chat_format)}
+    op1_min_bin_slack_packing, op2_url_filter, op3_lattice_lm_score, op4_license_scan,
+    op5_hash_tree_sharding, op6_sentence_span_dedup, op7_quality_rules,
+    op8_template_decontamination, op9_chat_format, op10_parity_sketch_join)}
 ORACLES = {"op4_license_scan": licenses.oracle_sql()}
