@@ -98,7 +98,7 @@ def word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return starts, index, words
 
 
-def text_slices(batch: pa.RecordBatch, column: int, most: int = 16_000_000):
+def text_slices(batch: pa.RecordBatch, column: int, most: int = 8_000_000):
     """Cut a batch into slices of at most ``most`` bytes of text (or one row)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     part = np.cumsum(sizes) // most

@@ -17,8 +17,8 @@ Block values are joined by hash, and documents with equal sets are one class
 from the start.  A group of classes with one value is compared on dense parity
 sketches (as many bits as shingles, or up to twice that): a pair survives when
 their Hamming distance allows the similarity.  First every member is verified,
-exactly, on the shingle sets, against its nearest surviving predecessor in the
-group only; then the survivors that still lie in different components are.  So
+exactly, on the shingle sets, against its nearest survivors before and after
+it in the group only; then the survivors that still lie in different components are.  So
 no link between components is lost, none inside one is spent, and a group is
 never expanded into its pairs.  Groups with the same members are compared
 once; a group of over ``GROUP`` members is compared in cells of two parts.
@@ -89,11 +89,22 @@ def classes_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.array(a, np.uint64)).view(np.int64), np.array(b, np.uint64).view(np.int64)
 
 
-_SETS = "doc_id long, n int, cls long, check long, shingle long, times long"
+def band_of(n: int) -> int:
+    return n.bit_length() - 1
+
+
+def parity_sketch(s: np.ndarray) -> bytes:
+    """The set's dense sketch, of 2 ** (band + 1) bits and at least 64."""
+    bits = max(64, 2 << band_of(len(s)))
+    flips = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+_SETS = "doc_id long, n int, cls long, check long, sketch binary, shingle long, times long"
 
 
 def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row (doc_id, n, cls, check) for each document, and a row (shingle,
+    """A row (doc_id, n, cls, check, sketch) for each document, and a row (shingle,
     times) for each shingle that a slice of documents holds more than once."""
     for b in batches:
         for part in text_slices(b, 1):
@@ -110,13 +121,11 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                 pa.concat_arrays([pa.array([len(s) for s in sets], pa.int32()), null(pa.int32(), m)]),
                 pa.concat_arrays([pa.array(cls), null(pa.int64(), m)]),
                 pa.concat_arrays([pa.array(check), null(pa.int64(), m)]),
+                pa.concat_arrays([pa.array([parity_sketch(s) if len(s) else None for s in sets],
+                                           pa.binary()), null(pa.binary(), m)]),
                 pa.concat_arrays([null(pa.int64(), k), pa.array(shingle)]),
                 pa.concat_arrays([null(pa.int64(), k), pa.array(times.astype(np.int64))]),
-            ], names=["doc_id", "n", "cls", "check", "shingle", "times"])
-
-
-def band_of(n: int) -> int:
-    return n.bit_length() - 1
+            ], names=["doc_id", "n", "cls", "check", "sketch", "shingle", "times"])
 
 
 def block_bits(band: int) -> int:
@@ -169,15 +178,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy
                     names=["key", "cls"])
 
 
-def parity_sketch(s: np.ndarray) -> bytes:
-    """The set's dense sketch, of 2 ** (band + 1) bits and at least 64."""
-    bits = max(64, 2 << band_of(len(s)))
-    flips = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
-
-
 def _sets(batches: Iterator[pa.RecordBatch], n: int, cells: bytes) -> Iterator[pa.RecordBatch]:
-    """(cls, n, sketch, shingles) of the classes in the bitmap ``cells``, once a slice."""
+    """(cls, shingles) of the classes in the bitmap ``cells``, once a slice."""
     marked = np.unpackbits(np.frombuffer(cells, np.uint8))
     for b in batches:
         for part in text_slices(b, 0):
@@ -186,10 +188,8 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int, cells: bytes) -> Iterator[p
             first = np.unique(cls, return_index=True)[1]
             first = [i for i in first[marked[cls[first] & (CELLS - 1)] > 0] if len(sets[i])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cls[first]), pa.array([len(sets[i]) for i in first], pa.int32()),
-                 pa.array([parity_sketch(sets[i]) for i in first], pa.binary()),
-                 pa.array([sets[i].tobytes() for i in first], pa.binary())],
-                names=["cls", "n", "sketch", "shingles"])
+                [pa.array(cls[first]), pa.array([sets[i].tobytes() for i in first], pa.binary())],
+                names=["cls", "shingles"])
 
 
 def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
@@ -233,29 +233,32 @@ def survivors(n: np.ndarray, sketch: list[bytes], part: np.ndarray, root: np.nda
 def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: bool
              ) -> Iterator[pa.RecordBatch]:
     """(a, b) of the surviving pairs of each group, rows sorted by (key, one,
-    two, cls); ``nearest``: only the nearest predecessor of each member."""
+    two, cls); ``nearest``: of each member only the nearest survivors before
+    and after it, so that every member with a survivor is in some pair."""
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             return
         c = {x: rows.column(x).to_numpy() for x in ("cls", "n", "part", "root")}
-        best = np.full(rows.num_rows, 1 << 60), np.zeros(rows.num_rows, np.int64)
+        best = [(np.full(rows.num_rows, 1 << 60), np.zeros(rows.num_rows, np.int64)) for _ in range(2)]
         for i, j, far in survivors(c["n"].astype(np.int64), rows.column("sketch").to_pylist(),
                                    c["part"], c["root"], t):
             if not nearest:
                 yield pa.RecordBatch.from_arrays([pa.array(c["cls"][j]), pa.array(c["cls"][i])],
                                                  names=["a", "b"])
                 continue
-            order = np.lexsort((far, i))
-            i, j, far = i[order], j[order], far[order]
-            first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1]))) if len(i) else i
-            i, j, far = i[first], j[first], far[first]
-            less = far < best[0][i]
-            best[0][i[less]], best[1][i[less]] = far[less], j[less]
-        if nearest:
-            i = np.flatnonzero(best[0] < 1 << 60)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c["cls"][best[1][i]]), pa.array(c["cls"][i])], names=["a", "b"])
+            for (least, other), x, y in zip(best, (i, j), (j, i)):
+                order = np.lexsort((far, x))
+                x, y, d = x[order], y[order], far[order]
+                first = np.flatnonzero(np.diff(x, prepend=-1))
+                x, y, d = x[first], y[first], d[first]
+                less = d < least[x]
+                least[x[less]], other[x[less]] = d[less], y[less]
+        for least, other in best:
+            x = np.flatnonzero(least < 1 << 60)
+            lo, hi = np.minimum(x, other[x]), np.maximum(x, other[x])
+            yield pa.RecordBatch.from_arrays([pa.array(c["cls"][lo]), pa.array(c["cls"][hi])],
+                                             names=["a", "b"])
 
     held = None
     for b in batches:
@@ -325,10 +328,9 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
         F.sum(F.xxhash64(F.lit(1), F.col("cls")).bitwiseAND(F.lit((1 << 40) - 1))).alias("_s"))
     chosen = members.groupBy("size", "_x", "_s").agg(F.min("key").alias("key")).select("key", "size")
     groups = materialize(shared.join(chosen, "key"), "jaccard-groups")
-    cells = _bitmap(groups.select(F.col("cls").bitwiseAND(F.lit(CELLS - 1)).alias("cell")))
-    sets = materialize(
-        text.mapInArrow(lambda it: _sets(it, n, cells), "cls long, n int, sketch binary, shingles binary")
-        .join(groups.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
+    sketches = materialize(
+        described.filter("n > 0").select("cls", "n", "sketch")
+        .join(groups.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sketches")
 
     def compared(rooted: DataFrame, nearest: bool) -> DataFrame:
         """Surviving pairs of ``rooted`` (key, size, cls, root)."""
@@ -336,17 +338,24 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
         dealt = (rooted.withColumn("part", F.pmod(F.xxhash64("cls"), parts))
                  .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
                  .withColumn("one", F.least("part", "_o")).withColumn("two", F.greatest("part", "_o")))
-        return (dealt.join(sets.select("cls", "n", "sketch"), "cls")
+        return (dealt.join(sketches, "cls")
                 .select("key", "one", "two", "cls", "root", "part", "n", "sketch")
                 .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "cls")
                 .mapInArrow(lambda it: _compare(it, similarity, nearest), "a long, b long").distinct())
 
+    near = materialize(compared(groups.withColumn("root", F.col("cls")), True), "jaccard-pairs")
+    # the sets of the classes that survive a comparison
+    alive = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    cells = _bitmap(alive.select(F.col("cls").bitwiseAND(F.lit(CELLS - 1)).alias("cell")))
+    sets = materialize(text.mapInArrow(lambda it: _sets(it, n, cells), "cls long, shingles binary")
+                       .join(alive, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         full = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a").join(
             sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
         return full.select("a", "b", "x", "y").mapInArrow(lambda it: _verify(it, similarity), "a long, b long")
 
-    links = materialize(verified(compared(groups.withColumn("root", F.col("cls")), True)), "jaccard-links")
+    links = materialize(verified(near), "jaccard-links")
     roots = connected_components(links)
     # groups that still span components
     rooted = groups.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
