@@ -153,10 +153,11 @@ def categorize_numericals(df: DataFrame, bins: int = 10, prefix: str = "BIN_",
 
 
 def tree_bins_apply(df: DataFrame, col: str, uppers: Sequence[float], out: str) -> DataFrame:
-    """Bin by sorted upper bounds (numpy ``digitize`` right=True semantics)."""
+    """Bin by sorted upper bounds as numpy ``digitize`` does: a value equal to a
+    bound goes to the bin above it."""
     arr = F.array(*[F.lit(float(u)) for u in uppers])
     v = F.col(col).cast("double")
-    return df.withColumn(out, F.when(v.isNotNull(), F.size(F.filter(arr, lambda u: u < v))))
+    return df.withColumn(out, F.when(v.isNotNull(), F.size(F.filter(arr, lambda u: u <= v))))
 
 
 def noise_jitter(c: str | Column, seed: int = 42, scale: float = 1e-4,
@@ -168,9 +169,3 @@ def noise_jitter(c: str | Column, seed: int = 42, scale: float = 1e-4,
     u = (F.abs(F.xxhash64(*parts, F.lit(seed))) % F.lit(1_000_003)).cast("double") / 1_000_003
     return col.cast("double") + u * scale
 
-
-def edges_mapping_table(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    rows = [(k, i, float(lo), float(hi)) for k, e in edges.items()
-            for i, (lo, hi) in enumerate(zip(e[:-1], e[1:]))]
-    return df.sparkSession.createDataFrame(
-        rows, "variable string, bin int, bin_low double, bin_high double")

@@ -90,17 +90,29 @@ def order_fact_join(orders: DataFrame, items: DataFrame, sellers: DataFrame,
     )
 
 
-def review_fact_join(reviews: DataFrame, items: DataFrame) -> DataFrame:
+def _in_range(df: DataFrame, safra_range: tuple[int, int] | None, ts_col: str) -> DataFrame:
+    """Rows of the vintages, bounded on the timestamp too so that it reaches the scan."""
+    if safra_range is None:
+        return df
+    df = df.filter(F.col("safra").between(*safra_range))
+    return safra_ts_range(df, ts_col, *safra_range) if ts_col in df.columns else df
+
+
+def review_fact_join(reviews: DataFrame, items: DataFrame, safra_range: tuple[int, int] | None = None,
+                     ts_col: str = "review_creation_date") -> DataFrame:
     """reviews -> items on order_id, seller known.  The sellers table adds no
     column the reviews book reads, so it is left out of the plan."""
+    reviews = _in_range(reviews, safra_range, ts_col)
     it = items.filter(F.col("seller_id").isNotNull()).select("order_id", "seller_id")
     return (reviews.join(it, "order_id")
             .select("seller_id", "review_score", "review_creation_date", "safra"))
 
 
 def target_fact_join(orders: DataFrame, items: DataFrame, status: str | None = "DELIVERED",
-                     status_col: str = "order_status") -> DataFrame:
+                     status_col: str = "order_status", safra_range: tuple[int, int] | None = None,
+                     ts_col: str = "order_purchase_timestamp") -> DataFrame:
     """(seller_id, price, safra) for every sold item; only orders and items are read."""
+    orders = _in_range(orders, safra_range, ts_col)
     o = orders if status is None else orders.filter(F.col(status_col) == F.lit(status))
     it = items.filter(F.col("seller_id").isNotNull()).select("order_id", "seller_id", "price")
     return o.select("order_id", "safra").join(it, "order_id").select("seller_id", "price", "safra")

@@ -177,7 +177,7 @@ def decile_table(df: DataFrame, score: str, target: str, bins: int = 10, mode: s
     g = list(group_cols)
     key = [*g] if g else []
     long = df.select(*g, F.col(target).alias("_y"), F.col(score).cast("double").alias("value"))
-    long = long.withColumn("variable", F.lit("score") if not g else F.concat_ws("|", *[F.col(c).cast("string") for c in g]))
+    long = long.withColumn("variable", F.lit("score") if not g else F.to_json(F.struct(*g)))
     fitted = fit_bins(long.filter(F.col("value").isNotNull()), bins, mode)
     from .binning import apply_bins, apply_single_bins
     present = long.filter(F.col("value").isNotNull())

@@ -4,21 +4,18 @@ from __future__ import annotations
 
 import math
 import random
-import re
-import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .metrics import roc_auc
+from .metrics import probability_metrics, roc_auc
 
 FEATURES_COL = "features"
 
@@ -124,25 +121,23 @@ GBT_SPACE: dict[str, tuple] = {
 
 def cv_search(train: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
               space: Mapping[str, tuple] = GBT_SPACE, n_trials: int = 100, folds: int = 5,
-              timeout_s: float = 600.0, patience: int = 10, seed: int = 42) -> DataFrame:
+              patience: int = 10, seed: int = 42) -> DataFrame:
     """Random search with stratified k-fold mean ROC AUC.
 
-    Stops after ``n_trials``, ``timeout_s`` seconds, or ``patience`` trials
-    without improvement.  Each fold fit and its AUC are distributed jobs;
+    Stops after ``n_trials`` or ``patience`` trials without improvement; every
+    trial counts with all its folds, and no clock decides.  Each fold fit and its AUC are distributed jobs;
     the loop only walks the (bounded) list of trials.  The fold table is
     checkpointed once so every trial reads the same rows."""
     rng = random.Random(seed)
     data = stratified_folds(assemble(train, features), label, key, folds, seed)
     data = checkpointed(data.select(FEATURES_COL, F.col(label).cast("double").alias(label), "fold"))
-    rows, best, stale, t0 = [], -1.0, 0, time.time()
+    rows, best, stale = [], -1.0, 0
     for trial in range(n_trials):
-        if time.time() - t0 > timeout_s or stale >= patience:
+        if stale >= patience:
             break
         params = _sample_params(space, rng)
         aucs = []
         for f in range(folds):
-            if aucs and time.time() - t0 > timeout_s:
-                break
             est = GBTClassifier(featuresCol=FEATURES_COL, labelCol=label, seed=seed, **params)
             m = est.fit(data.filter(F.col("fold") != f))
             s = m.transform(data.filter(F.col("fold") == f)).withColumn(
@@ -185,8 +180,9 @@ def permute_within_blocks(df: DataFrame, col: str, seed: int, blocks: int | None
     schema = df.schema
 
     def perm(it):
+        from pyspark import TaskContext
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
         for pdf in it:
-            rng = np.random.default_rng(seed + len(pdf))
             pdf[col] = rng.permutation(pdf[col].to_numpy())
             yield pdf
 
@@ -194,52 +190,73 @@ def permute_within_blocks(df: DataFrame, col: str, seed: int, blocks: int | None
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str,
-                           n_repeats: int = 5, seed: int = 42) -> DataFrame:
-    """Mean drop of ROC AUC when one feature is permuted (per feature)."""
-    base = roc_auc(score(model, df, features), "score", label).first()["auc"]
+                           n_repeats: int = 5, seed: int = 42,
+                           metric: str = "average_precision") -> DataFrame:
+    """Mean drop of ``metric`` ("average_precision" or "auc") when one feature is
+    permuted, per feature over ``n_repeats`` permutations."""
+    def measure(scored: DataFrame) -> float:
+        if metric == "auc":
+            return roc_auc(scored, "score", label).first()["auc"]
+        return probability_metrics(scored, "score", label).first()["average_precision"]
+
+    base = measure(score(model, df, features))
     rows = []
     for f in features:
         drops = []
         for r in range(n_repeats):
             p = permute_within_blocks(df, f, seed + r)
-            drops.append(base - roc_auc(score(model, p, features), "score", label).first()["auc"])
+            drops.append(base - measure(score(model, p, features)))
         rows.append((f, float(sum(drops) / len(drops)), float(base)))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double, base_auc double") \
+    return df.sparkSession.createDataFrame(rows, "feature string, importance double, base_score double") \
         .orderBy(F.col("importance").desc())
 
 
-_SPLIT = re.compile(r"feature \d+ <= ([-0-9.eE]+)")
-
-
-def tree_bins_fit(df: DataFrame, col: str, target: str, n_bins: int = 5, seed: int = 42) -> DataFrame:
-    """Supervised bins from a one-feature decision tree.
-
-    Spark trees have no leaf-count limit, so the tree is grown to depth
-    ceil(log2(n_bins)) and its split thresholds are the bin upper bounds
-    (at most n_bins - 1 kept, shallowest splits first).  A regression tree
-    on the 0/1 target picks the same splits as a Gini classification tree
-    (2p(1-p) is proportional to the variance p(1-p)) and, unlike Spark's
-    classifier, does not prune sibling leaves that predict the same class.  Per bin: event
-    rate, volume, lower bound = previous upper bound, outer bounds +-inf."""
-    depth = max(1, math.ceil(math.log2(max(n_bins, 2))))
-    data = assemble(df.filter(F.col(col).isNotNull()), [col]).select(
-        FEATURES_COL, F.col(target).cast("double").alias(target), F.col(col).cast("double").alias(col))
-    m = DecisionTreeRegressor(maxDepth=depth, featuresCol=FEATURES_COL, labelCol=target,
-                              seed=seed).fit(data)
-    seen: list[float] = []
-    for t in _SPLIT.findall(m.toDebugString):
-        v = float(t)
-        if v not in seen:
-            seen.append(v)
-    uppers = sorted(seen[: n_bins - 1])
-    arr = F.array(*[F.lit(u) for u in uppers])
-    b = data.withColumn("bin", F.size(F.filter(arr, lambda u: u < F.col(col))))
-    stats = b.groupBy("bin").agg(F.avg(target).alias("event_rate"), F.count(F.lit(1)).alias("volume"))
-    bounds = [float("-inf")] + uppers + [float("inf")]
-    edges = df.sparkSession.createDataFrame(
-        [(i, bounds[i], bounds[i + 1]) for i in range(len(bounds) - 1)],
-        "bin int, lower double, upper double")
-    return edges.join(stats, "bin", "left").orderBy("bin")
+def _gini_gain(cells: Sequence[tuple], a: int, z: int) -> tuple[float, int]:
+    """(gain, position) of the best cut of the cells a..z-1 (0: no cut)."""
+    n, y = (sum(c[k] for c in cells[a:z]) for k in (2, 3))
+    best, left_n, left_y = (0.0, 0), 0, 0.0
+    for i in range(a, z - 1):
+        left_n, left_y = left_n + cells[i][2], left_y + cells[i][3]
+        rest_n, rest_y = n - left_n, y - left_y
+        gain = left_y ** 2 / left_n + rest_y ** 2 / rest_n - y ** 2 / n
+        if gain > best[0] + 1e-12:
+            best = (gain, i + 1)
+    return best
+
+
+def tree_bins_fit(df: DataFrame, col: str, target: str, n_bins: int = 5, cells: int = 1024
+                  ) -> DataFrame:
+    """Supervised bins: the leaves of a one-feature tree grown best-first.
+
+    The values are cut into at most ``cells`` quantile cells, one aggregation
+    counts rows and events per cell, and on that small table the leaf with the
+    largest Gini gain is split until there are ``n_bins`` leaves or no split
+    gains.  A bound lies half-way between the neighbouring cells' values.  Per
+    bin: event rate, volume, lower and upper bound (outer bounds +-inf).  No
+    rows with a value give one empty bin."""
+    from .prefix import exact_quantiles
+    v = F.col(col).cast("double")
+    data = df.filter(v.isNotNull() & F.col(target).isNotNull()).select(
+        v.alias("v"), F.col(target).cast("double").alias("y"))
+    probs = [i / cells for i in range(1, cells)]
+    cuts = sorted({r["value"] for r in exact_quantiles(data, "v", probs).collect()})
+    arr = F.lit(cuts).cast("array<double>")
+    counted = data.groupBy(F.size(F.filter(arr, lambda u: u < F.col("v"))).alias("cell")).agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+    table = [(r["lo"], r["hi"], r["n"], r["y"]) for r in counted.orderBy("cell").collect()]
+    leaves = [(0, len(table))] if table else []
+    while 0 < len(leaves) < n_bins:
+        gain, at, leaf = max((*_gini_gain(table, a, z), (a, z)) for a, z in leaves)
+        if gain <= 0:
+            break
+        leaves = sorted([x for x in leaves if x != leaf] + [(leaf[0], at), (at, leaf[1])])
+    uppers = [(table[z - 1][1] + table[z][0]) / 2 for _, z in leaves[:-1]]
+    bounds = [float("-inf"), *uppers, float("inf")]
+    rows = [(i, bounds[i], bounds[i + 1], sum(c[3] for c in table[a:z]) / sum(c[2] for c in table[a:z]),
+             sum(c[2] for c in table[a:z])) for i, (a, z) in enumerate(leaves)]
+    return df.sparkSession.createDataFrame(
+        rows or [(0, bounds[0], bounds[1], None, 0)],
+        "bin int, lower double, upper double, event_rate double, volume long").orderBy("bin")
 
 
 def noise_jitter_deciles(df: DataFrame, score_col: str, target: str, bins: int = 10,
@@ -251,6 +268,3 @@ def noise_jitter_deciles(df: DataFrame, score_col: str, target: str, bins: int =
     j = df.withColumn("_jit", noise_jitter(F.col(score_col), seed, keys=keys))
     return decile_table(j, "_jit", target, bins, "qcut", scale=1.0)
 
-
-def fit_pipeline(stages: Sequence, df: DataFrame):
-    return Pipeline(stages=list(stages)).fit(df)

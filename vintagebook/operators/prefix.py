@@ -56,8 +56,7 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
     table (a scalar subquery without groups); the bucket is the number of
     cut points below the value: ranges (-inf, c0], (c0, c1], ..., (c_last, inf).
     The large side is not shuffled by group and no nested-loop join is
-    planned.  As with a range join, NULL values only survive when there is a
-    single range."""
+    planned.  NULL values are a range of their own below all others."""
     g = list(group_cols)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.groupBy(*g).agg(
@@ -65,8 +64,8 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
             F.percentile_approx(F.col(order_col).cast("double"), probs, 10000))).alias("_cuts"))
     j = df.join(_small(cuts, rows_bound), g) if g else with_row(df, cuts)
     v = F.col(order_col).cast("double")
-    j = j.filter(F.col("_cuts").isNotNull() & (v.isNotNull() | (F.size("_cuts") == 0)))
-    return j.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < v))).drop("_cuts")
+    ranks = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda c: c < v))
+    return j.withColumn("_bucket", F.when(v.isNull(), -1).otherwise(ranks)).drop("_cuts")
 
 
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],

@@ -186,13 +186,14 @@ def kde_by_target(df: DataFrame, cols: Sequence[str], target: str, grid: int = 2
     """Gaussian KDE (Scott bandwidth) per (variable, class) on a ``grid``-point
     axis.  Raw values are first reduced to ``fine_bins`` histogram centres, so
     the kernel sum costs grid x fine_bins per (variable, class) whatever the
-    row count; the binning shifts each value by at most half a fine bin."""
+    row count; classes with one value only have no density and are left out; the binning shifts each value by at most half a fine bin."""
     long = (df.select(F.col(target).alias("cls"), *[F.col(c).cast("double").alias(c) for c in cols])
             .unpivot(["cls"], list(cols), "variable", "value").filter(F.col("value").isNotNull()))
     st = long.groupBy("variable", "cls").agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("sd"),
         F.min("value").alias("mn"), F.max("value").alias("mx"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    st = st.filter("bw > 0")  # a constant class has no density
     j = long.join(F.broadcast(st), ["variable", "cls"])
     width = (F.col("mx") - F.col("mn")) / fine_bins
     fb = F.least(F.floor(F.try_divide(F.col("value") - F.col("mn"), width)), F.lit(fine_bins - 1))

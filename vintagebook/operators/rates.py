@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from .bounded import with_row
+
 
 def _as_category(df: DataFrame, var: str, digits: int = 4):
     f = df.schema[var]
@@ -83,7 +85,7 @@ def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "variable", "value"))
     g = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("count"))
-    g = g.withColumn("pct", F.round(F.col("count") / F.sum("count").over(Window.partitionBy("variable")) * 100, 2))
+    g = share_of_total(g, "count", ["variable"], "pct").withColumn("pct", F.round(F.col("pct") * 100, 2))
     tot = g.groupBy("variable").agg(F.lit("Total").alias("value"), F.sum("count").alias("count"),
                                     F.lit(100.0).alias("pct"))
     return g.unionByName(tot)
@@ -91,11 +93,13 @@ def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def crosstab_normalized(df: DataFrame, col: str, target: str, classes: Sequence = (0, 1)
                         ) -> DataFrame:
-    """Row-normalised cross table (share of each target class per value)."""
-    p = (df.filter(F.col(col).isNotNull() & F.col(target).isNotNull())
-         .groupBy(col).pivot(target, list(classes)).count().fillna(0))
-    tot = sum((F.col(f"`{c}`") for c in classes), F.lit(0))
-    return p.select(col, *[(F.col(f"`{c}`") / tot).alias(f"share_{c}") for c in classes])
+    """Row-normalised cross table: each listed class's share of all rows of the
+    value (rows of other classes count in the total)."""
+    p = df.filter(F.col(col).isNotNull() & F.col(target).isNotNull()).groupBy(col).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(target) == F.lit(c)).alias(f"_{i}") for i, c in enumerate(classes)])
+    return p.select(col, *[(F.col(f"_{i}") / F.col("_n")).alias(f"share_{c}")
+                           for i, c in enumerate(classes)])
 
 
 def pivot_count(df: DataFrame, index: str, target: str, values: Sequence) -> DataFrame:
@@ -118,6 +122,15 @@ def category_frequency(df: DataFrame, max_card: int = 30,
 
 def share_of_total(df: DataFrame, col: str, by: Sequence[str] = (), name: str | None = None
                    ) -> DataFrame:
-    """``col`` divided by its total (within ``by``) on an aggregated table."""
-    w = Window.partitionBy(*by)
-    return df.withColumn(name or f"share_{col}", F.try_divide(F.col(col), F.sum(col).over(w)))
+    """``col`` divided by its total (within ``by``; over all rows as one scalar)."""
+    name = name or f"share_{col}"
+    if not by:
+        t = with_row(df, df.agg(F.sum(col).alias("_total")))
+    else:
+        sums = df.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.sum(col).alias("_total"))
+        on = None
+        for c in by:
+            e = F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+            on = e if on is None else on & e
+        t = df.join(sums, on).drop(*[f"_by_{c}" for c in by])
+    return t.withColumn(name, F.try_divide(F.col(col), F.col("_total"))).drop("_total")

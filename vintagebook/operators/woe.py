@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from .binning import apply_bins, fit_bins, to_long
 
@@ -159,13 +159,45 @@ def logodds_linearity(df: DataFrame, target: str, variables: Sequence[str],
                       clip: float | None = None) -> DataFrame:
     """R^2 of the per-bin mean of x against the bin's log-odds.
 
-    Equal-width bins, ``min(max_bins, distinct)`` of them; bins whose
-    log-odds are infinite are dropped (``clip=None``) or the event rate is
+    Numeric variables: equal-width bins, ``min(max_bins, distinct)`` of them.
+    Text variables: a bin per value, x its position in sorted order among
+    the values kept.  Bins whose log-odds are infinite are dropped (``clip=None``) or the event rate is
     clipped to [clip, 1 - clip].  Variables with one distinct value are
     skipped.  One job bins every variable (bin count via one distinct-count
     aggregation), one groupBy computes bin means, one ``regr_r2``.
     """
-    long = to_long(df, list(variables), [target]).filter(F.col("value").isNotNull())
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    texts = [v for v in variables if isinstance(kinds[v], StringType)]
+    long = to_long(df, [v for v in variables if v not in texts], [target]).filter(
+        F.col("value").isNotNull()) if len(texts) < len(variables) else None
+    g = _numeric_bins(long, target, max_bins) if long is not None else None
+    if texts:
+        values = (df.select(F.col(target), *texts).unpivot([target], texts, "variable", "value")
+                  .filter(F.col("value").isNotNull()))
+        t = values.groupBy("variable", "value").agg(F.avg(F.col(target).cast("double")).alias("rate"))
+        several = t.groupBy("variable").agg(F.count(F.lit(1)).alias("nd")).filter("nd > 1").select("variable")
+        t = t.join(several, "variable", "left_semi")
+    rate = F.col("rate")
+    if clip is not None:
+        rate = F.least(F.greatest(rate, F.lit(clip)), F.lit(1 - clip))
+
+    def finite(binned: DataFrame) -> DataFrame:
+        x = binned.withColumn("log_odds", F.log(F.try_divide(rate, 1 - rate)))
+        return x.filter(F.col("log_odds").isNotNull() & ~F.isnan("log_odds")
+                        & (F.abs("log_odds") != float("inf")))
+
+    points = finite(g).select("variable", "x", "log_odds") if g is not None else None
+    if texts:  # one row a value: positions over the aggregated table only
+        place = F.row_number().over(Window.partitionBy("variable").orderBy("value")).cast("double")
+        placed = finite(t).select("variable", (place - 1).alias("x"), "log_odds")
+        points = placed if points is None else points.unionByName(placed)
+    r = points.groupBy("variable").agg(F.regr_r2("log_odds", "x").alias("r2"))
+    return r.select("variable", "r2", F.when(F.col("r2") > threshold, LINEAR_LABEL)
+                    .otherwise(CATEGORIZE_LABEL).alias("feat_eng"))
+
+
+def _numeric_bins(long: DataFrame, target: str, max_bins: int) -> DataFrame:
+    """(variable, bin, x, rate) of equal-width bins."""
     nd = long.groupBy("variable").agg(F.count_distinct("value").alias("nd"),
                                       F.min("value").alias("mn"), F.max("value").alias("mx"))
     nd = nd.filter(F.col("nd") > 1)
@@ -178,14 +210,5 @@ def logodds_linearity(df: DataFrame, target: str, variables: Sequence[str],
     fitted = nd.select("variable", edges.alias("edges"))
     j = long.join(F.broadcast(fitted), "variable")
     b = j.withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))) - 1)
-    g = b.groupBy("variable", "bin").agg(F.avg("value").alias("x"),
-                                         F.avg(F.col(target).cast("double")).alias("rate"))
-    rate = F.col("rate")
-    if clip is not None:
-        rate = F.least(F.greatest(rate, F.lit(clip)), F.lit(1 - clip))
-    g = g.withColumn("log_odds", F.log(F.try_divide(rate, 1 - rate)))
-    g = g.filter(F.col("log_odds").isNotNull() & ~F.isnan("log_odds")
-                 & (F.abs("log_odds") != float("inf")))
-    r = g.groupBy("variable").agg(F.regr_r2("log_odds", "x").alias("r2"))
-    return r.select("variable", "r2", F.when(F.col("r2") > threshold, LINEAR_LABEL)
-                    .otherwise(CATEGORIZE_LABEL).alias("feat_eng"))
+    return b.groupBy("variable", "bin").agg(F.avg("value").alias("x"),
+                                            F.avg(F.col(target).cast("double")).alias("rate"))

@@ -30,8 +30,7 @@ def book_reviews(reviews: DataFrame, items: DataFrame, safra: int,
                  months: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
     """(seller_id, safra, 25 aggregates of review_score, 4 ratios)."""
     from ..functions.dates import shift_safra_value
-    r = reviews.filter(F.col("safra").between(shift_safra_value(safra, -max(months)), safra))
-    fact = review_fact_join(r, items)
+    fact = review_fact_join(reviews, items, (shift_safra_value(safra, -max(months)), safra))
     return book_for_safra(fact, "seller_id", "safra", safra, REVIEW_VALUES, "_reviews",
                           months=months)
 
@@ -40,14 +39,19 @@ def book_orders_backfill(orders: DataFrame, items: DataFrame, sellers: DataFrame
                          customers: DataFrame, safras: Sequence[int], regions=None,
                          status: str | None = "DELIVERED",
                          values: Sequence[str] = ORDER_VALUES) -> DataFrame:
+    from ..functions.dates import shift_safra_value
     kw = {} if regions is None else {"regions": regions}
-    fact = order_fact_join(orders, items, sellers, customers, status=status, **kw)
+    fact = order_fact_join(
+        orders, items, sellers, customers, status=status,
+        safra_range=(shift_safra_value(min(safras), -max(DEFAULT_WINDOWS)), max(safras)), **kw)
     return book_backfill(fact, "seller_id", "safra", safras, values, "_orders",
                          group_extra=("seller_region",))
 
 
 def book_reviews_backfill(reviews: DataFrame, items: DataFrame, safras: Sequence[int],
                           months: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
-    fact = review_fact_join(reviews, items)
+    from ..functions.dates import shift_safra_value
+    fact = review_fact_join(reviews, items,
+                            (shift_safra_value(min(safras), -max(months)), max(safras)))
     return book_backfill(fact, "seller_id", "safra", safras, REVIEW_VALUES, "_reviews",
                          months=months)

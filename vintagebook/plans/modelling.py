@@ -15,17 +15,14 @@ from ..operators import encode as E
 from ..operators import metrics as M
 from ..operators import profile as PF
 from ..operators import rates as RT
-from ..operators.model import sample_rows
 
 
 def preprocess_select(df: DataFrame, target: str, key: Sequence[str], corr_threshold: float = 0.5,
-                      max_null_pct: float = 70.0, min_var: float | None = 0.1,
-                      sample: int | None = 85000) -> tuple[DataFrame, list[str], DataFrame]:
-    """Optional deterministic sample -> drop columns above ``max_null_pct``
-    nulls -> mean / mode imputation -> target encoding of text columns ->
-    low-variance cut -> correlation cut.  Returns (frame, dropped, profile)."""
-    if sample is not None:
-        df = sample_rows(df, sample, key)
+                      max_null_pct: float = 70.0, min_var: float | None = 0.1
+                      ) -> tuple[DataFrame, list[str], DataFrame]:
+    """Drop columns above ``max_null_pct`` nulls -> mean / mode imputation ->
+    target encoding of text columns -> low-variance cut -> correlation cut, all
+    fitted on and returning every row.  Returns (frame, dropped, profile)."""
     feats = [c for c in df.columns if c != target and c not in key]
     profile = PF.column_profile(df.select(*feats))
     keep_rows = profile.filter(F.col("pct_nulls") <= max_null_pct).select("variable").collect()

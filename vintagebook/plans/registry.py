@@ -99,14 +99,16 @@ def q_book_reviews_backfill(spark, d):
     return book_reviews_backfill(R.reviews(spark, d), R.items(spark, d), ABT_SAFRAS)
 
 
-def _seller_fact(spark, d):
-    return target_fact_join(R.orders(spark, d), R.items(spark, d), status=R.DELIVERED_STATUS)
+def _seller_fact(spark, d, safra_range=None):
+    return target_fact_join(R.orders(spark, d), R.items(spark, d), status=R.DELIVERED_STATUS,
+                            safra_range=safra_range)
 
 
 @register("inactivity_target", O.target_sql(O.TARGET_FACT, "r_target_fact", "seller_id",
                                             safra=R.REFERENCE_SAFRA))
 def q_inactivity_target(spark, d):
-    return inactivity_target(_seller_fact(spark, d), "seller_id", safra=R.REFERENCE_SAFRA)
+    bounds = (R.REFERENCE_SAFRA, shift_safra_value(R.REFERENCE_SAFRA, 2))
+    return inactivity_target(_seller_fact(spark, d, bounds), "seller_id", safra=R.REFERENCE_SAFRA)
 
 
 @register("inactivity_target_all_safras",
@@ -125,7 +127,8 @@ def _abt(spark, d):
     roles = _order_roles(spark, d)
     bo = book_orders_backfill(safras=ABT_SAFRAS, **roles)
     br = book_reviews_backfill(R.reviews(spark, d), roles["items"], ABT_SAFRAS)
-    tg = inactivity_target(_seller_fact(spark, d), "seller_id", safras=ABT_SAFRAS)
+    bounds = (ABT_SAFRAS[0], shift_safra_value(ABT_SAFRAS[-1], 2))
+    tg = inactivity_target(_seller_fact(spark, d, bounds), "seller_id", safras=ABT_SAFRAS)
     return build_abt(tg, [bo, br], (ABT_SAFRAS[0], ABT_SAFRAS[-1]))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
@@ -70,11 +72,10 @@ def q_rf_select(spark, d):
 @register("cv_search")
 def q_cv(spark, d):
     tr, _ = _split(spark, d)
-    # The check run uses a small search budget; the defaults of cv_search keep
-    # the full budget (100 trials, 600 s, patience 10).
+    # The number of trials is the search's budget; every trial fits all folds.
     space = {"maxDepth": ("int", 2, 4), "maxIter": ("int", 5, 15), "stepSize": ("log", 0.05, 0.3)}
     return ML.cv_search(tr, NUMERIC, "target", ["l_orderkey", "l_linenumber", "l_partkey"],
-                        space=space, n_trials=2, folds=5, timeout_s=120, patience=10)
+                        space=space, n_trials=2, folds=5, patience=10)
 
 
 @register("fit_best_score")
@@ -93,7 +94,7 @@ def q_logit(spark, d):
 def q_perm(spark, d):
     tr, te = _split(spark, d)
     m = ML.fit_tree_models(tr, NUMERIC, "target", ["decision_tree"])["decision_tree"]
-    return ML.permutation_importance(m, te, NUMERIC, "target", n_repeats=2)
+    return ML.permutation_importance(m, te, NUMERIC, "target")
 
 
 @register("tree_bins")
@@ -115,6 +116,16 @@ def q_report(spark, d):
     return rep["auc"].join(rep["ks"], "split").join(rep["confusion"], "split")
 
 
+@register("model_report_curves")
+def q_report_curves(spark, d):
+    """The report's ROC and precision-recall curves per split."""
+    lab = R.labelled(spark, d)
+    split = F.when(F.col("safra") < R.TEST_FROM_SAFRA, "train").otherwise("test")
+    rep = MD.model_report(lab.withColumn("split", split), "score", "target")
+    return rep["roc"].withColumn("curve", F.lit("roc")).unionByName(
+        rep["pr"].withColumn("curve", F.lit("pr")), allowMissingColumns=True)
+
+
 @register("preprocess_select")
 def q_preprocess(spark, d):
     df = R.items_with_parts(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "target",
@@ -129,8 +140,9 @@ def q_dataprep(spark, d):
                                              "target", *NUMERIC, "p_brand", "p_type")
     tr = ip.filter(F.col("safra") < R.TEST_FROM_SAFRA).drop("safra")
     te = ip.filter(F.col("safra") >= R.TEST_FROM_SAFRA).drop("safra")
-    _, te_out, _ = MD.dataprep(tr, te, "target", ["l_orderkey", "l_linenumber", "l_partkey"])
-    return te_out
+    tr_out, te_out, _ = MD.dataprep(tr, te, "target", ["l_orderkey", "l_linenumber", "l_partkey"])
+    return tr_out.withColumn("split", F.lit("train")).unionByName(
+        te_out.withColumn("split", F.lit("test")))
 
 
 @register("column_transformer")
@@ -138,9 +150,10 @@ def q_column_transformer(spark, d):
     ip = R.items_with_parts(spark, d)
     tr = ip.filter(F.col("safra") < R.TEST_FROM_SAFRA)
     te = ip.filter(F.col("safra") >= R.TEST_FROM_SAFRA)
-    _, te_out = MD.column_transformer(tr, te, "target", ["l_orderkey", "l_linenumber"],
-                                      ["l_linestatus"], ["p_brand", "p_type"], NUMERIC)
-    return te_out
+    tr_out, te_out = MD.column_transformer(tr, te, "target", ["l_orderkey", "l_linenumber"],
+                                           ["l_linestatus"], ["p_brand", "p_type"], NUMERIC)
+    return tr_out.withColumn("split", F.lit("train")).unionByName(
+        te_out.withColumn("split", F.lit("test")))
 
 
 # ---------------------------------------------------------------- sources
@@ -155,6 +168,6 @@ def q_scan_csv(spark, d):
     c = R.table(spark, d, "customer").select(
         *[F.col(x).cast("decimal(18,2)").cast("string").alias(x) if x == "c_acctbal" else F.col(x).cast("string")
           for x in _CUSTOMER_COLS])
-    path = scratch_path(spark, f"landing_customer_{abs(hash(d)) % 10**8}")
+    path = scratch_path(spark, f"landing_customer_{zlib.crc32(d.encode())}")
     write_csv(c, path)
     return scan_csv_strings(spark, path, _CUSTOMER_COLS)

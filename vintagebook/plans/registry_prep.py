@@ -153,7 +153,7 @@ def q_box(spark, d):
 
 @register("kde_by_target")
 def q_kde(spark, d):
-    return PF.kde_by_target(R.labelled(spark, d), ["l_extendedprice", "l_quantity"], "target", grid=50)
+    return PF.kde_by_target(R.labelled(spark, d), ["l_extendedprice", "l_quantity"], "target")
 
 
 @register("narrow_types", """

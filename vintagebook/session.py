@@ -37,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we create one under /tmp.
+    as is; without it there is no folder that all executors see, and this
+    raises.  Only a local session gets a folder of its own when it is unset.
     Under Spark Connect there is no SparkContext; the server's setting is used.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cur:
         cur = sc.getCheckpointDir()
     if not cur:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="vintagebook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
     if not sc.getCheckpointDir():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from ..session import checkpointed
@@ -67,7 +68,11 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys: Seq
     while it is read, so the merged rows of the touched partitions are first
     materialised with ``checkpoint()`` (the shared ``spark.checkpoint.dir``,
     survives executor loss) and then written back with dynamic partition
-    overwrite.  Returns the merged rows of the touched partitions.
+    overwrite.  Touched are the partitions of the source rows and those that
+    hold one of their keys, so a row that moves to another partition leaves its
+    old one (which is written again without it; an old partition that becomes
+    empty is deleted by a full rewrite of the table).  Duplicate source keys fail, as in MERGE.
+    Returns the merged rows of the touched partitions.
     """
     from ..session import ensure_checkpoint_dir
     if fmt == "delta":  # pragma: no cover - needs the Delta jar
@@ -82,12 +87,22 @@ def merge_into_path(spark: SparkSession, path: str, source: DataFrame, keys: Seq
     if target is None:  # no table yet: the first write creates it
         write_table(source, path, fmt, partition_by)
         return source
-    if partition_by:
-        touched = source.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
-    merged = upsert_hash_gated(target, source.select(*target.columns), keys, hash_col)
-    merged = checkpointed(merged)
-    write_table(merged, path, fmt, partition_by)
+    source = source.select(*target.columns)
+    if not partition_by:
+        merged = checkpointed(upsert_hash_gated(target, source, keys, hash_col, check_unique=True))
+        write_table(merged, path, fmt)
+        return merged
+    held = target.join(source.select(*keys), list(keys), "left_semi").select(*partition_by)
+    touched = checkpointed(source.select(*partition_by).unionByName(held).distinct())
+    old = target.join(touched, list(partition_by), "left_semi")
+    merged = checkpointed(upsert_hash_gated(old, source, keys, hash_col, check_unique=True))
+    emptied = touched.join(merged.select(*partition_by).distinct(), list(partition_by), "left_anti")
+    if emptied.isEmpty():
+        write_table(merged, path, fmt, partition_by)
+    else:  # dynamic overwrite cannot empty a partition
+        rest = checkpointed(target.join(touched, list(partition_by), "left_anti").unionByName(merged))
+        rest.write.format(fmt).mode("overwrite").partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "static").save(path)
     return merged
 
 
@@ -99,8 +114,10 @@ def read_existing(spark: SparkSession, path: str, schema, fmt: str = "parquet")
         df = spark.read.schema(schema).format(fmt).load(path)
         df.inputFiles()  # lists the folder: fails when it does not exist
         return df
-    except Exception:  # noqa: BLE001
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def ensure_table_like(spark: SparkSession, df: DataFrame, path: str,
