@@ -12,8 +12,8 @@ EDGES_PER_TASK = 250_000
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): ``root`` is the smallest
-    node of its component, and has no row of its own.
+    """(node, root) for every node of ``edges`` (a, b), a written table: ``root``
+    is the smallest node of its component, and has no row of its own.
 
     Each round points every node's larger neighbours at the smallest one it
     sees (large star), then its smaller ones (small star), until nothing
@@ -22,8 +22,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     join that skew handling can split.  Edges are read as one partition per
     ``EDGES_PER_TASK``, so rounds over few edges cost few tasks.
     """
-    cur = materialize(edges.filter("a != b").select(
-        F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    cur = edges.filter("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
     seen = _state(cur)
     while True:
         dealt = cur.coalesce(seen[0] // EDGES_PER_TASK + 1)

@@ -33,9 +33,11 @@ ignored.  Shingles and classes are identified by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +47,7 @@ from .components import connected_components
 
 HEAVY = 1 << 18   # shingles whose frequency is known
 CELLS = 1 << 24   # bits of the bitmap of classes to be verified
-GROUP = 8192      # members of a group that one task compares with as many
+GROUP = 2048      # members of a group that one task compares with as many
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,8 +150,9 @@ def block_keys(s: np.ndarray, freq: np.ndarray, band: int, choose: int) -> np.nd
 
 def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy: np.ndarray,
             times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(key, cls): the chosen blocks of every document, once a class and slice."""
+    """(key, cls): the chosen blocks of every document, once a class and task."""
     num, den = t
+    done: set[int] = set()
     for b in batches:
         for part in text_slices(b, 0):
             sets = shingle_sets(part.column(0), n)
@@ -158,8 +161,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy
             for i in np.unique(cls, return_index=True)[1]:
                 s = sets[i]
                 size = len(s)
-                if not size:
+                if not size or int(cls[i]) in done:
                     continue
+                done.add(int(cls[i]))
                 at = np.searchsorted(heavy, s)
                 at[at == len(heavy)] = 0
                 freq = np.where(heavy[at] == s, times[at], 1) if len(heavy) else np.ones(size, np.int64)
@@ -200,34 +204,65 @@ def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return sketches
 
 
-def survivors(n: np.ndarray, sketch: list[bytes], part: np.ndarray, root: np.ndarray,
-              t: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs_of(cuts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) in pieces of about two million: the pairs j < i inside each group
+    of ``most`` members or fewer; ``cuts`` are the groups' bounds."""
+    size = np.diff(cuts)
+    few = (size > 1) & (size <= most)
+    rows = np.repeat(cuts[:-1][few], size[few])
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(size[few]) - size[few], size[few])
+    piece = np.cumsum(place) // 2_000_000
+    for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(piece)) + 1):
+        start, before = rows[at], place[at]
+        j = np.arange(before.sum()) - np.repeat(np.cumsum(before) - before, before)
+        yield np.repeat(start + before, before), j + np.repeat(start, before)
+
+
+def _blocks_of(cuts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) as a column and a row of a matrix of about two million cells: the
+    members of the groups of more than ``most``."""
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if z - a > most:
+            step = max(1, 2_000_000 // (z - a))
+            for k in range(a, z, step):
+                last = min(z, k + step)
+                yield np.arange(k, last)[:, None], np.arange(a, last)[None, :]
+
+
+def survivors(rows: pa.Table, cuts: np.ndarray, t: tuple[int, int], most: int = 64
+              ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(i, j, distance) in pieces: the pairs j < i of different roots (and of
-    different parts, if there are two) whose sizes and sketches allow the
-    similarity."""
+    different parts, where a cell has two) in each group of rows whose sizes
+    and sketches allow the similarity."""
     num, den = t
-    words = np.array([len(x) // 8 for x in sketch])
-    packed = {w: np.array([np.frombuffer(x, np.uint64) for x in sketch if len(x) == 8 * w])
-              for w in np.unique(words).tolist()}
-    member = {w: np.flatnonzero(words == w) for w in packed}
-    two = len(np.unique(part)) > 1
-    for w, rows in member.items():
-        for v in (v for v in packed if v in (w, w // 2, 2 * w)):
-            cols, narrow = member[v], min(v, w)
-            right = _folded(packed[v], narrow)
-            step = max(1, 2_000_000 // (len(cols) * narrow))
-            for k in range(0, len(rows), step):
-                i = rows[k:k + step]
-                left = _folded(packed[w][k:k + step], narrow)
-                far = np.bitwise_count(left[:, None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int64)
-                a, b = n[i][:, None], n[cols][None, :]
-                ok = ((far * (den + num) <= (a + b) * (den - num)) & (cols[None, :] < i[:, None])
-                      & (den * np.minimum(a, b) >= num * np.maximum(a, b))
-                      & (root[i][:, None] != root[cols][None, :]))
-                if two:
-                    ok &= part[i][:, None] != part[cols][None, :]
-                x, y = np.nonzero(ok)
-                yield i[x], cols[y], far[x, y]
+    n = rows.column("n").to_numpy().astype(np.int64)
+    part, root, one, two = (rows.column(x).to_numpy() for x in ("part", "root", "one", "two"))
+    cell = np.where(one == two, np.arange(len(n)), part)  # differs from its partner's, if they may pair
+    sketch = rows.column("sketch").combine_chunks()
+    words = np.asarray(pc.binary_length(sketch)).astype(np.int64) // 8
+    slot, packed = np.zeros(len(n), np.int64), {}
+    for w in np.unique(words).tolist():
+        mine = np.flatnonzero(words == w)
+        slot[mine] = np.arange(len(mine))
+        packed[w] = np.frombuffer(b"".join(sketch.take(pa.array(mine)).to_pylist()), np.uint64).reshape(-1, w)
+    for i, j in chain(_pairs_of(cuts, most), _blocks_of(cuts, most)):
+        a, b = n[i], n[j]
+        ok = ((den * np.minimum(a, b) >= num * np.maximum(a, b)) & (root[i] != root[j])
+              & (cell[i] != cell[j]) & (j < i))
+        if ok.ndim == 2:
+            x, y = np.nonzero(ok)
+            i, j = x + i[0, 0], y + j[0, 0]
+        else:
+            i, j = i[ok], j[ok]
+        kind = words[i] * (1 << 32) + words[j]
+        for k in np.unique(kind).tolist():
+            w, v = k >> 32, k & 0xFFFFFFFF
+            x, narrow = np.flatnonzero(kind == k), min(w, v)
+            left, right = _folded(packed[w], narrow), _folded(packed[v], narrow)
+            for x in np.array_split(x, len(x) * narrow // 4_000_000 + 1):
+                far = np.bitwise_count(left[slot[i[x]]] ^ right[slot[j[x]]]).sum(axis=1, dtype=np.int64)
+                x, far = (z[far * (den + num) <= (n[i[x]] + n[j[x]]) * (den - num)] for z in (x, far))
+                yield i[x], j[x], far
 
 
 def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: bool
@@ -236,28 +271,22 @@ def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: boo
     two, cls); ``nearest``: of each member only the nearest survivors before
     and after it, so that every member with a survivor is in some pair."""
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def pairs(rows: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             return
-        c = {x: rows.column(x).to_numpy() for x in ("cls", "n", "part", "root")}
-        best = [(np.full(rows.num_rows, 1 << 60), np.zeros(rows.num_rows, np.int64)) for _ in range(2)]
-        for i, j, far in survivors(c["n"].astype(np.int64), rows.column("sketch").to_pylist(),
-                                   c["part"], c["root"], t):
-            if not nearest:
-                yield pa.RecordBatch.from_arrays([pa.array(c["cls"][j]), pa.array(c["cls"][i])],
-                                                 names=["a", "b"])
-                continue
-            for (least, other), x, y in zip(best, (i, j), (j, i)):
-                order = np.lexsort((far, x))
-                x, y, d = x[order], y[order], far[order]
-                first = np.flatnonzero(np.diff(x, prepend=-1))
-                x, y, d = x[first], y[first], d[first]
-                less = d < least[x]
-                least[x[less]], other[x[less]] = d[less], y[less]
-        for least, other in best:
-            x = np.flatnonzero(least < 1 << 60)
-            lo, hi = np.minimum(x, other[x]), np.maximum(x, other[x])
-            yield pa.RecordBatch.from_arrays([pa.array(c["cls"][lo]), pa.array(c["cls"][hi])],
+        cls = rows.column("cls").to_numpy()
+        none = np.iinfo(np.int64).max
+        best = np.full((2, len(cls)), none)  # distance and row of the nearest
+        for i, j, far in survivors(rows, cuts, t):
+            if nearest:
+                np.minimum.at(best[0], i, far << 32 | j)
+                np.minimum.at(best[1], j, far << 32 | i)
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(cls[j]), pa.array(cls[i])], names=["a", "b"])
+        for other in best:
+            x = np.flatnonzero(other < none)
+            y = other[x] & 0xFFFFFFFF
+            yield pa.RecordBatch.from_arrays([pa.array(cls[np.minimum(x, y)]), pa.array(cls[np.maximum(x, y)])],
                                              names=["a", "b"])
 
     held = None
@@ -267,12 +296,11 @@ def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: boo
         if not rows.num_rows:
             continue
         at = np.stack([rows.column(x).to_numpy() for x in ("key", "one", "two")])
-        cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist()]
-        for x, y in zip(cuts, cuts[1:]):
-            yield from pairs(rows.slice(x, y - x))
+        cuts = np.concatenate(([0], np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1))
+        yield from pairs(rows.slice(0, cuts[-1]), cuts)
         held = rows.slice(cuts[-1])
     if held is not None:
-        yield from pairs(held)
+        yield from pairs(held, np.array([0, held.num_rows]))
 
 
 def _verify(batches: Iterator[pa.RecordBatch], t: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -308,9 +336,7 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     text = docs.select("text")
     described = materialize(docs.select("doc_id", "text").mapInArrow(
         lambda it: _describe(it, n), _SETS), "jaccard-classes")
-    classes = materialize(
-        described.filter("n > 0").groupBy("cls", "check", "n").agg(F.min("doc_id").alias("first")),
-        "jaccard-first")
+    classes = described.filter("n > 0").groupBy("cls", "check", "n").agg(F.min("doc_id").alias("first"))
     top = (described.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
            .orderBy(F.desc("times"), "shingle").limit(HEAVY).toPandas())
     heavy, times = top["shingle"].to_numpy(np.int64).view(np.uint64), top["times"].to_numpy(np.int64)
@@ -321,13 +347,14 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     alike = Window.partitionBy("key")
     shared = materialize(
         keys.withColumn("_first", F.min("cls").over(alike)).withColumn("_last", F.max("cls").over(alike))
-        .filter("_first != _last").select("key", "cls").distinct(), "jaccard-shared")
+        .filter("_first != _last").select("key", "cls").distinct().select(
+            "key", "cls", F.count(F.lit(1)).over(alike).alias("size"),
+            F.bit_xor(F.xxhash64("cls")).over(alike).alias("_x"),
+            F.sum(F.xxhash64(F.lit(1), F.col("cls")).bitwiseAND(F.lit((1 << 40) - 1))).over(alike).alias("_s")),
+        "jaccard-shared")
     # of the groups with the same members, one
-    members = shared.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")).alias("_x"),
-        F.sum(F.xxhash64(F.lit(1), F.col("cls")).bitwiseAND(F.lit((1 << 40) - 1))).alias("_s"))
-    chosen = members.groupBy("size", "_x", "_s").agg(F.min("key").alias("key")).select("key", "size")
-    groups = materialize(shared.join(chosen, "key"), "jaccard-groups")
+    chosen = shared.groupBy("size", "_x", "_s").agg(F.min("key").alias("key")).select("key")
+    groups = materialize(shared.select("key", "cls", "size").join(chosen, "key"), "jaccard-groups")
     sketches = materialize(
         described.filter("n > 0").select("cls", "n", "sketch")
         .join(groups.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sketches")
@@ -363,8 +390,9 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     split = rooted.groupBy("key").agg(F.min("root").alias("_l"), F.max("root").alias("_h")).filter(
         "_l != _h").select("key")
     across = compared(rooted.join(split, "key", "left_semi"), False)
-    links = links.unionByName(materialize(verified(across), "jaccard-links"))
-    roots = connected_components(links)
+    more = materialize(verified(across), "jaccard-links")
+    roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    links = links.unionByName(more)
     degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(
         F.count(F.lit(1)).alias("n_links"))
     members = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(
