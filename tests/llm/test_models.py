@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from vintagebook.llm import components, jaccard as J, lm_score as M
@@ -165,3 +166,50 @@ def test_connected_components(spark):
     got = {r.node: r.root for r in components.connected_components(
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root if find(x) != x}
+
+
+def _cells(rng, groups, two_parts):
+    """Rows as `_compare` reads them: near copies in groups, two parts in every second one."""
+    rows = []
+    for key, size in enumerate(groups):
+        base = np.unique(rng.integers(0, 1 << 62, 120, dtype=np.uint64))
+        for m in range(size):
+            cut = int(rng.integers(0, 70))
+            s = np.sort(np.concatenate([base[cut:], rng.integers(0, 1 << 62, cut // 4 + 1, dtype=np.uint64)]))
+            split = two_parts and key % 2
+            rows.append((key, 0, int(split), key * 1000 + m, m % 2 if split else 0, int(rng.integers(0, 4)),
+                         len(s), J.parity_sketch(s)))
+    names = ["key", "one", "two", "cls", "part", "root", "n", "sketch"]
+    return pa.table({x: [r[i] for r in rows] for i, x in enumerate(names)}), rows
+
+
+@pytest.mark.parametrize("two_parts", [False, True])
+def test_compare_against_all_pairs(two_parts):
+    """Small groups (as pair lists), large ones (as blocks) and batch bounds give the
+    pairs that the distance of the sketches allows; the nearest ones cover every member."""
+    t, rows = _cells(np.random.default_rng(3), [1, 2, 5, 63, 64, 65, 130, 1, 3], two_parts)
+    want, far_of = set(), {}
+    for j, y in enumerate(rows):
+        for x in rows[j + 1:]:
+            if x[0] != y[0] or x[5] == y[5] or (x[1] != x[2] and x[4] == y[4]):
+                continue
+            w = min(len(x[7]), len(y[7])) // 8
+            a, b = (J._folded(np.frombuffer(z[7], np.uint64)[None, :], w) for z in (x, y))
+            far = int(np.bitwise_count(a ^ b).sum())
+            if 100 * min(x[6], y[6]) >= 80 * max(x[6], y[6]) and far * 180 <= (x[6] + y[6]) * 20:
+                want.add((y[3], x[3]))
+                far_of[y[3], x[3]] = far
+    assert len(want) > 500
+    for size in (7, 64, 1000):
+        def run(nearest):
+            return [p for b in J._compare(iter(t.to_batches(size)), (80, 100), nearest)
+                    for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        found = run(False)
+        assert len(found) == len(want) and set(found) == want
+        near = set(run(True))
+        assert near <= want
+        for member in {m for p in want for m in p}:
+            for side in (0, 1):
+                mine = [far_of[p] for p in want if p[side] == member]
+                if mine:
+                    assert min(mine) in [far_of[p] for p in near if p[side] == member]
