@@ -115,7 +115,6 @@ def q_incremental(spark, d):
 
 
 @register("filter_status_range", f"""
-SELECT * FROM ({O.ROLE_VIEWS.replace('r_orders AS', 'x AS', 0)} SELECT 1) WHERE FALSE""" if False else f"""
 WITH {O.ROLE_VIEWS.strip()}
 SELECT * FROM r_orders WHERE order_status = '{R.DELIVERED_STATUS}' AND safra IN (200005, 200006)""")
 def q_filter_status(spark, d):
