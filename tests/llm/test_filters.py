@@ -134,6 +134,27 @@ def test_quality_of_messy_rows(messy, nothing, spark):
 
 
 # ---------------------------------------------------------------- passages
+def test_fluent_toxic_documents_go_and_clean_ones_stay(spark):
+    rng = np.random.default_rng(3)
+    plain, rude = [f"{a}{b}" for a in ("bra", "mel", "tor", "sin", "gal") for b in ("ved", "lun", "kir", "pos")], [
+        "idiot", "scum", "moron", "loser"]
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 6 == 0
+        words = [str(rng.choice(rude if toxic and k % 8 == 0 else plain)) for k in range(120)]
+        rows.append((i, " ".join(words)))
+        labels += [(i, 1, int(toxic))] if i % 2 == 0 or toxic else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in Q.judge(docs, labels, min_trusted=100).collect()}
+    cut = np.quantile([r.score for i, r in got.items() if i % 2 == 0 and i % 6], Q.CUT_SHARE)
+    assert all(r.kept == (not r.base_failed and r.score >= cut) for r in got.values())
+    assert not any(got[i].kept for i in got if i % 6 == 0)
+    assert sum(not got[i].kept for i in got if i % 6) <= 60  # of 1,000 clean ones, half unlabelled
+    few = Q.judge(docs, labels).filter("kept").count()  # 400 trusted documents: the fixed threshold
+    assert few == sum(not r.base_failed for r in got.values())
+
+
 def sentence_text(seed, n):
     r = np.random.default_rng(seed)
     return " ".join("".join(chr(97 + c) for c in r.integers(0, 26, r.integers(2, 9))) +
