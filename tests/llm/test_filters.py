@@ -83,6 +83,75 @@ def test_licence_rules_need_their_order(spark, messy, nothing):
     assert all(any(re.search(L.ANCHORS, s) for _ in [0]) for ss in L.SENTENCES.values() for s in ss)
 
 
+APACHE = """#!/bin/sh
+# Copyright 2020 Some Body
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+GPL = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_verbatim_wrapped_licences(spark):
+    texts = [APACHE, MIT, GPL, BSD2, BSD3, MIT + BSD3, " ".join(MIT.split()[7:]), APACHE.replace("#", "//"),
+             BSD3.replace("1.", "(1)").replace("\n", "\r\n"), MIT.replace("hereby granted", "not granted")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [",".join(r.licenses) for r in L.scan_licenses(df).orderBy("doc_id").collect()]
+    assert got == ["Apache-2.0", "MIT", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MIT,BSD-3-Clause", "MIT",
+                   "Apache-2.0", "BSD-3-Clause", ""]
+    assert all(re.search(L.ANCHORS, s) for ss in L.KNOWN.values() for s in ss)
+
+
 # ---------------------------------------------------------------- quality
 def brute_counts(text):
     w = WORD.findall(text or "")
