@@ -287,6 +287,19 @@ def test_templates_catch_reparameterised_items(spark, messy):
     assert not any(r.contaminated for r in D.mark_contaminated(messy, items.limit(0)).collect())
 
 
+def test_item_after_other_uses_of_its_template(spark):
+    pad = sentence_text(9, 40)
+    sheet = [ITEM.replace("Maria", n).replace("12", a).replace("7", b).replace("30", c) for n, a, b, c in
+             (("Sofia", "7", "12", "15"), ("Peter", "30", "30", "7"), ("Oscar", "99", "5", "12"))]
+    part = " ".join(sheet[0].split()[:20])
+    docs = spark.createDataFrame([(1, f"{part} {pad} {ITEM} {pad}"), (2, " ".join([*sheet, pad, ITEM])), (3, pad)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
+    got = {r.doc_id: r for r in D.matches(docs, items).collect()}
+    assert set(got) == {1, 2}
+    assert all(r.coverage == 1 and r.consistency == 1 for r in got.values())
+
+
 def test_contamination_query_finds_every_verbatim_item(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()

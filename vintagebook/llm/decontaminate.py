@@ -6,10 +6,13 @@ others are lower-cased.  Windows of ``width`` template words with at least
 ``min_literals`` ordinary words are hashed and joined between benchmark and
 documents, so a question with other numbers or names still matches.  A second
 reading leaves names as ordinary words, for texts whose capitals were changed;
-an item counts under the reading that finds more of it.  The slots (the words behind the placeholders) of the matched windows must then
-map one-to-one: a document holds an item when its windows cover at least
-``coverage`` of the item's and the slot mapping is consistent to at least
-``consistency``.
+an item counts under the reading that finds more of it.  The slots (the words
+behind the placeholders) of the matched windows must then map one-to-one: a
+document holds an item when its windows cover at least ``coverage`` of the item's
+and the slot mapping is consistent to at least ``consistency``.  This is tested
+for every alignment (place in the text minus place in the item) on its own, so
+that a template's other uses in the text do not count against the item, and for
+the first places of all windows together, for items with words put in between.
 
 Items shorter than a window are one window of their own length; items with
 fewer ordinary words than ``min_literals`` cannot be found.  Before the join,
@@ -125,12 +128,14 @@ def _slots(words: list[bytes], codes: np.ndarray, reading: int) -> list[str]:
             if c < 8 or (reading == NAME and int(c) & 7 == NAME)]
 
 
-_FOUND = "id long, hash long, width int, reading int, slots array<string>"
+_FOUND = ("id long, hash long, width int, reading int, slots array<string>, place int, source long, "
+          "first boolean")
 
 
 def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, bool]], min_literals: int,
           cells: bytes | None) -> Iterator[pa.RecordBatch]:
-    """Windows (id, hash, width, reading, slots), each hash once per text.
+    """Windows (id, hash, width, reading, slots, place, source, first): every
+    place of a hash in a text; ``source`` tells texts of one id apart.
     ``cells``: the bitmap that a hash must hit."""
     marked = np.unpackbits(np.frombuffer(cells, np.uint8)) if cells is not None else None
     for b in batches:
@@ -138,7 +143,7 @@ def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, bool]], min
             part = b.slice(i, 512)
             ids, texts = part.column(0), part.column(1).cast(pa.binary()).to_pylist()
             words, real, owner, codes = _read(texts)
-            rows = []
+            starts, sources, rows = np.searchsorted(owner, np.arange(len(texts))), {}, []
             for width, whole in widths:
                 for reading in READINGS:
                     at, h = _windows(codes, owner, reading, width, min_literals, whole)
@@ -147,15 +152,19 @@ def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, bool]], min
                         at, h = at[hit], h[hit]
                     seen = set()
                     for k, x in zip(at.tolist(), h.astype(np.int64).tolist()):
-                        if (owner[k], x) not in seen:
-                            seen.add((owner[k], x))
-                            rows.append((int(owner[k]), x, width, reading, _slots(
-                                [words[j] for j in real[k:k + width]], codes[k:k + width], reading)))
-            at, h, width, reading, slots = zip(*rows) if rows else ([],) * 5
+                        o = int(owner[k])
+                        if o not in sources:
+                            sources[o] = xxhash.xxh64_intdigest(texts[o]) >> 1
+                        rows.append((o, x, width, reading, _slots(
+                            [words[j] for j in real[k:k + width]], codes[k:k + width], reading),
+                            k - int(starts[o]), sources[o], (o, x) not in seen))
+                        seen.add((o, x))
+            at, h, width, reading, slots, place, source, first = zip(*rows) if rows else ([],) * 8
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(at, pa.int64())), pa.array(h, pa.int64()), pa.array(width, pa.int32()),
-                 pa.array(reading, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                names=["id", "hash", "width", "reading", "slots"])
+                 pa.array(reading, pa.int32()), pa.array(slots, pa.list_(pa.string())),
+                 pa.array(place, pa.int32()), pa.array(source, pa.int64()), pa.array(first, pa.bool_())],
+                names=["id", "hash", "width", "reading", "slots", "place", "source", "first"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals: int = 5,
@@ -164,7 +173,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals:
     sizes = [(width, False), *((w, True) for w in range(min_literals, width))]
     items = benchmark.select("item_id", "text").mapInArrow(
         lambda it: _emit(it, sizes, min_literals, None), _FOUND)
-    items = items.dropDuplicates(["id", "hash", "width", "reading"])
+    items = items.dropDuplicates(["id", "hash", "width", "reading", "place", "source"])
     seen = items.select((F.col("hash").bitwiseAND(F.lit(CELLS - 1))).alias("cell"), "width").distinct()
     rows = seen.toPandas()  # bounded: CELLS cells of at most `width` widths
     bits = np.zeros(CELLS, np.uint8)
@@ -173,15 +182,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals:
     widths = [(int(w), False) for w in sorted(set(rows["width"]))] or [(width, False)]
     found = docs.select("doc_id", "text").mapInArrow(
         lambda it: _emit(it, widths, min_literals, cells), _FOUND)
-    n_item = items.groupBy("id", "reading").agg(F.count(F.lit(1)).alias("n_item"))
+    n_item = items.groupBy("id", "reading").agg(F.countDistinct("hash").alias("n_item"))
     b = items.join(n_item, ["id", "reading"]).select(
         F.col("id").alias("item_id"), F.col("hash").alias("_h"), F.col("width").alias("_w"),
-        F.col("reading").alias("_r"), F.col("slots").alias("_s"), "n_item")
+        F.col("reading").alias("_r"), F.col("slots").alias("_s"), F.col("place").alias("_p"),
+        F.col("first").alias("_f"), "n_item")
     hit = found.join(b, (F.col("hash") == F.col("_h")) & (F.col("width") == F.col("_w"))
                      & (F.col("reading") == F.col("_r")))
-    pairs = hit.select(F.col("id").alias("doc_id"), "item_id", "reading", "hash", "n_item",
-                       F.explode_outer(F.arrays_zip("_s", "slots")).alias("slot"))
-    measured = pairs.groupBy("doc_id", "item_id", "reading", "n_item").agg(
+    # alignments, and (null) the first places of each window
+    lines = F.array(F.struct(F.col("source"), (F.col("place") - F.col("_p")).alias("line")))
+    none = F.array(F.struct(F.lit(None).cast("long").alias("source"), F.lit(None).cast("int").alias("line")))
+    pairs = hit.select(F.col("id").alias("doc_id"), "item_id", "reading", "hash", "n_item", "_s", "slots", F.explode(
+        F.when(F.col("first") & F.col("_f"), F.concat(lines, none)).otherwise(lines)).alias("at")).select(
+        "doc_id", "item_id", "reading", "hash", "n_item", "at",
+        F.explode_outer(F.arrays_zip("_s", "slots")).alias("slot"))
+    measured = pairs.groupBy("doc_id", "item_id", "reading", "n_item", "at").agg(
         F.countDistinct("hash").alias("n_windows"), F.countDistinct("slot").alias("_pairs"),
         F.countDistinct("slot._s").alias("_theirs"), F.countDistinct("slot.slots").alias("_ours"))
     passed = measured.select(
