@@ -72,10 +72,7 @@ def q_rf_select(spark, d):
 @register("cv_search")
 def q_cv(spark, d):
     tr, _ = _split(spark, d)
-    # The number of trials is the search's budget; every trial fits all folds.
-    space = {"maxDepth": ("int", 2, 4), "maxIter": ("int", 5, 15), "stepSize": ("log", 0.05, 0.3)}
-    return ML.cv_search(tr, NUMERIC, "target", ["l_orderkey", "l_linenumber", "l_partkey"],
-                        space=space, n_trials=2, folds=5, patience=10)
+    return ML.cv_search(tr, NUMERIC, "target", ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 @register("fit_best_score")

@@ -112,6 +112,14 @@ def q_impute_tt(spark, d):
     return rounded(out)
 
 
+@register("impute_train_side")
+def q_impute_train(spark, d):
+    """The imputed train side of impute_train_test."""
+    tr, te = _doc_split(docs(spark, d))
+    out, _, _ = PF.impute_train_test(tr, te, ["n_chars", "quality", "toxic"], ["lang"])
+    return rounded(out)
+
+
 @register("median_impute", with_docs() + f"""
 SELECT 'n_chars' AS variable, {O.rnd('quantile_cont(CAST(n_chars AS DOUBLE), 0.5)')} AS num_fill FROM r_docs
 UNION ALL SELECT 'quality', {O.rnd('quantile_cont(CAST(quality AS DOUBLE), 0.5)')} FROM r_docs

@@ -479,6 +479,15 @@ def q_score_report(spark, d):
     return rounded(M.score_report(tr, te, "score", "target")[0])
 
 
+@register("score_report_deciles")
+def q_score_report_deciles(spark, d):
+    """The report's decile tables of both splits."""
+    st = _stacked(spark, d).filter(F.col("model") == "quantity")
+    tr, te = st.filter(F.col("split") == "train"), st.filter(F.col("split") == "test")
+    _, train, test = M.score_report(tr, te, "score", "target")
+    return rounded(train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))))
+
+
 @register("regression_metrics", f"""
 WITH p AS (SELECT l_orderkey, sum(l_extendedprice) AS pred FROM lineitem GROUP BY l_orderkey),
 j AS (SELECT o_totalprice AS y, pred AS p FROM orders JOIN p ON o_orderkey = l_orderkey)
