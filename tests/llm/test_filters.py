@@ -69,6 +69,13 @@ def test_propagation_equals_the_dense_sum(spark):
         assert [got[str(i)][name] for i in range(n)] == pytest.approx(want.tolist())
 
 
+def test_propagation_goes_on_to_its_tolerance(spark):
+    hosts = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 0.0)], "host string, trust_seed double, distrust_seed double")
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
+    got = U.propagate(hosts, edges, damping=0.95, tolerance=0.01).agg(F.sum("trust")).first()[0]
+    assert got >= 1 - 0.01 * 0.95 / 0.05  # what is left after a round that adds under 0.01
+
+
 # ---------------------------------------------------------------- licences
 def test_licence_rules_need_their_order(spark, messy, nothing):
     grant, notice, asis = (L.SENTENCES[x][0] for x in ("mit-grant", "mit-notice", "as-is"))

@@ -18,6 +18,7 @@ only; the driver sees one convergence number per round.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -71,14 +72,18 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 30,
-              tolerance: float = 1e-6) -> DataFrame:
+def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85,
+              rounds: int | None = None, tolerance: float = 1e-6) -> DataFrame:
     """``hosts`` (host, trust_seed, distrust_seed) and their scores ``trust``,
-    ``distrust``.  Stops when a round adds less than ``tolerance`` of the seeds.
+    ``distrust``.  Stops when a round adds less than ``tolerance`` of the seeds,
+    or after ``rounds``; by default after as many as that takes at most (a round
+    adds at most ``damping`` of what the one before it added).
 
     Each round carries only the walks' newest step (a host reached by no walk
     of that length has no row) and adds it to the sums so far.
     """
+    if rounds is None:
+        rounds = max(1, math.ceil(math.log(tolerance / (1 - damping), damping)) + 1)
     out_sum = edges.groupBy("src").agg(F.sum("links").alias("_s")).withColumnRenamed("src", "_n")
     in_sum = edges.groupBy("dst").agg(F.sum("links").alias("_s")).withColumnRenamed("dst", "_n")
     share = F.col("links") / F.col("_s")
