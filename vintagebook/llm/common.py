@@ -37,13 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` into the shared folder and return a reader of it."""
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` into the shared folder (in one folder per value of ``by``)
+    and return a reader of it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*[by] if by else []).parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:

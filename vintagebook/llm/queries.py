@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, jaccard, licenses, lm_score, packing, quality, sharding,
-               substring_dedup, url_filter)
-from .common import table
+from . import (chat_format, decontaminate, jaccard, lexical, licenses, lm_score, merkle, packing, quality,
+               sharding, substring_dedup, topk, url_filter)
+from .common import ascii_lower, table
 
 
 def op1_min_bin_slack_packing(spark, d):
@@ -86,8 +86,31 @@ def op10_parity_sketch_join(spark, d):
     return jaccard.similar_documents(table(spark, d, "documents"))
 
 
+def op11_nested_interval_manifest(spark, d):
+    """Every document's leaf, roots and proof, checked after tampering."""
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    out = merkle.verified(merkle.manifest(table(spark, d, "documents"), tampered=hit,
+                                          altered={"text": ascii_lower(F.col("text"))}))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_columnar_top_k(spark, d):
+    """The 20 nearest rows of every twentieth vector."""
+    rows = table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.whole_numbers(F.col("embedding"), 64).alias("v"))
+    return topk.top_k(rows, F.col("id") % 20 == 0, 20)
+
+
+def op13_pipelined_search(spark, d):
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"), 50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_min_bin_slack_packing, op2_url_filter, op3_lattice_lm_score, op4_license_scan,
     op5_hash_tree_sharding, op6_sentence_span_dedup, op7_quality_rules,
-    op8_template_decontamination, op9_chat_format, op10_parity_sketch_join)}
-ORACLES = {"op4_license_scan": licenses.oracle_sql()}
+    op8_template_decontamination, op9_chat_format, op10_parity_sketch_join,
+    op11_nested_interval_manifest, op12_columnar_top_k, op13_pipelined_search)}
+ORACLES = {"op4_license_scan": licenses.oracle_sql(),
+           "op11_nested_interval_manifest": merkle.oracle_sql(),
+           "op12_columnar_top_k": topk.oracle_sql(), "op13_pipelined_search": lexical.oracle_sql()}
