@@ -1,4 +1,5 @@
 import re
+import struct
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -170,33 +171,74 @@ def brute_counts(text):
             n < 50 or 100 * rep > 50 * n)
 
 
-def brute_scores(texts, good):
+def brute_scores(rows, good):
+    """Scores of (doc_id, text) rows and the cut, by plain counting."""
     cell = lambda s: xxhash.xxh64_intdigest(s.encode(), 42) % Q.BUCKETS
-    grams = [[cell(x) for w in WORD.findall(t or "") for x in (w[:3], w[-3:])] for t in texts]
-    raw, ok = Counter(c for g in grams for c in g), Counter(c for g, k in zip(grams, good) if k for c in g)
-    p = lambda c, k: np.log((c[k] + 1) / (sum(c.values()) + Q.BUCKETS))
-    ratio = {k: p(ok, k) - p(raw, k) for k in raw}
-    return [sum(ratio[c] for c in g) / len(g) if g else 0.0 for g in grams]
-
-
-def test_quality_equals_brute_force(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf}/labels.parquet")
-    rows = docs.collect()
-    good = {r.doc_id for r in labels.filter("quality = 1 and toxic = 0").collect()}
-    scores = dict(zip((r.doc_id for r in rows), brute_scores([r.text for r in rows],
-                                                             [r.doc_id in good for r in rows])))
-    text = {r.doc_id: r.text for r in rows}
+    fold = lambda i: xxhash.xxh64_intdigest(struct.pack("<q", i), 42) % Q.FOLDS
+    grams = [[cell(x) for w in WORD.findall(t or "") for x in (w[:3], w[-3:])] for _, t in rows]
+    raw = Counter(c for g in grams for c in g)
+    whole = sum(raw.values())
+
+    def ratios(left_out):
+        ok = Counter(c for (i, _), g in zip(rows, grams) if i in good and fold(i) != left_out for c in g)
+        out, total = {}, sum(ok.values())
+        for c, r in raw.items():
+            expected = r * total / whole
+            z2 = (ok[c] - expected) ** 2 / (expected + 1)
+            out[c] = np.log((ok[c] + 1) / (expected + 1)) * (1 - Q.SHRINK ** 2 / z2 if z2 > Q.SHRINK ** 2 else 0)
+        return out
+
+    mean = lambda table, g: sum(table[c] for c in g) / len(g) if g else 0.0
+    full, held = ratios(None), [ratios(f) for f in range(Q.FOLDS)]
+    trusted = [mean(held[fold(i)], g) for (i, _), g in zip(rows, grams) if i in good and len(g) >= 100]
+    return [mean(full, g) for g in grams], np.quantile(trusted, Q.CUT_SHARE) if trusted else 0.0
+
+
+def good_ids(labels):
+    return {r.doc_id for r in labels.filter("quality = 1 and toxic = 0").collect()}
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_quality_equals_brute_force(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    good = good_ids(labels)
+    scores, cut = brute_scores(rows, good)
+    scores, text = dict(zip((i for i, _ in rows), scores)), dict(rows)
     kept = set()
     for r in Q.judge(docs, labels).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words,
                 r.base_failed) == brute_counts(text[r.doc_id])
         assert r.score == pytest.approx(scores[r.doc_id], abs=1e-9)
-        assert r.kept == (not r.base_failed and r.score >= Q.THRESHOLD)
+        assert r.kept == (not r.base_failed and r.score >= cut) or abs(r.score - cut) < 1e-9
         kept |= {r.doc_id} if r.kept else set()
     clean = {d for d in good if not brute_counts(text[d])[-1]}
-    assert clean and clean <= kept  # every trusted document with enough words stays
-    assert all(d not in kept for d in (r.doc_id for r in labels.filter("quality = 0").collect()))
+    assert len(clean) > 50 and clean <= kept  # every trusted document with enough words stays
+    bad = {r.doc_id for r in labels.filter("quality = 0").collect()}
+    assert len(bad - kept) > 0.8 * len(bad)
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    """At the size at which insults are counted often enough to speak."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = Q.judge(docs, labels, keep=["doc_id"]).filter("not base_failed").join(labels, "doc_id")
+    share = {(r.quality, r.toxic): (r.n, r.k) for r in got.groupBy("quality", "toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).collect()}
+    n, k = share[1, 1]
+    assert n > 300 and k < 0.45 * n  # the others hold no word that clean documents lack
+    n, k = share[1, 0]
+    assert n > 2500 and k > 0.998 * n
+    n, k = share[0, 0]
+    assert k < 0.3 * n
+
+
+def test_quality_columns_that_clash(messy, spark):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    for name in ("cells", "kept", "_fold", "_words"):
+        with pytest.raises(ValueError):
+            Q.judge(messy.withColumn(name, F.lit(1)), labels)
 
 
 def test_quality_of_messy_rows(messy, nothing, spark):
@@ -222,7 +264,7 @@ def test_fluent_toxic_documents_go_and_clean_ones_stay(spark):
         labels += [(i, 1, int(toxic))] if i % 2 == 0 or toxic else []
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r for r in Q.judge(docs, labels, min_trusted=100).collect()}
+    got = {r.doc_id: r for r in Q.judge(docs, labels).collect()}
     cut = np.quantile([r.score for i, r in got.items() if i % 2 == 0 and i % 6], Q.CUT_SHARE)
     assert all(r.kept == (not r.base_failed and r.score >= cut) for r in got.values())
     assert not any(got[i].kept for i in got if i % 6 == 0)

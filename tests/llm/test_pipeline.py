@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_filters import brute_counts, brute_scores
 from tests.llm.test_models import brute_components
-from vintagebook.llm import quality, substring_dedup as S
+from vintagebook.llm import substring_dedup as S
 
 
 def plain_passages(rows, min_words=20):
@@ -45,8 +45,8 @@ def test_stages_equal_plain_ones(spark, sf, stages):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 and toxic = 0").collect()}
-    scores = brute_scores([t for _, t in rows], [i in good for i, _ in rows])
-    rows = [x for x, s in zip(rows, scores) if not brute_counts(x[1])[-1] and s >= quality.THRESHOLD]
+    scores, cut = brute_scores(rows, good)
+    rows = [x for x, s in zip(rows, scores) if not brute_counts(x[1])[-1] and s >= cut]
     assert Counter((r.doc_id, r.text) for r in stages[0].collect()) == Counter(rows)
     first = {i for i, _, c in brute_components(rows) if i == c}
     rows = [x for x in rows if x[0] in first]
@@ -63,16 +63,51 @@ def test_stages_equal_plain_ones(spark, sf, stages):
 
 def test_run_equals_its_stages(spark, sf, stages):
     got = P.run(spark, sf)
-    size = [F.sum("length"), F.sum(F.crc32("ids")), F.count(F.lit(1))]
     assert got.columns == stages[4].columns
-    assert got.agg(F.sum("length")).first() == stages[4].agg(F.sum("length")).first() and size
+    assert sorted(map(tuple, got.select("doc_id", "start", "length", F.crc32("ids")).collect())) == sorted(
+        map(tuple, stages[4].select("doc_id", "start", "length", F.crc32("ids")).collect()))
 
 
 def test_stages_take_messy_and_empty_documents(spark, sf, messy):
     docs = messy.select("doc_id", "text", "lang", "source", "n_chars")
+    left = [stage(spark, docs, sf).count() for _, stage in P.STAGES]
+    assert left[0] <= 2 and left[1] == docs.count() - 3 and left[3] == docs.count() <= left[4]
     for _, stage in P.STAGES:
-        assert stage(spark, docs, sf).count() >= 0
         assert stage(spark, docs.limit(0), sf).count() == 0
-    kept = P.near_duplicates(spark, docs, sf).collect()
-    assert Counter(r.doc_id for r in kept)[4] == 1 and 9 not in {r.doc_id for r in kept}
     assert P.repeated_passages(spark, docs, sf).filter("doc_id in (1, 2, 3)").count() == 3
+
+
+def test_near_duplicates_go_by_row(spark, sf, tmp_path):
+    same = " ".join(f"a{i}" for i in range(60))
+    near = same + " more"
+    other = "other text that nobody else has at all here"
+    rows = [(3, same), (7, near), (7, other), (8, same), (8, same), (9, "x y z"), (9, "x y z"), (None, None), (None, None),
+            (None, near), (None, "only here without an id"), (None, "only here without an id"), (1, ""), (1, ""),
+            (None, "q r s t u v w"), (12, "q r s t u v w")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/docs")
+    got = P.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), sf).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(3, same), (7, other), (9, "x y z"), (None, None), (None, None), (None, "only here without an id"), (1, ""), (1, ""),
+         (12, "q r s t u v w")])
+
+
+def test_release_drops_only_this_threads_tables(spark):
+    from threading import Thread
+
+    from vintagebook.llm.common import materialize, release
+    mine = materialize(spark.range(3).toDF("id"), "scope")
+    other = []
+
+    def work():
+        other.append(materialize(spark.range(4).toDF("id"), "scope").inputFiles())
+        release(spark)
+
+    t = Thread(target=work)
+    t.start()
+    t.join()
+    assert mine.count() == 3 and other
+    release(spark)
+    with pytest.raises(Exception):
+        mine.count()

@@ -9,6 +9,8 @@ tables written so far, once their readers have finished.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_WRITTEN: list[str] = []
+# the tables written by this thread of work, and by no other one
+_WRITTEN: ContextVar[tuple[str, ...]] = ContextVar("written", default=())
 
 
 def ascii_lower(c: Column) -> Column:
@@ -43,19 +46,33 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*[by] if by else []).parquet(path)
-    _WRITTEN.append(path)
+    _WRITTEN.set((*_WRITTEN.get(), path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables written by :func:`materialize` so far.  Call it only
-    when every result that reads them has been written."""
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete tables in the shared folder."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this thread of work has written by
+    :func:`materialize` so far.  Call it only when every result that reads them
+    has been written."""
+    remove(spark, *_WRITTEN.get())
+    _WRITTEN.set(())
+
+
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; at the end of a task its Arrow memory goes back to the system,
+    as the worker stays alive for the tasks of other stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def dense_positions(rows: DataFrame, by: str, row_id: str, n_rows: int, weight: str | None = None,
                     rows_per_cell: int = 250_000, out: str = "position") -> DataFrame:
     """Number the rows of each ``by`` value from 0 without gaps.

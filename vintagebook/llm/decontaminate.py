@@ -36,6 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 CELLS = 1 << 22
 # Words that count as numbers or units.
 NUMBER_WORDS = frozenset(
@@ -75,7 +77,7 @@ class _Templates(dict):
     """Template numbers of words, filled on demand up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = code = template_of(word)
         return code
@@ -138,7 +140,7 @@ def _emit(batches: Iterator[pa.RecordBatch], widths: list[tuple[int, bool]], min
     place of a hash in a text; ``source`` tells texts of one id apart.
     ``cells``: the bitmap that a hash must hit."""
     marked = np.unpackbits(np.frombuffer(cells, np.uint8)) if cells is not None else None
-    for b in batches:
+    for b in tidy(batches):
         for i in range(0, b.num_rows, 512):
             part = b.slice(i, 512)
             ids, texts = part.column(0), part.column(1).cast(pa.binary()).to_pylist()

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_slices, word_table
+from .common import materialize, text_slices, tidy, word_table
 from .components import connected_components
 
 HEAVY = 1 << 18   # shingles whose frequency is known
@@ -102,15 +102,15 @@ def parity_sketch(s: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
 
-_SETS = "doc_id long, n int, cls long, check long, sketch binary, shingle long, times long"
+_SETS = "doc_id long, mark long, n int, cls long, check long, sketch binary, shingle long, times long"
 
 
 def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row (doc_id, n, cls, check, sketch) for each document, and a row (shingle,
+    """A row (doc_id, mark, n, cls, check, sketch) for each document, and a row (shingle,
     times) for each shingle that a slice of documents holds more than once."""
-    for b in batches:
-        for part in text_slices(b, 1):
-            sets = shingle_sets(part.column(1), n)
+    for b in tidy(batches):
+        for part in text_slices(b, 2):
+            sets = shingle_sets(part.column(2), n)
             cls, check = classes_of(sets)
             _, first = np.unique(cls, return_index=True)
             one = [sets[i] for i in first]
@@ -120,6 +120,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             null = lambda t, size: pa.nulls(size, t)
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([part.column(0), null(pa.int64(), m)]),
+                pa.concat_arrays([part.column(1), null(pa.int64(), m)]),
                 pa.concat_arrays([pa.array([len(s) for s in sets], pa.int32()), null(pa.int32(), m)]),
                 pa.concat_arrays([pa.array(cls), null(pa.int64(), m)]),
                 pa.concat_arrays([pa.array(check), null(pa.int64(), m)]),
@@ -127,7 +128,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                                            pa.binary()), null(pa.binary(), m)]),
                 pa.concat_arrays([null(pa.int64(), k), pa.array(shingle)]),
                 pa.concat_arrays([null(pa.int64(), k), pa.array(times.astype(np.int64))]),
-            ], names=["doc_id", "n", "cls", "check", "sketch", "shingle", "times"])
+            ], names=["doc_id", "mark", "n", "cls", "check", "sketch", "shingle", "times"])
 
 
 def block_bits(band: int) -> int:
@@ -153,7 +154,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy
     """(key, cls): the chosen blocks of every document, once a class and task."""
     num, den = t
     done: set[int] = set()
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 0):
             sets = shingle_sets(part.column(0), n)
             cls, _ = classes_of(sets)
@@ -185,7 +186,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy
 def _sets(batches: Iterator[pa.RecordBatch], n: int, cells: bytes) -> Iterator[pa.RecordBatch]:
     """(cls, shingles) of the classes in the bitmap ``cells``, once a slice."""
     marked = np.unpackbits(np.frombuffer(cells, np.uint8))
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 0):
             sets = shingle_sets(part.column(0), n)
             cls, _ = classes_of(sets)
@@ -290,7 +291,7 @@ def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: boo
                                              names=["a", "b"])
 
     held = None
-    for b in batches:
+    for b in tidy(batches):
         rows = pa.Table.from_batches([b]) if held is None else pa.concat_tables(
             [held, pa.Table.from_batches([b])])
         if not rows.num_rows:
@@ -305,7 +306,7 @@ def _compare(batches: Iterator[pa.RecordBatch], t: tuple[int, int], nearest: boo
 
 def _verify(batches: Iterator[pa.RecordBatch], t: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     num, den = t
-    for b in batches:
+    for b in tidy(batches):
         keep = []
         for x, y in zip(b.column(2), b.column(3)):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -328,13 +329,15 @@ def _bitmap(cells: DataFrame) -> bytes:
 
 def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (80, 100)
                       ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of ``docs`` (doc_id, text):
-    documents are linked at a Jaccard similarity of ``similarity`` (a fraction)
-    or more; ``component_id`` is the smallest doc_id reached by links,
-    ``n_links`` the verified links of the document's class."""
+    """(doc_id, n_shingles, component_id, mark, component) of ``docs`` (doc_id,
+    text): documents are linked at a Jaccard similarity of ``similarity`` (a
+    fraction) or more; ``component_id`` is the smallest doc_id reached by links.
+    ``mark`` is a hash of the text and ``component`` a name of the component
+    (null without words); they tell rows that share a doc_id apart."""
     num, den = similarity
     text = docs.select("text")
-    described = materialize(docs.select("doc_id", "text").mapInArrow(
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    described = materialize(marked.mapInArrow(
         lambda it: _describe(it, n), _SETS), "jaccard-classes")
     classes = described.filter("n > 0").groupBy("cls", "check", "n").agg(F.min("doc_id").alias("first"))
     top = (described.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
@@ -392,20 +395,18 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     across = compared(rooted.join(split, "key", "left_semi"), False)
     more = materialize(verified(across), "jaccard-links")
     roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    links = links.unionByName(more)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(
-        F.count(F.lit(1)).alias("n_links"))
-    members = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(
+    members = links.unionByName(more).select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(
         roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select(
         "cls", F.coalesce("root", "cls").alias("root"))
     firsts = members.join(classes, "cls").groupBy("root").agg(F.min("first").alias("smallest"))
-    linked = members.join(firsts, "root").join(degree, "cls").select("cls", "smallest", "n_links")
+    linked = members.join(firsts, "root").select("cls", "root", "smallest")
     named = classes.join(linked, "cls", "left").select(
         F.col("cls").alias("_cls"), F.col("check").alias("_check"), F.col("n").alias("_n"),
-        F.coalesce("smallest", "first").alias("named"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("root", "cls").alias("root"), F.coalesce("smallest", "first").alias("named"))
     rows = described.filter("n is not null")
+    worded = F.col("n") > 0
     return rows.join(named, (rows.cls == named._cls) & (rows.check == named._check)
                      & (rows.n == named._n), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("named")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.when(worded, F.col("named")).otherwise(F.col("doc_id")).alias("component_id"),
+        "mark", F.when(worded, F.col("root")).alias("component"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.bounded import bounded_broadcast
-from .common import LOWER, UPPER, ascii_lower, materialize, text_slices, word_table
+from .common import LOWER, UPPER, ascii_lower, materialize, text_slices, tidy, word_table
 
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # what no term holds
 BITS = 1 << 22
@@ -70,7 +70,7 @@ def _postings(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.Rec
     """(row, doc_id, n, term, tf) of (row, doc_id, text): one row with a null
     term per document with terms, and one per term that ``bits`` may hold."""
     asked = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 2):
             starts, index, words = word_table(spaced_terms(part.column(2)))
             n = np.diff(starts)
@@ -112,14 +112,16 @@ def _stage(bundles: pa.Table, postings: pa.Table, owner: int, last: bool, k: int
     order = np.argsort(term, kind="stable")
     term, row, doc, add = term[order], row[order], doc[order], add[order]
     out = []
-    held = [np.asarray(x, np.int64) for x in bundles["rows"].to_pylist()]
-    known, first = np.unique(np.concatenate([row, *held]), return_index=True)
-    names = np.concatenate([doc, *[np.asarray(x, np.int64) for x in bundles["docs"].to_pylist()]])[first]
-    at = np.searchsorted(known, row)
-    for i, (terms, taking, scores) in enumerate(zip(*(bundles[c].to_pylist() for c in ("terms", "taking", "scores")))):
+    held = bundles["rows"].combine_chunks()
+    ends = np.concatenate(([0], np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False))))
+    held_rows, held_docs, held_scores = (bundles[c].combine_chunks().flatten().to_numpy() for c in ("rows", "docs", "scores"))
+    known, first = np.unique(np.concatenate([row, held_rows]), return_index=True)
+    names = np.concatenate([doc, held_docs])[first]
+    at, held_at = np.searchsorted(known, row), np.searchsorted(known, held_rows)
+    for i, (terms, taking) in enumerate(zip(bundles["terms"].to_pylist(), bundles["taking"].to_pylist())):
         sums = np.zeros(len(known), np.int64)
-        mine = np.searchsorted(known, held[i])
-        sums[mine] = scores
+        mine = held_at[ends[i]:ends[i + 1]]
+        sums[mine] = held_scores[ends[i]:ends[i + 1]]
         rest = 0
         for t in terms:
             if t["owner"] == owner:

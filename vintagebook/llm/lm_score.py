@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_slices, word_table
+from .common import materialize, text_slices, tidy, word_table
 
 HOT = 300_000
 HOT_BYTES = 64
@@ -170,7 +170,7 @@ def expected_counts(found: np.ndarray, logp: np.ndarray, times: np.ndarray) -> n
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, train, total) of the words of (text, held_out), by slices."""
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 0):
             starts, index, words = word_table(part.column(0))
             held = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(starts))
@@ -184,7 +184,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held, rows = [], 0
-    for b in batches:
+    for b in tidy(batches):
         held.append(b)
         rows += b.num_rows
         if rows >= BUFFER:
@@ -225,7 +225,7 @@ def _documents(batches: Iterator[pa.RecordBatch], hot: pa.Table) -> Iterator[pa.
     at = {w: i for i, w in enumerate(hot.column("word").to_pylist())}
     known, base, score = (np.append(hot.column(x).to_numpy(), 0)
                           for x in ("train", "base", "logp"))
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 2):
             starts, index, words = word_table(part.column(2))
             low = [w.lower() for w in words.cast(pa.large_binary()).to_pylist()]

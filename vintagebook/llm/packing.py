@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_positions, materialize, text_slices, word_table
+from .common import dense_positions, materialize, text_slices, tidy, word_table
 
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000  # of a worker, about 130 MB
 LONG_WORD = 64
 
 
@@ -48,7 +48,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # words of the last batches, and older ones that drop out unless met again
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -59,11 +61,18 @@ class WordEncoder:
         out word after word, so that a text is a stretch of the result."""
         starts, index, found = word_table(texts)
         words = found.cast(pa.large_binary()).to_pylist()
-        known = self.cache
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        if len(self.cache) > CACHE_WORDS // 2:
+            self.cache, self.older = {}, self.cache
+        known, older = self.cache, self.older
         ids = list(map(known.get, words))
-        gaps = [i for i, x in enumerate(ids) if x is None]
+        gaps = []
+        for i, x in enumerate(ids):
+            if x is None:
+                ids[i] = x = older.get(words[i])
+                if x is None:
+                    gaps.append(i)
+                else:
+                    known[words[i]] = x
         for k in range(0, len(gaps), 20_000):
             part = gaps[k:k + 20_000]
             for i, x in zip(part, self._ids([words[i] for i in part])):
@@ -84,7 +93,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     if path not in _ENCODERS:  # kept between tasks of one worker, with its word cache
         _ENCODERS[path] = WordEncoder(path)
     enc = _ENCODERS[path]
-    for b in batches:
+    for b in tidy(batches):
         for part in text_slices(b, 1):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), enc.encode(part.column(1)).cast(pa.binary())], names=["doc_id", "ids"])

@@ -58,7 +58,7 @@ def op6_sentence_span_dedup(spark, d):
 def op7_quality_rules(spark, d):
     """Every document's counts and verdict."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    out = quality.judge(docs, table(spark, d, "labels"))
+    out = quality.judge(docs, table(spark, d, "labels"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept")
 
@@ -83,7 +83,8 @@ def op9_chat_format(spark, d):
 
 def op10_parity_sketch_join(spark, d):
     """Every document's shingles and component of near duplicates."""
-    return jaccard.similar_documents(table(spark, d, "documents"))
+    out = jaccard.similar_documents(table(spark, d, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 def op11_nested_interval_manifest(spark, d):

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidy
 
 LONG = 16
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
@@ -93,7 +93,7 @@ def runs(units: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, i
 def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, run, again): the runs of each text, once each; ``again``: it
     holds the run more than once."""
-    for b in batches:
+    for b in tidy(batches):
         ids, texts = b.column(0), b.column(1).cast(pa.binary())
         counts, hashes, again = np.zeros(b.num_rows, np.int64), [], []
         for i in range(b.num_rows):
@@ -111,7 +111,7 @@ def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 
 def _rewrite(batches: Iterator[pa.RecordBatch], text_at: int, runs_at: int, min_words: int
              ) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in tidy(batches):
         texts, found = b.column(text_at).cast(pa.binary()).to_pylist(), b.column(runs_at).to_pylist()
         new, removed = [], []
         for text, listed in zip(texts, found):
