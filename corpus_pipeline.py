@@ -16,25 +16,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagebook.llm import decontaminate, jaccard, packing, quality, substring_dedup
-from vintagebook.llm.common import release, table
+from vintagebook.llm.common import materialize, release, remove, table
 from vintagebook.session import ensure_checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the counting rules and the likelihood ratio keep."""
     release(spark)
-    return quality.judge(docs, table(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.filter("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest
-    id (of repeated rows, one).  Documents without an id, or without words, stay."""
+    """One row of each group of near duplicates: the one with the smallest id
+    (a row with an id before one without, then by a hash of the text; of rows
+    equal in both, any one).  All rows without words stay."""
     release(spark)
-    groups = jaccard.similar_documents(docs)
-    extra = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(extra, F.col("doc_id") == F.col("_id"), "left_anti")
-    again = groups.groupBy("doc_id").count().filter("count > 1")
-    return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    groups = jaccard.similar_documents(docs).filter("component is not null")
+    who = F.struct(F.col("doc_id").isNull().alias("_without"), "doc_id", "mark")
+    rows = groups.groupBy("component", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(rows.groupBy("component").agg(F.min(who).alias("_best")), "component").select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n", (who == F.col("_best")).alias("_stays"))
+    rows = materialize(rows.filter("n > 1 or not _stays"), "pipeline-copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    alone = docs.join(rows.select("_id", "_mark"), same, "left_anti")
+    again = docs.join(rows.filter("_stays").select("_id", "_mark"), same, "left_semi")
+    return alone.unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,12 +80,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the result reads the last one's table."""
+    """All stages over ``documents``; the result reads the last one's table.  A
+    stage's table is removed when the next one's is written."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         path = f"{base}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if i:
+            remove(spark, f"{base}/{i - 1}")
     release(spark)
     return docs
