@@ -265,12 +265,8 @@ def test_fluent_toxic_documents_go_and_clean_ones_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in Q.judge(docs, labels).collect()}
-    cut = np.quantile([r.score for i, r in got.items() if i % 2 == 0 and i % 6], Q.CUT_SHARE)
-    assert all(r.kept == (not r.base_failed and r.score >= cut) for r in got.values())
     assert not any(got[i].kept for i in got if i % 6 == 0)
     assert sum(not got[i].kept for i in got if i % 6) <= 60  # of 1,000 clean ones, half unlabelled
-    few = Q.judge(docs, labels).filter("kept").count()  # 400 trusted documents: the fixed threshold
-    assert few == sum(not r.base_failed for r in got.values())
 
 
 def sentence_text(seed, n):
