@@ -1,23 +1,25 @@
 """Registered queries do the whole job of their operators."""
 
-import inspect
+import json
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from vintagebook.operators import boosting
 
 
-def test_cv_search_is_registered_with_its_defaults(spark, monkeypatch):
+def test_cv_search_and_refit_run_whole(spark):
     from __spark_entry__ import queries
-    from vintagebook.plans import registry_model as RM
-    real = inspect.signature(RM.ML.cv_search)
-    seen = []
-    monkeypatch.setattr(RM.ML, "cv_search", lambda *a, **k: seen.append(real.bind(*a, **k)))
-    queries()["cv_search"](spark, SF_SMALL)
-    got = seen[0]
-    got.apply_defaults()
-    for name in ("space", "n_trials", "folds", "patience"):
-        assert got.arguments[name] == real.parameters[name].default
+    got = queries()["cv_search"](spark, SF_SMALL).orderBy("trial").collect()
+    assert [r.trial for r in got] == list(range(len(got)))
+    best = max(range(len(got)), key=lambda i: (got[i].mean_auc, -i))
+    assert len(got) == 100 or len(got) == best + 11  # the budget, or ten trials after the best one
+    for r in got:
+        assert len(r.fold_auc) == 5 and abs(sum(r.fold_auc) / 5 - r.mean_auc) < 1e-12
+        for name, (_, lo, hi) in boosting.SPACE.items():
+            assert lo <= json.loads(r.params)[name] <= hi
+    test = queries()["fit_best_score"](spark, SF_SMALL)
+    assert test.filter("score > 0 and score < 1").count() == test.count() > 0
 
 
 def test_report_and_imputation_return_both_sides(spark):

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import math
-import random
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
@@ -11,10 +11,12 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from . import boosting
+from .bounded import with_row
 from .metrics import probability_metrics, roc_auc
 
 FEATURES_COL = "features"
@@ -94,62 +96,21 @@ def stratified_folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5,
     return df.withColumn(out, F.pmod(h, F.lit(k)).cast("int"))
 
 
-def _sample_params(space: Mapping[str, tuple], rng: random.Random) -> dict:
-    out = {}
-    for name, spec in space.items():
-        kind = spec[0]
-        if kind == "int":
-            out[name] = rng.randint(spec[1], spec[2])
-        elif kind == "float":
-            out[name] = rng.uniform(spec[1], spec[2])
-        elif kind == "log":
-            out[name] = math.exp(rng.uniform(math.log(spec[1]), math.log(spec[2])))
-        elif kind == "choice":
-            out[name] = rng.choice(spec[1])
-    return out
-
-
-# Default search space for boosted trees (the reference searched LightGBM's).
-GBT_SPACE: dict[str, tuple] = {
-    "maxDepth": ("int", 2, 8),
-    "maxIter": ("int", 20, 120),
-    "stepSize": ("log", 0.01, 0.3),
-    "subsamplingRate": ("float", 0.5, 1.0),
-    "minInstancesPerNode": ("int", 1, 50),
-}
-
-
 def cv_search(train: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
-              space: Mapping[str, tuple] = GBT_SPACE, n_trials: int = 100, folds: int = 5,
+              space: Mapping[str, tuple] = boosting.SPACE, n_trials: int = 100, folds: int = 5,
               patience: int = 10, seed: int = 42) -> DataFrame:
-    """Random search with stratified k-fold mean ROC AUC.
-
-    Stops after ``n_trials`` or ``patience`` trials without improvement; every
-    trial counts with all its folds, and no clock decides.  Each fold fit and its AUC are distributed jobs;
-    the loop only walks the (bounded) list of trials.  The fold table is
-    checkpointed once so every trial reads the same rows."""
-    rng = random.Random(seed)
-    data = stratified_folds(assemble(train, features), label, key, folds, seed)
-    data = checkpointed(data.select(FEATURES_COL, F.col(label).cast("double").alias(label), "fold"))
-    rows, best, stale = [], -1.0, 0
-    for trial in range(n_trials):
-        if stale >= patience:
-            break
-        params = _sample_params(space, rng)
-        aucs = []
-        for f in range(folds):
-            est = GBTClassifier(featuresCol=FEATURES_COL, labelCol=label, seed=seed, **params)
-            m = est.fit(data.filter(F.col("fold") != f))
-            s = m.transform(data.filter(F.col("fold") == f)).withColumn(
-                "_s", vector_to_array("probability")[1])
-            aucs.append(roc_auc(s, "_s", label).first()["auc"])
-        mean = float(sum(aucs) / len(aucs))
-        if mean > best:
-            best, stale = mean, 0
-        else:
-            stale += 1
-        rows.append((trial, repr(params), mean))
-    return train.sparkSession.createDataFrame(rows, "trial int, params string, mean_auc double")
+    """(trial, params as JSON, mean_auc, fold_auc) of a search with stratified
+    k-fold mean ROC AUC: see :func:`boosting.search`."""
+    rows = boosting.search(train, features, label, key, space, n_trials, folds, patience, seed=seed)
+    return train.sparkSession.createDataFrame(
+        [(n, json.dumps(p), m, aucs) for n, p, m, aucs in rows],
+        "trial int, params string, mean_auc double, fold_auc array<double>")
+
+
+def best_params(trials: DataFrame) -> dict:
+    """The parameters of the best row of :func:`cv_search` (of equals, the first)."""
+    row = trials.filter(~F.isnan("mean_auc")).orderBy(F.desc("mean_auc"), "trial").first()
+    return json.loads(row["params"]) if row else {}
 
 
 def logit_scorecard(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -170,45 +131,69 @@ def logit_scorecard(df: DataFrame, features: Sequence[str], label: str) -> DataF
     return out.orderBy(F.col("wald").desc())
 
 
-def permute_within_blocks(df: DataFrame, col: str, seed: int, blocks: int | None = None) -> DataFrame:
-    """``col`` permuted at random: rows go to random blocks (a shuffle on a
-    seeded random key) and each Arrow batch permutes its values with numpy.
-    The permuted column is independent of every other column, which is what
-    permutation importance needs, without a global row index."""
-    import numpy as np
-    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = df.schema
-
-    def perm(it):
-        from pyspark import TaskContext
-        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
-        for pdf in it:
-            pdf[col] = rng.permutation(pdf[col].to_numpy())
-            yield pdf
-
-    return df.repartition(blocks, F.rand(seed)).mapInPandas(perm, schema)
+def row_positions(df: DataFrame, out: str = "_pos") -> tuple[DataFrame, int]:
+    """``df`` (written once) with gapless row numbers from 0, and their count: the
+    row's place in its task, shifted by the sizes of the tasks before it."""
+    low = (1 << 33) - 1
+    dealt = checkpointed(df.select("*", F.spark_partition_id().alias("_part"),
+                                   F.monotonically_increasing_id().bitwiseAND(low).alias("_at")))
+    sizes = sorted((r["_part"], r["n"]) for r in dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+    shifts, n = [], 0
+    for part, size in sizes:  # one number per task
+        shifts.append((part, n))
+        n += size
+    table = df.sparkSession.createDataFrame(shifts, "_part int, _shift long")
+    placed = dealt.join(F.broadcast(table), "_part")
+    return placed.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(out)), n
+
+
+def shuffled_position(pos: Column, n: int, *key: Column, rounds: int = 24) -> Column:
+    """A bijection of 0 .. n - 1 chosen by ``key``: in every round a number and its
+    mirror image at a keyed point change places or not, as a hash of the larger
+    of the two says."""
+    n = max(n, 1)
+
+    def step(x: Column, i: Column) -> Column:
+        mirror = F.pmod(F.pmod(F.xxhash64(i, *key), F.lit(n)) - x, F.lit(n))
+        swap = F.xxhash64(F.greatest(x, mirror), i, *key).bitwiseAND(1) == 1
+        return F.when(swap, mirror).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), pos, step)
+
+
+def permuted_frames(df: DataFrame, features: Sequence[str], n_repeats: int, seed: int = 42) -> DataFrame:
+    """Every row once per (feature, repeat), with that feature's value taken from
+    the row that a bijection of all rows names: one join on (feature, position)."""
+    rows, n = row_positions(df)
+    rows = checkpointed(rows)
+    values = rows.select("_pos", *[F.col(f).cast("double") for f in features]).unpivot(
+        ["_pos"], list(features), "_f", "_v").withColumnRenamed("_pos", "_from")
+    what = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
+                     for f in features for r in range(n_repeats)])
+    many = rows.select("*", F.inline(what))
+    many = many.withColumn("_q", shuffled_position(F.col("_pos"), n, F.col("feature"), F.col("repeat"), F.lit(seed)))
+    hit = many.join(values, (F.col("feature") == F.col("_f")) & (F.col("_q") == F.col("_from")))
+    return hit.select("feature", "repeat", *[
+        F.when(F.col("feature") == c, F.col("_v")).otherwise(F.col(c).cast("double")).alias(c) if c in features
+        else F.col(c) for c in df.columns])
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str,
                            n_repeats: int = 5, seed: int = 42,
                            metric: str = "average_precision") -> DataFrame:
     """Mean drop of ``metric`` ("average_precision" or "auc") when one feature is
-    permuted, per feature over ``n_repeats`` permutations."""
-    def measure(scored: DataFrame) -> float:
-        if metric == "auc":
-            return roc_auc(scored, "score", label).first()["auc"]
-        return probability_metrics(scored, "score", label).first()["average_precision"]
-
-    base = measure(score(model, df, features))
-    rows = []
-    for f in features:
-        drops = []
-        for r in range(n_repeats):
-            p = permute_within_blocks(df, f, seed + r)
-            drops.append(base - measure(score(model, p, features)))
-        rows.append((f, float(sum(drops) / len(drops)), float(base)))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double, base_score double") \
-        .orderBy(F.col("importance").desc())
+    permuted over all rows, per feature over ``n_repeats`` permutations; all
+    features and repeats are scored and measured in one job."""
+    def measure(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+        found = roc_auc(scored, "score", label, by) if metric == "auc" else probability_metrics(scored, "score", label, by)
+        return found.select(*by, F.col("auc" if metric == "auc" else "average_precision").alias("_m"))
+
+    df = df.select(*features, label)
+    base = measure(score(model, df, features), []).withColumnRenamed("_m", "base_score")
+    many = score(model, permuted_frames(df, features, n_repeats, seed), features)
+    drops = with_row(measure(many.select("feature", "repeat", "score", label), ["feature", "repeat"]), base)
+    return drops.groupBy("feature").agg(F.avg(F.col("base_score") - F.col("_m")).alias("importance"),
+                                        F.first("base_score").alias("base_score")).orderBy(F.desc("importance"), "feature")
 
 
 def _gini_gain(cells: Sequence[tuple], a: int, z: int) -> tuple[float, int]:
