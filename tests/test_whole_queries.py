@@ -30,3 +30,28 @@ def test_report_and_imputation_return_both_sides(spark):
     both = train.unionByName(test)
     assert both.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count() and train.count() > 0
     assert both.filter(F.col("quality").isNull() | F.col("n_chars").isNull() | F.col("lang").isNull()).count() == 0
+
+
+def test_entry_stands_without_the_corpus_operators(monkeypatch):
+    import importlib
+    import sys
+
+    import __spark_entry__ as entry
+    for missing in ("vintagebook.llm.queries", "corpus_pipeline"):
+        monkeypatch.setitem(sys.modules, missing, None)  # its import raises ImportError
+        names = set(importlib.reload(entry).queries())
+        assert "book_orders" in names and "pipeline" not in names
+        assert any(n.startswith("op1_") for n in names) == (missing == "corpus_pipeline")
+        monkeypatch.undo()
+    assert "pipeline" in importlib.reload(entry).queries()
+
+
+def test_report_tables_are_whole(spark):
+    from __spark_entry__ import queries
+    curves = queries()["model_report_curves"](spark, SF_SMALL)
+    ends = curves.filter("(curve = 'roc' and fpr = 0 and tpr = 0) or (curve = 'pr' and recall = 0 and precision = 1)")
+    assert ends.select("split", "curve").distinct().count() == 4
+    assert curves.filter("curve = 'roc' and fpr = 1 and tpr = 1").count() == 2
+    deciles = queries()["model_report_deciles"](spark, SF_SMALL)
+    assert deciles.count() == 10 and deciles.agg(F.sum("volume")).first()[0] == spark.read.parquet(
+        f"{SF_SMALL}/lineitem.parquet").count()

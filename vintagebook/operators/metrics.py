@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .binning import fit_bins, linspace_probs
@@ -140,20 +140,33 @@ def probability_metrics(df: DataFrame, score: str, label: str, group_cols: Seque
     return base.join(ap, list(group_cols)) if group_cols else with_row(base, ap)
 
 
+def _curve(cum: DataFrame, group_cols: Sequence[str], point: Column, start: Column) -> DataFrame:
+    """A curve's points; the row of the highest score also gives the ``start``."""
+    points = F.when(F.col("cum_n") == F.col("n"), F.array(start, point)).otherwise(F.array(point))
+    return cum.select(*group_cols, F.inline(points))
+
+
 def roc_curve_table(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()
                     ) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score, from (0, 0) at threshold infinity."""
     c = cumulative_counts(df, score, label, group_cols)
-    return c.select(*group_cols, F.col("score").alias("threshold"),
-                    F.try_divide(F.col("cum_neg"), F.col("neg_total")).alias("fpr"),
-                    F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("tpr"))
+    point = F.struct(F.col("score").alias("threshold"),
+                     F.try_divide(F.col("cum_neg"), F.col("neg_total")).alias("fpr"),
+                     F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("tpr"))
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return _curve(c, group_cols, point, start)
 
 
 def pr_curve_table(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()
                    ) -> DataFrame:
+    """(threshold, precision, recall) per distinct score, from precision 1 at
+    recall 0, which has no threshold."""
     c = cumulative_counts(df, score, label, group_cols)
-    return c.select(*group_cols, F.col("score").alias("threshold"),
-                    F.try_divide(F.col("cum_pos"), F.col("cum_n")).alias("precision"),
-                    F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("recall"))
+    point = F.struct(F.col("score").alias("threshold"),
+                     F.try_divide(F.col("cum_pos"), F.col("cum_n")).alias("precision"),
+                     F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("recall"))
+    start = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return _curve(c, group_cols, point, start)
 
 
 def calibration_table(df: DataFrame, score: str, label: str, bins: int = 10,

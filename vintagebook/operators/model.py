@@ -135,7 +135,8 @@ def row_positions(df: DataFrame, out: str = "_pos") -> tuple[DataFrame, int]:
     """``df`` (written once) with gapless row numbers from 0, and their count: the
     row's place in its task, shifted by the sizes of the tasks before it."""
     low = (1 << 33) - 1
-    dealt = checkpointed(df.select("*", F.spark_partition_id().alias("_part"),
+    even = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = checkpointed(even.select("*", F.spark_partition_id().alias("_part"),
                                    F.monotonically_increasing_id().bitwiseAND(low).alias("_at")))
     sizes = sorted((r["_part"], r["n"]) for r in dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
     shifts, n = [], 0

@@ -122,22 +122,61 @@ def q_jitter(spark, d):
                                    keys=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
-@register("model_report")
-def q_report(spark, d):
+def _report(spark, d):
     lab = R.labelled(spark, d)
     split = F.when(F.col("safra") < R.TEST_FROM_SAFRA, "train").otherwise("test")
-    rep = MD.model_report(lab.withColumn("split", split), "score", "target")
-    return rep["auc"].join(rep["ks"], "split").join(rep["confusion"], "split")
+    return MD.model_report(lab.withColumn("split", split), "score", "target")
+
+
+_SPLIT_CUM = f"""
+sp AS (SELECT *, CASE WHEN safra < {R.TEST_FROM_SAFRA} THEN 'train' ELSE 'test' END AS split FROM r_lab),
+sc AS (SELECT split, score, count(*) AS n, sum(CAST(target AS DOUBLE)) AS pos, sum(1 - CAST(target AS DOUBLE)) AS neg
+       FROM sp WHERE score IS NOT NULL AND target IS NOT NULL GROUP BY split, score),
+cum AS (SELECT *, sum(n) OVER w AS cum_n, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg,
+               sum(pos) OVER (PARTITION BY split) AS pos_total, sum(neg) OVER (PARTITION BY split) AS neg_total
+        FROM sc WINDOW w AS (PARTITION BY split ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+auc AS (SELECT split, sum(pos * (neg_total - cum_neg + 0.5 * neg)) / (max(pos_total) * max(neg_total)) AS auc,
+               max(abs(cum_pos / pos_total - cum_neg / neg_total)) AS ks FROM cum GROUP BY split),
+cm AS (SELECT split, count(*) FILTER (score > 0.5 AND target = 1) AS tp, count(*) FILTER (score > 0.5 AND target = 0) AS fp,
+              count(*) FILTER (score <= 0.5 AND target = 0) AS tn, count(*) FILTER (score <= 0.5 AND target = 1) AS fn
+       FROM sp GROUP BY split),
+rates AS (SELECT *, (tp + tn) / (tp + fp + tn + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+                 coalesce(tp / nullif(tp + fn, 0), 0) AS recall FROM cm)"""
+
+
+@register("model_report", with_lab(_SPLIT_CUM) + f"""
+SELECT split, {O.rnd('auc')} AS auc, {O.rnd('2 * auc - 1')} AS gini, {O.rnd('ks')} AS ks, tp, fp, tn, fn,
+       {O.rnd('accuracy')} AS accuracy, {O.rnd('precision')} AS precision, {O.rnd('recall')} AS recall,
+       {O.rnd('coalesce(2 * precision * recall / nullif(precision + recall, 0), 0)')} AS f1
+FROM auc JOIN rates USING (split)""")
+def q_report(spark, d):
+    rep = _report(spark, d)
+    return rounded(rep["auc"].join(rep["ks"], "split").join(rep["confusion"], "split"))
 
 
-@register("model_report_curves")
+@register("model_report_curves", with_lab(_SPLIT_CUM) + f"""
+SELECT split, score AS threshold, {O.rnd('cum_neg / neg_total')} AS fpr, {O.rnd('cum_pos / pos_total')} AS tpr, 'roc' AS curve,
+       NULL::DOUBLE AS precision, NULL::DOUBLE AS recall FROM cum
+UNION ALL SELECT DISTINCT split, 'inf'::DOUBLE, 0::DOUBLE, 0::DOUBLE, 'roc', NULL::DOUBLE, NULL::DOUBLE FROM cum
+UNION ALL SELECT split, score, NULL, NULL, 'pr', {O.rnd('cum_pos / cum_n')}, {O.rnd('cum_pos / pos_total')} FROM cum
+UNION ALL SELECT DISTINCT split, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, 'pr', 1::DOUBLE, 0::DOUBLE FROM cum""")
 def q_report_curves(spark, d):
     """The report's ROC and precision-recall curves per split."""
-    lab = R.labelled(spark, d)
-    split = F.when(F.col("safra") < R.TEST_FROM_SAFRA, "train").otherwise("test")
-    rep = MD.model_report(lab.withColumn("split", split), "score", "target")
-    return rep["roc"].withColumn("curve", F.lit("roc")).unionByName(
-        rep["pr"].withColumn("curve", F.lit("pr")), allowMissingColumns=True)
+    rep = _report(spark, d)
+    return rounded(rep["roc"].withColumn("curve", F.lit("roc")).unionByName(
+        rep["pr"].withColumn("curve", F.lit("pr")), allowMissingColumns=True))
+
+
+@register("model_report_event_rate", with_lab(_SPLIT_CUM) + f"""
+SELECT split, {O.rnd('avg(CAST(target AS DOUBLE))')} AS taxa_de_evento, count(*) AS volume FROM sp GROUP BY split""")
+def q_report_event_rate(spark, d):
+    return rounded(_report(spark, d)["event_rate"])
+
+
+@register("model_report_deciles")
+def q_report_deciles(spark, d):
+    """The report's jittered decile ordering."""
+    return _report(spark, d)["deciles"]
 
 
 @register("preprocess_select")

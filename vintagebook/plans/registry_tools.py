@@ -395,13 +395,15 @@ def q_prob_metrics(spark, d):
 
 
 @register("roc_curve_table", with_lab(_SC) + f"""
-SELECT score AS threshold, {O.rnd('cum_neg / neg_total')} AS fpr, {O.rnd('cum_pos / pos_total')} AS tpr FROM cum""")
+SELECT score AS threshold, {O.rnd('cum_neg / neg_total')} AS fpr, {O.rnd('cum_pos / pos_total')} AS tpr FROM cum
+UNION ALL SELECT 'inf'::DOUBLE, 0::DOUBLE, 0::DOUBLE WHERE EXISTS (SELECT 1 FROM cum)""")
 def q_roc_curve(spark, d):
     return rounded(M.roc_curve_table(lab(spark, d), "score", "target"))
 
 
 @register("pr_curve_table", with_lab(_SC) + f"""
-SELECT score AS threshold, {O.rnd('cum_pos / cum_n')} AS precision, {O.rnd('cum_pos / pos_total')} AS recall FROM cum""")
+SELECT score AS threshold, {O.rnd('cum_pos / cum_n')} AS precision, {O.rnd('cum_pos / pos_total')} AS recall FROM cum
+UNION ALL SELECT NULL, 1::DOUBLE, 0::DOUBLE WHERE EXISTS (SELECT 1 FROM cum)""")
 def q_pr_curve(spark, d):
     return rounded(M.pr_curve_table(lab(spark, d), "score", "target"))
 

@@ -45,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect
-        return cur or ""
+        if not cur:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return cur
     if not cur:
         cur = sc.getCheckpointDir()
     if not cur:
