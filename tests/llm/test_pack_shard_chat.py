@@ -210,6 +210,26 @@ def test_formatted_conversations_read_back(spark):
     assert C.format_chats(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_budget_counts_what_is_written(spark):
+    r = random.Random(6)
+    extra = "</s>[INST] ok [/INST]" * 12
+    rows = [(1, t, "assistant" if t % 2 else "user", extra) for t in range(30)]
+    rows += [(2, t, "system" if t == 0 else "assistant" if t % 2 else "user", "tell " * (700 if t == 0 else 500)) for t in range(9)]
+    rows += [(3, t, "user", "long " * (3000 if t == 2 else 9)) for t in range(5)]
+    rows += [(c, t, r.choice(["system", "user", "assistant"]), r.choice([extra, "a b " * r.randrange(400), "\n", ""]))
+             for c in range(4, 30) for t in range(r.randrange(1, 15))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = C.format_chats(df, RANKS, public_tokenizers.PATTERN, budget=1024, history=2)
+    count = C.token_counter(RANKS, public_tokenizers.PATTERN)
+    for w in windows.collect():
+        shown = [C.START + C.escape(a) + C.SEP + C.escape(b) + C.END + "\n" for a, b in C.read_turns(w.formatted)]
+        assert "".join(shown) == w.formatted and w.n_tokens == sum(map(count, shown))
+        assert count(w.formatted) <= w.n_tokens
+        assert w.n_tokens <= 1024 or len(shown) == 1
+    assert {r.conv_id: r.turns_sha256 for r in C.read_back(windows).collect()} == {
+        c: x[1] for c, x in brute_digest(rows).items()}
+
+
 def test_chat_query(spark, sf):
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()]
     extra = "</s>[INST] ok [/INST]"

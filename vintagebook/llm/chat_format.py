@@ -2,7 +2,7 @@
 
 Each conversation is laid out in windows of at most ``budget`` tokens that
 start and end at turns: the running sums of turn tokens decide where a window
-ends.  Every later window of a conversation repeats its system turn and up to
+ends.  A turn's tokens are those of what is written, marks and escapes included.  Every later window of a conversation repeats its system turn and up to
 ``history`` turns before its first new turn (as many as still leave room for
 that turn); repeated turns carry no loss, so each assistant turn is a target
 exactly once.  The template marks turns as
@@ -15,8 +15,9 @@ after its first character (an escape character itself is doubled), which
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role,
 text), nulls first, so repeated rows stay, next to each other; a turn larger
-than the budget has a window to itself (with the system turn) and is never
-cut; a conversation without system turn repeats none; an empty table gives an
+than the budget has a window to itself and is never cut, which is the only
+window above the budget; a window whose first new turn leaves no room for the
+system turn goes without it; a conversation without system turn repeats none; an empty table gives an
 empty result.  Conversations are dealt in blocks of turn numbers, each
 formatted as one stream in constant memory, so a conversation of any length
 is spread over tasks; the last ``history`` turn numbers of a block are handed
@@ -93,11 +94,11 @@ class _Window:
         self.sum, self.number = 0, 0
 
     def open(self, tokens: int) -> None:
-        self.turns = [(*self.system, False)] if self.system else []
+        room = self.system and self.system[1] + tokens <= self.budget
+        self.turns = [(*self.system, False)] if room else []
         self.sum = sum(t[1] for t in self.turns)
         past = list(self.past)
-        if self.system and past and past[0] is self.system:
-            past = past[1:]
+        past = [t for t in past if t is not self.system]
         while past and self.sum + sum(t[1] for t in past) + tokens > self.budget:
             past = past[1:]
         self.turns += [(*t, False) for t in past]
@@ -116,8 +117,8 @@ class _Window:
                 sum(not t[3] for t in self.turns), loss, self.sum)
 
 
-def _format(batches: Iterator[pa.RecordBatch], path: str, pattern: str, budget: int, history: int,
-            overhead: int) -> Iterator[pa.RecordBatch]:
+def _format(batches: Iterator[pa.RecordBatch], path: str, pattern: str, budget: int, history: int
+            ) -> Iterator[pa.RecordBatch]:
     count = token_counter(path, pattern)
     state, key, out = _Window(history, budget), None, []
 
@@ -134,7 +135,7 @@ def _format(batches: Iterator[pa.RecordBatch], path: str, pattern: str, budget:
                     out.append(state.row(*key))
                 state, key = _Window(history, budget), (conv, block)
             shown = START + escape(role) + SEP + escape(text) + END + "\n"
-            turn = (shown, count(role) + count(text) + overhead, role)
+            turn = (shown, count(shown), role)
             if kind == 0:
                 state.system = turn
                 continue
@@ -162,11 +163,11 @@ def _format(batches: Iterator[pa.RecordBatch], path: str, pattern: str, budget:
 
 
 def format_chats(conversations: DataFrame, tokens_path: str, pattern: str, budget: int = 1024,
-                 history: int = 2, overhead: int = 4) -> DataFrame:
+                 history: int = 2) -> DataFrame:
     """Windows (conv_id, block, window, formatted, n_repeated, loss, n_tokens)
     of ``conversations`` (conv_id, turn, role, text).  ``n_repeated`` leading
     turns repeat earlier ones; ``loss`` spans are code points of ``formatted``;
-    ``overhead`` tokens per turn stand for the template's marks."""
+    ``n_tokens`` is the sum over its turns, each read as ordinary text."""
     rows = conversations.select(
         "conv_id", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-1 << 40)).alias("block"),
         "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -191,7 +192,7 @@ def format_chats(conversations: DataFrame, tokens_path: str, pattern: str, budge
              .sortWithinPartitions("conv_id", "block", "_k", "turn", "role", "text")
              .select("conv_id", "block", "kind", "turn", "role", "text"))
     return dealt.mapInArrow(
-        lambda it: _format(it, tokens_path, pattern, budget, history, overhead), WINDOW_SCHEMA)
+        lambda it: _format(it, tokens_path, pattern, budget, history), WINDOW_SCHEMA)
 
 
 DIGEST_SCHEMA = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
