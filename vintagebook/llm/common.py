@@ -36,6 +36,14 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def reserve(rows: DataFrame, *names: str) -> None:
+    """Fail when ``rows`` has a column that an operator adds or uses inside
+    (names are matched as Spark resolves them, without regard to case)."""
+    clash = sorted({c for c in rows.columns if c.lower() in names})
+    if clash:
+        raise ValueError(f"rename these columns first: {clash}")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,19 +1,25 @@
 """Removal of repeated passages by sliding sentence spans.
 
 A text is cut into sentences (at line ends and after ``. ! ?`` before white
-space; a sentence of over ``LONG`` words is cut further after commas and at
-words chosen by their hash, so that the cuts depend on the words around them
-only).  From every sentence on, the shortest run of at least two sentences
-and ``min_words`` words is hashed.  Runs are joined globally: a run stays in
-the document with the smallest id that holds it, at its first place there;
-all sentences covered by any other occurrence are removed.
+space; a sentence of over ``LONG`` words is cut further after commas, at
+words chosen by their hash and at the least hash of every ``LONG`` words in a
+row, so that the cuts depend on the words around them only and no part is much
+longer).  Two texts that share a passage thus share a cut within ``LONG`` words
+of both its ends.  The runs of at least two sentences
+and ``min_words`` words are the passages.  Hashed are the shortest one from
+every sentence on and the shortest one up to every sentence: where a longer
+run repeats, those inside it repeat too and cover it from end to end, so
+what is removed is what hashing every run would remove.  Runs are joined
+globally: a run stays in the document with the smallest id that holds it, at
+its first place there; all sentences covered by any other occurrence are removed.
 
 Defined cases: a null text stays null, an empty one empty; A-Z and white
 space are not told apart; texts shorter than a run are never touched; an
 exact copy keeps only what no run covers; rows with one id count as one
 document (runs they share stay in each, but not twice in one row); rows
 without an id give way to rows with one and never to each other; an empty
-table gives an empty result; extra columns are kept.
+table gives an empty result; extra columns are kept (``n_removed``,
+``_id`` and ``_runs`` may not be among them: ValueError).
 
 A run's first owner is a hash aggregation with map-side partials, and the
 runs are joined with it by shuffle, where a run found in a third of the
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,22 +39,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, tidy
+from .common import materialize, reserve, text_slices, tidy
 
-LONG = 16
+LONG = 12
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _cuts(text: bytes, start: int, stop: int) -> Iterator[int]:
     """Ends of the parts of an overlong sentence."""
+    part: list[tuple[int, int]] = []  # hash and end of the words since the last cut
     for m in _WORD.finditer(text, start, stop):
         w = m.group()
-        if w[-1] in b",;:" or zlib.crc32(w) % 8 == 0:
+        h = zlib.crc32(w)
+        part.append((h, m.end()))
+        if w[-1] in b",;:" or h % 8 == 0:
+            yield from _near(part)
             yield m.end()
+            part = []
+    yield from _near(part)
     yield stop
 
 
+def _near(part: list[tuple[int, int]]) -> Iterator[int]:
+    """Cuts inside a part: after the last of the least hashes of every ``LONG``
+    words in a row, its own last word left out."""
+    least: deque = deque()
+    cut = -1
+    for i, (h, _) in enumerate(part[:-1]):
+        while least and part[least[-1]][0] >= h:
+            least.pop()
+        least.append(i)
+        if least[0] <= i - LONG:
+            least.popleft()
+        if i >= LONG - 1 and least[0] != cut:
+            cut = least[0]
+            yield part[cut][1]
+
+
 def sentences(text: bytes) -> list[tuple[int, int, int]]:
     """(stop, words, hash) of the sentences; each starts where the last stops."""
     low, out, at = text.lower(), [], 0
@@ -73,27 +102,25 @@ def _parts(low: bytes, start: int, stop: int) -> list[tuple[int, int, int]]:
 
 
 def runs(units: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, last sentence + 1) of the runs, in text order.
-    Sentences without words are skipped over and belong to no run's start."""
+    """(hash, first sentence, last sentence + 1) of the runs, in text order: the
+    shortest from every sentence on and the shortest up to every sentence.
+    Sentences without words are skipped over and belong to no run's ends."""
     real = [i for i, u in enumerate(units) if u[1]]
-    out, j, words, mixed = [], 0, 0, None
-    for a in range(len(real)):
-        if a:
-            words -= units[real[a - 1]][1]
-        while j < len(real) and (words < min_words or j - a < 2):
-            words += units[real[j]][1]
-            j += 1
-        if words < min_words or j - a < 2:
-            break
-        mixed = np.array([units[i][2] for i in real[a:j]], np.uint64).tobytes()
-        out.append((xxhash.xxh64_intdigest(mixed) - (1 << 63), real[a], real[j - 1] + 1))
-    return out
+    sums = np.concatenate(([0], np.cumsum([units[i][1] for i in real], dtype=np.int64)))
+    at = np.arange(len(real))
+    stop = np.maximum(np.searchsorted(sums, sums[:-1] + min_words), at + 2)
+    start = np.minimum(np.searchsorted(sums, sums[1:] - min_words, "right") - 1, at - 1)
+    spans = {(a, z) for a, z in zip(at.tolist(), stop.tolist()) if z <= len(real)}
+    spans |= {(a, z + 1) for a, z in zip(start.tolist(), at.tolist()) if a >= 0}
+    mixed = np.array([units[i][2] for i in real], np.uint64).tobytes()
+    return [(xxhash.xxh64_intdigest(mixed[8 * a:8 * z]) - (1 << 63), real[a], real[z - 1] + 1)
+            for a, z in sorted(spans)]
 
 
 def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, run, again): the runs of each text, once each; ``again``: it
     holds the run more than once."""
-    for b in tidy(batches):
+    for b in (s for whole in tidy(batches) for s in text_slices(whole, 1)):
         ids, texts = b.column(0), b.column(1).cast(pa.binary())
         counts, hashes, again = np.zeros(b.num_rows, np.int64), [], []
         for i in range(b.num_rows):
@@ -111,7 +138,7 @@ def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 
 def _rewrite(batches: Iterator[pa.RecordBatch], text_at: int, runs_at: int, min_words: int
              ) -> Iterator[pa.RecordBatch]:
-    for b in tidy(batches):
+    for b in (s for whole in tidy(batches) for s in text_slices(whole, text_at)):
         texts, found = b.column(text_at).cast(pa.binary()).to_pylist(), b.column(runs_at).to_pylist()
         new, removed = [], []
         for text, listed in zip(texts, found):
@@ -153,8 +180,7 @@ def repeated_runs(docs: DataFrame, min_words: int = 20) -> DataFrame:
 def remove_repeats(docs: DataFrame, min_words: int = 20) -> DataFrame:
     """``docs`` (doc_id, text and any others) with the repeated passages taken
     out of ``text``, and ``n_removed`` sentences."""
-    if "n_removed" in docs.columns:
-        raise ValueError("rename the column n_removed first")
+    reserve(docs, "n_removed", "_id", "_runs")
     drop = repeated_runs(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("runs").alias("_runs"))
     joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     names = joined.columns
