@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, reserve
 
 # Identifier -> known licence sentences, normalised.
 SENTENCES = {
@@ -101,6 +101,21 @@ WHOLE = {
                   "but not limited to the implied warranties of merchantability and fitness for a "
                   "particular purpose are disclaimed"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "apache-head": ["apache license version 2 0 january 2004"],
+    "mit-ref": ["licensed under the mit license see license", "distributed under the mit license",
+                "distributed under the terms of the mit license"],
+    "apache-terms": ["distributed under the terms of the apache license 2 0",
+                     "distributed under the terms of the apache license version 2 0"],
+    "cc-by-sa-ref": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons "
+                     "attribution sharealike 4 0 international license"],
+    "boost-ref": ["distributed under the boost software license version 1 0"],
+    "boost-head": ["boost software license version 1 0 august 17th 2003"],
+    "gpl3-head": ["gnu general public license version 3 29 june 2007"],
+    **{f"spdx-{x}": [f"spdx license identifier {x}"] for x in (
+        "apache 2 0", "mit", "isc", "bsd 2 clause", "bsd 3 clause", "mpl 2 0", "bsl 1 0", "unlicense",
+        "cc by 4 0", "cc by sa 4 0")},
+    **{f"spdx-{x}": [f"spdx license identifier {x}{t}" for t in ("", " only", " or later")] for x in (
+        "gpl 2 0", "gpl 3 0", "lgpl 2 1", "lgpl 3 0", "agpl 3 0")},
 }
 WHOLE_RULES = (
     ("ISC", ("isc-grant", "isc-as-is")),
@@ -112,6 +127,15 @@ WHOLE_RULES = (
     ("MPL-2.0", ("mpl-2-ref",)),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("Unlicense", ("unlicense",)),
+    ("Apache-2.0", ("apache-head",)),
+    ("Apache-2.0", ("apache-terms",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-ref",)),
+    ("BSL-1.0", ("boost-ref",)),
+    ("BSL-1.0", ("boost-head",)),
+    ("GPL-3.0", ("gpl3-head",)),
+    *((name, (f"spdx-{name.lower().replace('-', ' ').replace('.', ' ')}",)) for name in (
+        "Apache-2.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "BSL-1.0", "Unlicense",
+        "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")),
 )
 KNOWN = {i: SENTENCES.get(i, []) + WHOLE.get(i, []) for i in {**SENTENCES, **WHOLE}}
 ALL_RULES = RULES + WHOLE_RULES
@@ -127,11 +151,12 @@ def marked(text: Column) -> Column:
     out = ascii_lower(F.coalesce(text, F.lit("")))
     for pattern, by in (
             (r"(?<=conditions|are met):[\x20\x09]+", " L "),  # the list may go on in the line
-            (r"[.!?]+([\x20\x09-\x0D]+|$)", " S "), (r"[\n\r]+", " L "), (r"[^a-z0-9SL]+", " "),
+            (r"(?<![.!?])[.!?]++([\x20\x09-\x0D]+|$)", " S "), (r"[\n\r]+", " L "), (r"[^a-z0-9SL]+", " "),
             (r"(?<=[SL]) (?:dnl|rem) ", " "),  # comment markers that are words
             # labels of list items
             (r" L (?:[0-9]{1,2}|[a-z]|i{2,3}) (?=(?:redistributions|neither) )", " L "),
-            (r" (?:L )*S (?:[SL] )*", " S "), (r" (?:L )+", " L ")):
+            # runs of line ends first, so that no run is read again from each of its places
+            (r" L(?: L)++(?= )", " L"), (r" (?:L )?S (?:[SL] )*+", " S ")):
         out = F.regexp_replace(out, pattern, by)
     return F.concat(F.lit("S "), F.trim(out), F.lit(" S"))
 
@@ -171,7 +196,9 @@ def licenses_of(ids: Column, rules=ALL_RULES) -> Column:
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", known: dict[str, list[str]] = KNOWN,
                   rules=ALL_RULES) -> DataFrame:
-    """Add ``sentence_ids`` and ``licenses`` (arrays of strings)."""
+    """Add ``sentence_ids`` and ``licenses`` (arrays of strings), which ``docs``
+    may not have yet (ValueError)."""
+    reserve(docs, "sentence_ids", "licenses")
     out = docs.withColumn("sentence_ids", sentence_ids(F.col(text_col), known))
     return out.withColumn("licenses", licenses_of(F.col("sentence_ids"), rules))
 
@@ -179,9 +206,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", known: dict[str, list
 def oracle_sql() -> str:
     """DuckDB twin of the registered query (ids and licences joined by commas)."""
     up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    values = ", ".join(f"('{s}', '{i}')" for i, ss in SENTENCES.items() for s in ss)
+    values = ", ".join(f"('{s}', '{i}')" for i, ss in KNOWN.items() for s in ss if "*" not in s)
     hit = []
-    for k, (name, seq) in enumerate(RULES):
+    for k, (name, seq) in enumerate(ALL_RULES):
         cond = "ids IS NOT NULL AND regexp_matches('|' || ids || '|', '" + "".join(
             (".*" if j else "") + r"\|" + s + (r"\|" if j == len(seq) - 1 else "")
             for j, s in enumerate(seq)) + "')"
