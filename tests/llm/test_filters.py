@@ -1,5 +1,6 @@
 import re
 import struct
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vintagebook.llm import decontaminate as D, licenses as L, quality as Q, substring_dedup as S, url_filter as U
+from vintagebook.llm import decontaminate as D, licenses as L, quality as Q, sharding as H, substring_dedup as S, url_filter as U
 from vintagebook.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,6 +161,41 @@ def test_verbatim_wrapped_licences(spark):
     assert all(re.search(L.ANCHORS, s) for ss in L.KNOWN.values() for s in ss)
 
 
+def test_licence_tags_and_headings(spark):
+    texts = ["// SPDX-License-Identifier: Apache-2.0\nint main", "# SPDX-License-Identifier: MIT",
+             "/* SPDX-License-Identifier: GPL-3.0-or-later */", "SPDX-License-Identifier: CC-BY-SA-4.0.",
+             "Licensed under the MIT License (see LICENSE).", "Distributed under the terms of the Apache License 2.0.",
+             "Distributed under the Boost Software License, Version 1.0.\n(See http://x.org)",
+             "   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/",
+             "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright",
+             "the SPDX-License-Identifier: MIT tag is explained here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [",".join(r.licenses) for r in L.scan_licenses(df).orderBy("doc_id").collect()]
+    assert got == ["Apache-2.0", "MIT", "GPL-3.0", "CC-BY-SA-4.0", "MIT", "Apache-2.0", "BSL-1.0", "Apache-2.0",
+                   "GPL-3.0", ""]
+
+
+def test_long_runs_of_marks_take_time_in_proportion(spark):
+    texts = ["***\n" * 250_000, "." * 1_000_000 + "x license", "rem\n" * 250_000, "!\n" * 400_000 + MIT]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    start = time.monotonic()
+    got = [",".join(r.licenses) for r in L.scan_licenses(df.repartition(4)).orderBy("doc_id").collect()]
+    assert got == ["", "", "", "MIT"] and time.monotonic() - start < 15
+
+
+@pytest.mark.parametrize("scan, names", [
+    (lambda df: U.filter_urls(df), ("host", "Path", "rule", "verdict", "trust", "_bad")),
+    (lambda df: L.scan_licenses(df), ("sentence_ids", "LICENSES")),
+    (lambda df: H.with_slots(H.assign_shards(df, F.col("doc_id"), H.even_tree(4))), ("shard", "slot", "grown_shard", "_row")),
+    (lambda df: S.remove_repeats(df), ("n_removed", "_id", "_runs")),
+    (lambda df: D.mark_contaminated(df, df.selectExpr("doc_id item_id", "text")), ("n_items", "item_id", "coverage"))])
+def test_columns_that_clash(messy, scan, names):
+    rows = messy.select("*", F.lit("").alias("url"), F.lit("").alias("html"))
+    for name in names:
+        with pytest.raises(ValueError, match=name):
+            scan(rows.withColumn(name, F.lit(1)))
+
+
 # ---------------------------------------------------------------- quality
 def brute_counts(text):
     w = WORD.findall(text or "")
@@ -298,6 +334,55 @@ def test_repeated_passages_go_but_for_the_first(spark):
         assert got[i].text.split()[:50] == text[i].split()[:50]
 
 
+def every_run(units, min_words):
+    """All runs of two or more sentences with enough words, however long."""
+    real = [i for i, u in enumerate(units) if u[1]]
+    return [(tuple(units[i][2] for i in real[a:z]), real[a:z]) for a in range(len(real))
+            for z in range(a + 2, len(real) + 1) if sum(units[i][1] for i in real[a:z]) >= min_words]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_what_goes_is_what_hashing_every_run_removes(spark, seed):
+    r = np.random.default_rng(seed)
+    pool = [" ".join(f"w{r.integers(500)}" for _ in range(r.integers(1, 15))) + "." for _ in range(40)]
+    stretch = [[pool[k] for k in r.integers(0, 40, r.integers(2, 9))] for _ in range(5)]
+    rows = []
+    for i in range(12):
+        parts = []
+        for _ in range(4):
+            parts += stretch[r.integers(5)] if r.random() < 0.5 else [pool[k] for k in r.integers(0, 40, 4)]
+        rows.append((i, " ".join(parts)))
+    owner, want = {}, {}
+    for i, t in rows:
+        units, gone, seen = S.sentences(t.encode()), set(), set()
+        for h, span in every_run(units, 20):
+            if owner.setdefault(h, i) < i or h in seen:
+                gone |= set(span)
+            seen.add(h)
+        starts = [0, *(u[0] for u in units)]
+        want[i] = b"".join(t.encode()[starts[k]:u[0]] for k, u in enumerate(units) if k not in gone).decode()
+    got = {r.doc_id: r.text for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and any(want[i] != t for i, t in rows)
+
+
+def test_planted_passages_without_punctuation(spark):
+    """Passages of 51 words at arbitrary places of texts without any sentence end."""
+    rows, passages = [], []
+    for k in range(200):
+        words = lambda s, n: sentence_text(s, n).replace(".", "").split()
+        passage = words(5000 + k, 51)
+        passages.append(passage)
+        for c in range(2):
+            rows.append((2 * k + c, " ".join(words(9000 + 4 * k + c, 37 + k % 11) + passage + words(20000 + 4 * k + c, 50))))
+    got = {r.doc_id: r.text for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    left = [sum(w in set(got[2 * k + 1].split()) for w in p) for k, p in enumerate(passages)]
+    assert all(got[2 * k] == text[2 * k] for k in range(200))
+    assert max(left) < 51 - 20 + 5 and sum(left) < 0.25 * 51 * 200  # up to 5 of its words stand elsewhere too
+    parts = [u[1] for u in S.sentences(" ".join(words(1, 20_000)).encode())]
+    assert max(parts) <= S.LONG + 1
+
+
 def test_passages_of_messy_rows(messy, nothing):
     got = S.remove_repeats(messy).collect()
     assert len(got) == messy.count()
@@ -345,6 +430,30 @@ def test_item_after_other_uses_of_its_template(spark):
     assert all(r.coverage == 1 and r.consistency == 1 for r in got.values())
 
 
+def test_excerpts_of_long_items(spark):
+    """13 words in a row with the same slots report an item, however long it is."""
+    words = [w for w in sentence_text(77, 200).replace(".", "").split()]
+    item, pad = " ".join(words), sentence_text(9, 60)
+    docs = spark.createDataFrame([(1, f"{pad} {' '.join(words[90:103])} {pad}"), (2, f"{pad} {' '.join(words[90:102])} {pad}"),
+                                  (3, f"{' '.join(words[10:20])} {pad} {' '.join(words[20:30])}"), (4, pad)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(100, item)], "item_id long, text string")
+    got = {r.doc_id: r for r in D.matches(docs, items).collect()}
+    assert set(got) == {1} and got[1].n_windows == 6 and got[1].consistency == 1
+
+
+def test_items_of_numbers_are_read_word_by_word(spark):
+    sums = "12 + 7 = 19 and 30 - 4 = 26 kg 5 km 8 m 14"
+    pad = sentence_text(9, 60)
+    rows = [(1, f"{pad} {sums} {pad}"), (2, f"{pad} {sums.replace('12', '13').replace('26', '27').replace('8', '9')} {pad}"),
+            (3, "7 8 9 10 11 kg"), (4, "so 7, 8, 9, 10, 11 kg!"), (5, "7 8 9 10 12 kg"), (6, pad), (7, ITEM)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(100, sums), (101, "7 8 9 10 11 kg"), (102, f"{ITEM} 1 2 3 4 5 6 7 8"), (103, "1 2 3")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in D.matches(docs, items).collect()}
+    assert got == {(1, 100), (3, 101), (4, 101), (7, 102)}
+
+
 def test_contamination_query_finds_every_verbatim_item(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()

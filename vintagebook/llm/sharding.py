@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_positions, materialize
+from .common import dense_positions, materialize, reserve
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,9 @@ def shard_of(key: Column, tree: Node, seed: int = 0, path: str = "") -> Column:
 
 def assign_shards(rows: DataFrame, key: Column, tree: Node, grown: Node | None = None,
                   seed: int = 0) -> DataFrame:
-    """Add ``shard`` (and ``grown_shard`` under the layout ``grown``)."""
+    """Add ``shard`` (and ``grown_shard`` under the layout ``grown``), which
+    ``rows`` may not have yet, nor ``slot`` (ValueError)."""
+    reserve(rows, "shard", "grown_shard", "slot", "_row", "_salt", "_sum", "_by", "_cell", "_shift")
     out = rows.withColumn("shard", shard_of(key, tree, seed).cast("int"))
     return out.withColumn("grown_shard", shard_of(key, grown, seed).cast("int")
                           if grown else F.lit(None).cast("int"))

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize
+from .common import ascii_lower, materialize, reserve
 
 # Fixed values of the url rules: (verdict, host, path).
 RULES = (
@@ -117,7 +117,10 @@ def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85,
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
                 threshold: float = 0.5, damping: float = 0.85) -> DataFrame:
     """``pages`` (url, html and any others) without html, with host, path,
-    rule, verdict and the host's trust and distrust."""
+    rule, verdict and the host's trust and distrust, none of which ``pages``
+    may have yet (ValueError)."""
+    reserve(pages, "host", "path", "rule", "rule_verdict", "verdict", "trust", "distrust", "n_pages",
+            "_r", "_host", "_bad")
     seen = judged(pages, rules)
     edges = materialize(host_edges(seen), "url-edges")
     known = seen.filter("host != ''").groupBy("host").agg(
