@@ -97,3 +97,20 @@ def test_book_one_row_group_and_zero_den(spark):
     assert b["s1"].vl_std_u1m_v_t is None and b["s1"].vl_qtd_u1m_v_t == 1
     assert b["s2"].raz_med_u1m_u3m_v_t is None          # 0 / 0 -> NULL
     assert b["s2"].vl_qtd_u12m_v_t == 2                  # 201706 is outside the 13-month history
+
+
+def test_quantile_ranks_are_looked_up_by_range(spark):
+    """No nested loop without groups, and equal to numpy with and without them."""
+    rng = np.random.default_rng(8)
+    values = np.round(rng.gamma(1.5, 20, 5000), 1)
+    rows = [(int(i % 3), float(v)) for i, v in enumerate(values)] + [(5, 1.0), (6, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.0, 0.013, 0.25, 0.5, 0.777, 0.99, 1.0]
+    got = exact_quantiles(df.filter("g < 3"), "v", probs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert [r.value for r in got.orderBy("q_index").collect()] == pytest.approx(np.quantile(values, probs))
+    by = {(r.g, r.q_index): r.value for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    assert len(by) == 4 * len(probs) and all(by[5, i] == 1.0 for i in range(len(probs)))
+    for g in range(3):
+        assert [by[g, i] for i in range(len(probs))] == pytest.approx(np.quantile(values[g::3], probs))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from ..session import checkpointed
 from .bounded import with_row
@@ -71,7 +71,8 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-                materialize: bool = True, n_groups: int | None = None) -> DataFrame:
+                materialize: bool = True, n_groups: int | None = None,
+                keep_bucket: bool = False) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` ordered by ``order_col``
     (within ``group_cols``).  Rows with equal ``order_col`` values are summed
     in an arbitrary order: aggregate to one row per value first for tie-safe
@@ -79,6 +80,7 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
     ``materialize`` checkpoints the input once (shared checkpoint folder), so
     the cut, total and running-sum passes read it instead of recomputing it.
+    ``keep_bucket`` adds ``_bucket``, the range a row falls in.
     """
     g = list(group_cols)
     if materialize:
@@ -101,19 +103,25 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*g, "_bucket").orderBy(oc)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
+    return j.select(*df.columns, *["_bucket"] * keep_bucket, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
                                    for c in sum_cols])
 
 
 def _counts_and_totals(df: DataFrame, value_col: str, group_cols: Sequence[str],
-                       buckets: int) -> tuple[DataFrame, DataFrame]:
+                       buckets: int) -> tuple[DataFrame, DataFrame, int]:
+    """Running counts per distinct value with their range; per group ``n`` and
+    ``_parts``, the ranges and their counts in order (at most buckets entries);
+    the number of groups."""
     g = list(group_cols)
     counts = checkpointed(df.filter(F.col(value_col).isNotNull())
                           .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt")))
     n_groups = _group_count(counts, g)
     cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False,
-                      n_groups=n_groups)
-    n = counts.groupBy(*g).agg(F.sum("cnt").alias("n"))
+                      n_groups=n_groups, keep_bucket=True)
+    parts = (_bucket_of(counts, value_col, g, buckets, n_groups * buckets)
+             .groupBy(*g, "_bucket").agg(F.sum("cnt").alias("_t_cnt")))
+    n = parts.groupBy(*g).agg(F.sum("_t_cnt").alias("n"), F.array_sort(
+        F.collect_list(F.struct("_bucket", "_t_cnt"))).alias("_parts"))
     return cum, n, n_groups
 
 
@@ -122,9 +130,21 @@ def value_counts_cumulative(df: DataFrame, value_col: str, group_cols: Sequence[
     """(group, value, cnt, cum_cnt, n): one row per distinct non-null value."""
     g = list(group_cols)
     cum, n, n_groups = _counts_and_totals(df, value_col, g, buckets)
+    cum, n = cum.drop("_bucket"), n.drop("_parts")
     return cum.join(_small(n, n_groups), g) if g else with_row(cum, n)
 
 
+def _range_of(rank: Column, parts: Column) -> Column:
+    """The range that holds the row of ``rank`` (from 0), by the ranges' counts."""
+    first = F.struct(rank.alias("left"), F.lit(None).cast("int").alias("at"))
+
+    def step(s: Column, x: Column) -> Column:
+        here = F.coalesce(s["at"], F.when(s["left"] < x["_t_cnt"], x["_bucket"]))
+        return F.struct((s["left"] - x["_t_cnt"]).alias("left"), here.alias("at"))
+
+    return F.aggregate(parts, first, step, lambda s: s["at"])
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles with linear interpolation (h = (n - 1) * q), per group.
@@ -147,11 +167,12 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
              .withColumn("_lo", F.floor("_h").cast("bigint"))
              .withColumn("_hi", F.ceil("_h").cast("bigint")))
     lookup = ranks.select(*g, "q_index", "q", "_h", "_lo",
-                          F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_rank"))
+                          F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_rank"), "_parts")
+    lookup = lookup.withColumn("_range", _range_of(F.col("_rank"), F.col("_parts"))).drop("_parts")
     lookup = _small(lookup, n_groups * len(probs) * 2)
     hit = lookup.join(
-        cum.select(*g, "_v", "_start", "cum_cnt"),
-        [*[lookup[c] == cum[c] for c in g],
+        cum.select(*g, "_v", "_bucket", "_start", "cum_cnt"),
+        [*[lookup[c] == cum[c] for c in g], F.col("_range") == F.col("_bucket"),
          F.col("_rank") >= F.col("_start"), F.col("_rank") < F.col("cum_cnt")])
     hit = hit.select(*[lookup[c] for c in g], "q_index", "q", "_h", "_lo", "_rank", "_v")
     agg = hit.groupBy(*g, "q_index", "q", "_h", "_lo").agg(
