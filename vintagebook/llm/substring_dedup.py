@@ -5,7 +5,7 @@ space; a sentence of over ``LONG`` words is cut further after commas, at
 words chosen by their hash and at the least hash of every ``LONG`` words in a
 row, so that the cuts depend on the words around them only and no part is much
 longer).  Two texts that share a passage thus share a cut within ``LONG`` words
-of both its ends.  The runs of at least two sentences
+of both its ends, and of 51 words 21 are left between them.  The runs of at least two sentences
 and ``min_words`` words are the passages.  Hashed are the shortest one from
 every sentence on and the shortest one up to every sentence: where a longer
 run repeats, those inside it repeat too and cover it from end to end, so
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, reserve, text_slices, tidy
 
-LONG = 12
+LONG = 15
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -168,9 +168,9 @@ def repeated_runs(docs: DataFrame, min_words: int = 20) -> DataFrame:
     stays)."""
     found = materialize(docs.select("doc_id", "text").mapInArrow(
         lambda it: _spans(it, min_words), "doc_id long, run long, again boolean"), "span-runs")
-    owners = (found.groupBy("run").agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n"),
-                                       F.max("again").alias("_again"))
-              .filter("n > 1 or _again").select(F.col("run").alias("_run"), "owner"))
+    owners = (found.groupBy("run").agg(F.min("doc_id").alias("owner"),
+                                       F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"))
+              .filter("n > 1").select(F.col("run").alias("_run"), "owner"))
     other = F.col("owner").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("owner")))
     return (found.join(owners, F.col("run") == F.col("_run")).filter(other | F.col("again"))
             .groupBy("doc_id", "run").agg(F.min(~other).alias("own"))
