@@ -71,8 +71,7 @@ def _bucket_of(df: DataFrame, order_col: str, group_cols: Sequence[str], buckets
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), descending: bool = False,
                 buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-                materialize: bool = True, n_groups: int | None = None,
-                keep_bucket: bool = False) -> DataFrame:
+                materialize: bool = True, n_groups: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` ordered by ``order_col``
     (within ``group_cols``).  Rows with equal ``order_col`` values are summed
     in an arbitrary order: aggregate to one row per value first for tie-safe
@@ -80,7 +79,6 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
     ``materialize`` checkpoints the input once (shared checkpoint folder), so
     the cut, total and running-sum passes read it instead of recomputing it.
-    ``keep_bucket`` adds ``_bucket``, the range a row falls in.
     """
     g = list(group_cols)
     if materialize:
@@ -103,78 +101,113 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     oc = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy(*g, "_bucket").orderBy(oc)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return j.select(*df.columns, *["_bucket"] * keep_bucket, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
+    return j.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
                                    for c in sum_cols])
 
 
-def _counts_and_totals(df: DataFrame, value_col: str, group_cols: Sequence[str],
-                       buckets: int) -> tuple[DataFrame, DataFrame, int]:
-    """Running counts per distinct value with their range; per group ``n`` and
-    ``_parts``, the ranges and their counts in order (at most buckets entries);
-    the number of groups."""
+# Ranks a sketch of this accuracy may be off by: n / SKETCH_ACCURACY.
+SKETCH_ACCURACY = 10_000
+# Distinct values of one bracket that a plain window sorts in one task; a
+# larger bracket is cut into ranges first.
+BRACKET_ROWS = 1_000_000
+
+
+def _brackets(base: DataFrame, probs: Sequence[float], group_cols: Sequence[str],
+              accuracy: int) -> DataFrame:
+    """Per group: ``_cuts``, the sorted ends of the brackets around ``probs``, and
+    ``_fine``, whether the values of a range are looked at one by one.
+
+    Cut i is range 2 i + 1 by itself, the values between cuts i - 1 and i are
+    range 2 i.  Fine are the cuts, the ranges inside a bracket and all ranges of
+    a group with no more rows than the sketch tells apart."""
+    near = 3.0 / accuracy
+    los, his = [max(0.0, q - near) for q in probs], [min(1.0, q + near) for q in probs]
+    sketch = F.percentile_approx("_v", los + his, accuracy)
+    m = F.size("_cuts")
+
+    def inside(r: Column) -> Column:
+        """More brackets begin than end up to the cut below the range."""
+        k = F.floor(r / 2).cast("int")
+        cut = F.get("_cuts", k - 1)
+        open_ = (F.size(F.filter(F.slice("_at", 1, len(los)), lambda c: c <= cut))
+                 > F.size(F.filter(F.slice("_at", len(los) + 1, len(his)), lambda c: c <= cut)))
+        return (F.when(k == 0, F.lit(0.0 in los)).when(k == m, F.lit(1.0 in his)).otherwise(open_))
+
+    fine = F.transform(F.sequence(F.lit(0), 2 * m),
+                       lambda r: (r % 2 == 1) | (F.col("_n") <= accuracy) | inside(r))
+    return (base.groupBy(*group_cols).agg(sketch.alias("_at"), F.count(F.lit(1)).alias("_n"))
+            .select(*group_cols, "_n", "_at", F.array_sort(F.array_distinct("_at")).alias("_cuts"))
+            .select(*group_cols, "_cuts", fine.alias("_fine")))
+
+
+def _rank_ranges(state: DataFrame, probs: Sequence[float], group_cols: Sequence[str]) -> DataFrame:
+    """Per group, probability and wanted rank (from 0): the range that holds it,
+    by the exact counts of the ranges; ``_left``: the rank inside that range.
+    Ranges and ranks are put in one order, at most 7 a probability and group."""
     g = list(group_cols)
-    counts = checkpointed(df.filter(F.col(value_col).isNotNull())
-                          .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    n_groups = _group_count(counts, g)
-    cum = prefix_sums(counts, value_col, ["cnt"], g, buckets=buckets, materialize=False,
-                      n_groups=n_groups, keep_bucket=True)
-    parts = (_bucket_of(counts, value_col, g, buckets, n_groups * buckets)
-             .groupBy(*g, "_bucket").agg(F.sum("cnt").alias("_t_cnt")))
-    n = parts.groupBy(*g).agg(F.sum("_t_cnt").alias("n"), F.array_sort(
-        F.collect_list(F.struct("_bucket", "_t_cnt"))).alias("_parts"))
-    return cum, n, n_groups
-
-
-def value_counts_cumulative(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """(group, value, cnt, cum_cnt, n): one row per distinct non-null value."""
-    g = list(group_cols)
-    cum, n, n_groups = _counts_and_totals(df, value_col, g, buckets)
-    cum, n = cum.drop("_bucket"), n.drop("_parts")
-    return cum.join(_small(n, n_groups), g) if g else with_row(cum, n)
-
-
-def _range_of(rank: Column, parts: Column) -> Column:
-    """The range that holds the row of ``rank`` (from 0), by the ranges' counts."""
-    first = F.struct(rank.alias("left"), F.lit(None).cast("int").alias("at"))
-
-    def step(s: Column, x: Column) -> Column:
-        here = F.coalesce(s["at"], F.when(s["left"] < x["_t_cnt"], x["_bucket"]))
-        return F.struct((s["left"] - x["_t_cnt"]).alias("left"), here.alias("at"))
-
-    return F.aggregate(parts, first, step, lambda s: s["at"])
+    part = g or [F.lit(0)]
+    totals = state.groupBy(*g, "_range").agg(F.sum("cnt").alias("rows"), F.count("_v").alias("_values"))
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*g, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_rank"),
+                           F.struct("_range", "_values").alias("_at"))
+    starts = starts.withColumn("_start", F.col("_rank"))
+    qs = F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
+                   for i, q in enumerate(probs)])
+    ranks = (totals.groupBy(*g).agg(F.sum("rows").alias("_n")).filter("_n > 0")
+             .select("*", F.inline(qs))
+             .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("q"))
+             .withColumn("_lo", F.floor("_h").cast("bigint"))
+             .withColumn("_rank", F.explode(F.array_distinct(F.array(
+                 F.col("_lo"), F.ceil("_h").cast("bigint"))))).drop("_n"))
+    w = (Window.partitionBy(*part).orderBy("_rank", F.col("q_index").asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = starts.unionByName(ranks, allowMissingColumns=True).select(
+        *g, "q_index", "q", "_h", "_lo", "_rank", F.last("_at", True).over(w).alias("_at"),
+        (F.col("_rank") - F.last("_start", True).over(w)).alias("_left")).filter("q_index is not null")
+    return found.select(*g, "q_index", "q", "_h", "_lo", "_rank", "_at.*", "_left")
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact quantiles with linear interpolation (h = (n - 1) * q), per group.
-
-    Returns (group..., q_index, q, value).  Only the distinct values and
-    their counts are shuffled; the rank lookup joins a table of
-    ``groups x len(probs) x 2`` ranks against the cumulative counts on
-    (group, range bucket), so no task ever holds a whole group.
+                    group_cols: Sequence[str] = (), accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Exact quantiles with linear interpolation (h = (n - 1) * q), per group:
+    (group..., q_index, q, value).  NULL values and NULL groups take no part.
+
+    A mergeable sketch brackets every wanted rank.  One aggregation then counts
+    the rows between the brackets and, inside them, the rows of each value, so
+    only about 6 / ``accuracy`` of the rows per probability are kept and ordered.
+    Which range holds a rank is read from these exact counts: a rank outside its
+    bracket, should a sketch be off, has its range counted value by value too.
     """
     g = list(group_cols)
     v = F.col(value_col).cast("double")
-    base = df.select(*g, v.alias("_v"))
-    cum, n, n_groups = _counts_and_totals(base, "_v", g, buckets)
-    cum = cum.withColumn("_start", F.col("cum_cnt") - F.col("cnt"))
-    # the probabilities are a parameter list: each group row is expanded by it
-    qs = F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
-                   for i, q in enumerate(probs)])
-    ranks = (n.select("*", F.inline(qs))
-             .withColumn("_h", (F.col("n") - 1).cast("double") * F.col("q"))
-             .withColumn("_lo", F.floor("_h").cast("bigint"))
-             .withColumn("_hi", F.ceil("_h").cast("bigint")))
-    lookup = ranks.select(*g, "q_index", "q", "_h", "_lo",
-                          F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_rank"), "_parts")
-    lookup = lookup.withColumn("_range", _range_of(F.col("_rank"), F.col("_parts"))).drop("_parts")
-    lookup = _small(lookup, n_groups * len(probs) * 2)
-    hit = lookup.join(
-        cum.select(*g, "_v", "_bucket", "_start", "cum_cnt"),
-        [*[lookup[c] == cum[c] for c in g], F.col("_range") == F.col("_bucket"),
-         F.col("_rank") >= F.col("_start"), F.col("_rank") < F.col("cum_cnt")])
-    hit = hit.select(*[lookup[c] for c in g], "q_index", "q", "_h", "_lo", "_rank", "_v")
+    base = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
+    cuts = checkpointed(_brackets(base, probs, g, accuracy))
+    rows = base.join(_small(cuts), g) if g else with_row(base, cuts)
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    rows = rows.select("*", below.alias("_k"))
+    point = F.coalesce(F.get("_cuts", F.col("_k")) == F.col("_v"), F.lit(False))
+    rows = rows.select(*g, "_v", "_fine", (2 * F.col("_k") + point.cast("int")).alias("_range"))
+    state = checkpointed(
+        rows.select(*g, "_range", F.when(F.get("_fine", F.col("_range")), F.col("_v")).alias("_v"))
+        .groupBy(*g, "_range", "_v").agg(F.count(F.lit(1)).alias("cnt")))
+    wanted = _rank_ranges(state, probs, g)
+    largest, missed = wanted.agg(F.max("_values"), F.bool_or(F.col("_values") == 0)).first()
+    if missed:
+        lost = _small(wanted.filter("_values = 0").select(*g, "_range").distinct())
+        found = (rows.drop("_fine").join(lost, [*g, "_range"], "left_semi")
+                 .groupBy(*g, "_range", "_v").agg(F.count(F.lit(1)).alias("cnt")))
+        state = checkpointed(state.join(lost, [*g, "_range"], "left_anti").unionByName(found))
+        wanted = _rank_ranges(state, probs, g)
+        largest = wanted.agg(F.max("_values")).first()[0]
+    keys = [*g, "_range"]
+    values = state.filter(F.col("_v").isNotNull())
+    if (largest or 0) > BRACKET_ROWS:
+        cum = prefix_sums(values, "_v", ["cnt"], keys, materialize=False)
+    else:
+        w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = values.select("*", F.sum("cnt").over(w).alias("cum_cnt"))
+    hit = (cum.join(_small(wanted), keys)
+           .filter((F.col("_left") >= F.col("cum_cnt") - F.col("cnt")) & (F.col("_left") < F.col("cum_cnt"))))
     agg = hit.groupBy(*g, "q_index", "q", "_h", "_lo").agg(
         F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("_rank") != F.col("_lo"), F.col("_v"))).alias("_vhi"))
