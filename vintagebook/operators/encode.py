@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bounded import bounded_broadcast, with_row
+from .correlation import correlation_pairs
 from .prefix import exact_quantiles
 
 
@@ -148,26 +149,6 @@ def low_variance_columns(df: DataFrame, cols: Sequence[str], min_var: float = 0.
     return column_variances(df, cols).filter(F.col("variance") < min_var)
 
 
-def _corr(a: str, b: str) -> Column:
-    """Pearson correlation over the rows with both values; NULL if one is constant."""
-    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
-def correlation_pairs(df: DataFrame, cols: Sequence[str], per_job: int = 300) -> DataFrame:
-    """(a, b, corr) for every pair a before b, over the rows where both are set
-    (pairwise, as pandas does); NULL when either is constant there.  One
-    aggregation per ``per_job`` pairs, each reading only its columns."""
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    rows = []
-    for k in range(0, len(pairs), per_job):
-        part = pairs[k:k + per_job]
-        got = df.agg(*[_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(part)]).first()
-        rows += [(a, b, None if c is None or c != c else float(c)) for (a, b), c in zip(part, got)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
-
-
 def correlated_to_drop(df: DataFrame, cols: Sequence[str], threshold: float = 0.5) -> list[str]:
     """Column b is dropped when any earlier column (dropped ones included) has
     |corr| above ``threshold`` with it."""
