@@ -18,6 +18,7 @@ from ..session import checkpointed
 from . import boosting
 from .bounded import with_row
 from .metrics import probability_metrics, roc_auc
+from .selection import first_by_hash
 
 FEATURES_COL = "features"
 
@@ -82,9 +83,8 @@ def rf_feature_selection(train: DataFrame, features: Sequence[str], label: str,
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Deterministic sample of ``n`` rows: the ``n`` smallest hashes of the key
-    (each task keeps its own top n, then one merge of n x tasks rows)."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in key], F.lit(seed))).limit(n)
+    """Deterministic sample of ``n`` rows: those with the ``n`` smallest hashes of the key."""
+    return first_by_hash(df, n, key, seed)
 
 
 def stratified_folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5, seed: int = 42,
