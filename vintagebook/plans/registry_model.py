@@ -71,6 +71,12 @@ def q_rf_select(spark, d):
     return ML.rf_feature_selection(tr, NUMERIC, "target", "max_ratio", 0.2)
 
 
+@register("rf_feature_selection_top_k")
+def q_rf_top(spark, d):
+    tr, _ = _split(spark, d)
+    return ML.rf_feature_selection(tr, NUMERIC, "target", "top_k", k=20)
+
+
 KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
 # the finished searches of this application: a few hundred parameter rows
 _SEARCHED: dict[tuple[str, str], list] = {}
