@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.logistics import (delivery_metrics, price_metrics, same_group_flag,
                                    zip_distance_proxy)
@@ -139,13 +140,21 @@ def abt_join(target: DataFrame, books: Sequence[DataFrame],
 def apply_grouping(df: DataFrame, mapping: DataFrame, var: str, new_col: str | None = None,
                    keep_original: bool = False) -> DataFrame:
     """Recode ``var`` through a (``var``, new value) mapping; unmapped values keep
-    their original text.  The result column is ``TFB_<var>``."""
+    their original text.  The result column is ``TFB_<var>``.
+
+    A number is rounded to 4 places first and meets the mapping's keys, numbers or
+    their texts, as a number; unmapped ones keep the text of the rounded value."""
     new_col = new_col or f"TFB_{var}"
-    m = mapping.toDF(var, "_mapped").dropDuplicates([var])
-    out = (df.join(bounded_broadcast(m), var, "left")
-           .withColumn(new_col, F.coalesce(F.col("_mapped").cast("string"),
-                                           F.col(var).cast("string")))
-           .drop("_mapped"))
+    m = mapping.toDF("_key", "_mapped")
+    own = key = F.col(var)
+    if isinstance(df.schema[var].dataType, T.NumericType):
+        own = F.round(own, 4)
+        key = F.round(own.cast("double"), 4)
+        m = m.withColumn("_key", F.round(F.col("_key").try_cast("double"), 4))
+    m = m.dropDuplicates(["_key"])
+    out = (df.join(bounded_broadcast(m), key == F.col("_key"), "left")
+           .withColumn(new_col, F.coalesce(F.col("_mapped").cast("string"), own.cast("string")))
+           .drop("_key", "_mapped"))
     return out if keep_original else out.drop(var)
 
 
