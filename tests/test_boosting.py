@@ -137,3 +137,18 @@ def test_importance_of_a_table_sorted_by_the_feature(spark):
         got.append({r.feature: r.importance for r in ML.permutation_importance(m, df, ["x", "noise"], "y", 3, metric="auc").collect()})
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got[0] == got[1] and abs(got[0]["x"] - 0.5) < 0.05 and got[0]["noise"] == 0
+
+
+def test_rows_with_equal_codes_share_a_cell(spark):
+    """The sums run over cells: few codes make few of them, and none holds too many rows."""
+    df = spark.range(3000).selectExpr("id", "id % 3 a", "cast(id % 7 = 0 as int) y", "cast(id % 5 as int) f")
+    boost = B.Booster(df, ["a"], "y", ["id"], "f")
+    cells = boost.cells.select("codes", "n").collect()
+    assert sum(c.n for c in cells) == 3000 and max(c.n for c in cells) <= B.CELL_ROWS
+    assert len(cells) <= 3000 / B.CELL_ROWS + 3 * boost.cells.rdd.getNumPartitions() + 3
+    assert boost.rows.count() == 3000 and boost.rows.select("h").distinct().count() == 3000
+    trials, scored = boost.grow([(0, {**PARAMS, "n_estimators": 2})], [0, 1, 2, 3, 4])
+    rows = boost.held_out(scored, trials).groupBy("trial", "fold", "score").agg(
+        F.count("*").alias("n"), F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    counts = boost.held_out_counts(scored, trials).select(rows.columns)
+    assert sorted(counts.collect()) == sorted(rows.collect())

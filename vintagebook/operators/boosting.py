@@ -1,7 +1,11 @@
 """Histogram boosting that grows many models together, and a search over it.
 
-Features are cut into at most ``BINS`` quantile bins once; a row is a few bytes
-(bin codes, label, fold, a hash of its key) and one raw score per model.  All
+Features are cut into at most ``BINS`` quantile bins once.  Rows with the same bin
+codes get the same score from every tree, so they are packed into a cell: the
+codes and one raw score per model once, and of each row its label, fold and a
+hash of its key (the last decides which rows a tree sees).  Gradients are summed
+over cells, weighted by the cells' counts of seen rows.  Codes that do not repeat
+make cells of one row.  All
 models (a trial of the search on the rows outside one fold) grow at the same
 time: one job sums gradients and Hessians by (model, open node, feature, bin) in
 every task, merges the tasks' sums per (model, node) and finds the node's best
@@ -49,7 +53,8 @@ SPACE: dict[str, tuple] = {
 }
 DEFAULTS = {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 6, "num_leaves": 31, "reg_alpha": 0.0,
             "reg_lambda": 0.0, "subsample": 1.0, "colsample_bytree": 1.0, "scale_pos_weight": 1.0}
-_ROWS = "codes binary, y float, fold int, h long, scores binary"
+CELL_ROWS = 256      # rows of a cell; more rows of the same codes take several cells
+_CELLS = "codes binary, n int, y binary, fold binary, h binary"
 
 
 @dataclass
@@ -63,14 +68,16 @@ class Tree:
 
     def leaf_of(self, codes: np.ndarray) -> np.ndarray:
         feature, cut, child = (np.array(x) for x in (self.feature, self.cut, self.child))
-        node, every = np.zeros(len(codes), np.int64), np.arange(len(codes))
-        while True:
-            f = feature[node]
-            inner = f >= 0
-            if not inner.any():
-                return node
-            right = codes[every, np.maximum(f, 0)] > cut[node]
-            node = np.where(inner, child[node] + right, node)
+        node, depth, reached = np.zeros(len(codes), np.int64), 0, np.array([0])
+        while (reached := reached[feature[reached] >= 0]).size:
+            reached, depth = np.concatenate([child[reached], child[reached] + 1]), depth + 1
+        # a row stays in its leaf: no code lies above 255
+        leaf = feature < 0
+        feature, cut, child = np.where(leaf, 0, feature), np.where(leaf, 255, cut), np.where(leaf, np.arange(len(leaf)), child)
+        flat, start = np.ascontiguousarray(codes).reshape(-1), np.arange(len(codes)) * codes.shape[1]
+        for _ in range(depth):
+            node = child.take(node) + (flat.take(start + feature.take(node)) > cut.take(node))
+        return node
 
     def split(self, node: int, feature: int, cut: int, values: tuple[float, float]) -> tuple[int, int]:
         at = len(self.feature)
@@ -165,10 +172,62 @@ def _advanced(scores: np.ndarray, codes: np.ndarray, trials: Sequence[Trial]) ->
     return scores
 
 
-def _read(b: pa.RecordBatch, n_features: int, n_models: int) -> tuple:
-    codes = _fixed(b.column(0), np.uint8, n_features)
-    return (codes, b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(),
-            _fixed(b.column(4), np.float64, n_models))
+def _joined(column: pa.Array, dtype) -> np.ndarray:
+    """A binary column's values one after the other."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(dtype) if ends[-1] > ends[0] else np.zeros(0, dtype)
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column with the values between the ``ends``."""
+    at = (ends * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1,
+                                 [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _pack(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[pa.RecordBatch]:
+    """The cells of rows (codes, y, fold, h) that come sorted by their codes."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes, every = _fixed(b.column(0), np.uint8, n_features), np.arange(b.num_rows)
+        new = np.concatenate([[True], (codes[1:] != codes[:-1]).any(axis=1)])
+        in_run = every - np.maximum.accumulate(np.where(new, every, 0))
+        starts = np.flatnonzero(in_run % CELL_ROWS == 0)
+        ends = np.append(starts, b.num_rows)
+        yield pa.RecordBatch.from_arrays(
+            [_binary(codes[starts].ravel(), np.arange(len(starts) + 1) * n_features),
+             pa.array(np.diff(ends), pa.int32()),
+             *[_binary(b.column(k).to_numpy(), ends) for k in (1, 2, 3)]], names=["codes", "n", "y", "fold", "h"])
+
+
+def _unpack(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[pa.RecordBatch]:
+    """The rows (codes, y, fold, h) of cells."""
+    for b in batches:
+        codes, at, y, fold, h = _read(b, n_features)
+        yield pa.RecordBatch.from_arrays(
+            [_binary(codes[at].ravel(), np.arange(len(at) + 1) * n_features),
+             *[pa.array(x) for x in (y, fold, h)]], names=["codes", "y", "fold", "h"])
+
+
+def _read(b: pa.RecordBatch, n_features: int) -> tuple:
+    """The cells' codes, and of every row its cell, label, fold and hash."""
+    at = np.repeat(np.arange(b.num_rows), b.column(1).to_numpy())
+    return (_fixed(b.column(0), np.uint8, n_features), at,
+            *[_joined(b.column(k), t) for k, t in ((2, np.float32), (3, np.int32), (4, np.int64))])
+
+
+def _scores(b: pa.RecordBatch, n_models: int) -> np.ndarray:
+    return _fixed(b.column(5), np.float64, n_models)
+
+
+def _place(fold: np.ndarray, folds: Sequence[int]) -> np.ndarray:
+    """Where in ``folds`` a row's fold stands; their number when it does not."""
+    out = np.full(len(fold), len(folds))
+    for j, f in enumerate(folds):
+        out[fold == f] = j
+    return out
 
 
 def _histograms(batches: Iterator[pa.RecordBatch], trials: Sequence[Trial], n_features: int, bins: int
@@ -177,33 +236,44 @@ def _histograms(batches: Iterator[pa.RecordBatch], trials: Sequence[Trial], n_fe
     n_models = sum(len(t.folds) for t in trials)
     sums: dict[int, np.ndarray] = {}
     for b in batches:
-        codes, y, fold, h, scores = _read(b, n_features, n_models)
-        scores, m = _advanced(scores, codes, trials), 0
+        codes, at, y, fold, h = _read(b, n_features)
+        scores, m = _advanced(_scores(b, n_models), codes, trials), 0
+        folds = trials[0].folds
+        key = (_place(fold, folds) * 2 + (y > 0)) * len(codes) + at
+        shape = (len(folds) + 1, 2, len(codes))
+        zero_one = bool(((y == 0) | (y == 1)).all())
+        columns = codes.T.astype(np.int64)
         for t in trials:
             if t.finished:
                 m += len(t.folds)
                 continue
             p = t.params
+            # per fold and cell: the seen rows, their weights and weighted labels
             seen = sampled(h, t.number, t.iteration, p["subsample"])
+            n = np.bincount(key[seen], minlength=math.prod(shape)).reshape(shape)
+            label = (n * [[0.0], [1.0]] if zero_one
+                     else np.bincount(key[seen], y[seen], math.prod(shape)).reshape(shape))
+            count, weight, label = (x[:, 0] + by * x[:, 1] for x, by in (
+                (n, 1), (n, p["scale_pos_weight"]), (label, p["scale_pos_weight"])))
+            all_count, all_weight, all_label = count.sum(axis=0), weight.sum(axis=0), label.sum(axis=0)
             features = columns_of(n_features, t.number, t.iteration, p["colsample_bytree"])
-            for f, tree, nodes in zip(t.folds, t.growing, t.open):
+            for j, (tree, nodes) in enumerate(zip(t.growing, t.open)):
                 if nodes:
-                    rows = np.flatnonzero(seen & (fold != f))
-                    prob = 1 / (1 + np.exp(-scores[rows, m]))
-                    weight = np.where(y[rows] > 0, p["scale_pos_weight"], 1.0)
-                    g, hess = weight * (prob - y[rows]), weight * prob * (1 - prob)
                     slot = np.full(len(tree.feature), -1)
                     slot[nodes] = np.arange(len(nodes))
-                    at = slot[tree.leaf_of(codes[rows])]
-                    live = at >= 0
-                    rows, at, g, hess = rows[live], at[live], g[live], hess[live]
+                    where, rows = slot[tree.leaf_of(codes)], all_count - count[j]
+                    prob = 1 / (1 + np.exp(-scores[:, m]))
+                    w = all_weight - weight[j]
+                    g, hess = prob * w - (all_label - label[j]), prob * (1 - prob) * w
+                    cells = np.flatnonzero((where >= 0) & (rows > 0))
+                    where, rows, g, hess = where[cells], rows[cells], g[cells], hess[cells]
                     size = len(nodes) * bins
                     part = np.zeros((3, len(features), size))
-                    for j, c in enumerate(features):
-                        key = at * bins + codes[rows, c]
-                        part[0, j] = np.bincount(key, g, size)
-                        part[1, j] = np.bincount(key, hess, size)
-                        part[2, j] = np.bincount(key, minlength=size)
+                    for k, c in enumerate(features):
+                        to = where * bins + columns[c].take(cells)
+                        part[0, k] = np.bincount(to, g, size)
+                        part[1, k] = np.bincount(to, hess, size)
+                        part[2, k] = np.bincount(to, rows, size)
                     part = part.reshape(3, len(features), len(nodes), bins)
                     sums[m] = sums[m] + part if m in sums else part
                 m += 1
@@ -220,15 +290,22 @@ def _histograms(batches: Iterator[pa.RecordBatch], trials: Sequence[Trial], n_fe
                                       pa.array(stats, pa.binary())], names=["model", "node", "stats"])
 
 
-def _choose(rows: pa.Table, how: dict, bins: int) -> pa.Table:
-    """The best split of one (model, node) from the tasks' sums."""
-    model, node = rows["model"][0].as_py(), rows["node"][0].as_py()
-    features, params = how[model]
-    stats = sum(np.frombuffer(s, np.float64) for s in rows["stats"].to_pylist())
-    found = best_split(stats.reshape(3, len(features), bins), features, params)
-    return pa.table([[x] for x in (model, node, *found)], schema=pa.schema(
-        [("model", pa.int32()), ("node", pa.int32()), ("gain", pa.float64()), ("feature", pa.int32()),
-         ("cut", pa.int32()), ("low", pa.float64()), ("high", pa.float64())]))
+_SPLITS = pa.schema([("model", pa.int32()), ("node", pa.int32()), ("gain", pa.float64()), ("feature", pa.int32()),
+                     ("cut", pa.int32()), ("low", pa.float64()), ("high", pa.float64())])
+
+
+def _choose(batches: Iterator[pa.RecordBatch], how: dict, bins: int) -> Iterator[pa.RecordBatch]:
+    """The best splits of the (model, node)s in a task from all tasks' sums."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for b in batches:
+        for model, node, stats in zip(*(b.column(k).to_pylist() for k in range(3))):
+            part, at = np.frombuffer(stats, np.float64), (model, node)
+            sums[at] = sums[at] + part if at in sums else part
+    rows = []
+    for (model, node), stats in sums.items():
+        features, params = how[model]
+        rows.append((model, node, *best_split(stats.reshape(3, len(features), bins), features, params)))
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_SPLITS)], schema=_SPLITS)
 
 
 class Booster:
@@ -243,8 +320,11 @@ class Booster:
             "codes", F.col(label).cast("float").alias("y"),
             (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
             F.xxhash64(*[F.col(k) for k in key]).alias("h")).filter("y is not null")
-        # even tasks, as every job reads all rows
-        self.rows = checkpointed(table.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h"))
+        # even tasks, as every job reads all rows; the hash parts codes that many rows have
+        n, tasks = len(self.features), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.cells = checkpointed(table.repartitionByRange(tasks, "codes", "h").sortWithinPartitions("codes")
+                                  .mapInArrow(lambda it: _pack(it, n), _CELLS))
+        self.rows = self.cells.mapInArrow(lambda it: _unpack(it, n), "codes binary, y float, fold int, h long")
         self.counts = {(r["fold"], r["y"]): r["n"] for r in self.rows.groupBy("fold", "y").agg(
             F.count(F.lit(1)).alias("n")).collect()}
 
@@ -256,36 +336,36 @@ class Booster:
 
     def _with_scores(self, trials: Sequence[Trial]) -> DataFrame:
         first = np.array([b for t in trials for b in t.base], np.float64).tobytes()
-        return self.rows.withColumn("scores", F.lit(bytearray(first)))
+        return self.cells.withColumn("scores", F.lit(bytearray(first)))
 
     def grow(self, settings: Sequence[tuple[int, dict]], folds: Sequence[int]) -> tuple[list[Trial], DataFrame]:
         """The finished trials of (number, params), one model per left-out fold, and
-        the rows with all final scores."""
+        the cells with all final scores."""
         trials = [Trial(k, {**DEFAULTS, **p}, list(folds), [self.base(f, {**DEFAULTS, **p}) for f in folds])
                   for k, p in settings]
         for t in trials:
             t.done, t.pending = [[] for _ in folds], [[] for _ in folds]
             t.start_tree()
         n, bins = len(self.features), self.bins
-        rows = self._with_scores(trials)
+        cells = self._with_scores(trials)
         while not all(t.finished for t in trials):
             if max(len(t.pending[0]) for t in trials) >= KEEP_EVERY:
-                rows = self._advance(rows, trials)
+                cells = self._advance(cells, trials)
             how, m = {}, 0
             for t in trials:
                 cols = columns_of(n, t.number, t.iteration, t.params["colsample_bytree"])
                 how |= {m + j: (cols, t.params) for j in range(len(t.folds))}
                 m += len(t.folds)
             now = [replace(t, done=[]) for t in trials]
-            splits = rows.mapInArrow(lambda it: _histograms(it, now, n, bins), "model int, node int, stats binary"
-                                     ).groupBy("model", "node").applyInArrow(
-                lambda part: _choose(part, how, bins),
+            splits = cells.mapInArrow(lambda it: _histograms(it, now, n, bins), "model int, node int, stats binary"
+                                      ).repartition("model", "node").mapInArrow(
+                lambda it: _choose(it, how, bins),
                 "model int, node int, gain double, feature int, cut int, low double, high double").collect()
             found: dict[int, list] = {}
             for s in splits:
                 found.setdefault(s["model"], []).append(s)
             self._take(trials, found)
-        return trials, self._advance(rows, trials)
+        return trials, self._advance(cells, trials)
 
     def _take(self, trials: Sequence[Trial], found: Mapping[int, list]) -> None:
         """One level's splits into the growing trees; full trees are finished."""
@@ -308,39 +388,60 @@ class Booster:
                 t.iteration += 1
                 t.start_tree()
 
-    def _advance(self, rows: DataFrame, trials: Sequence[Trial]) -> DataFrame:
-        """``rows`` with the pending trees in their scores, written."""
+    def _advance(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+        """``cells`` with the pending trees in their scores, written."""
         n, n_models = len(self.features), sum(len(t.folds) for t in trials)
         now = [replace(t, done=[], pending=[list(p) for p in t.pending]) for t in trials]
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                codes, *_, scores = _read(b, n, n_models)
-                new = _advanced(scores, codes, now)
+                new = _advanced(_scores(b, n_models), _fixed(b.column(0), np.uint8, n), now)
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:4], pa.array([r.tobytes() for r in new], pa.binary())], names=b.schema.names)
+                    [*b.columns[:5], pa.array([r.tobytes() for r in new], pa.binary())], names=b.schema.names)
 
-        out = checkpointed(rows.mapInArrow(step, _ROWS))
+        out = checkpointed(cells.mapInArrow(step, _CELLS + ", scores binary"))
         for t in trials:
             t.pending = [[] for _ in t.folds]
         return out
 
-    def held_out(self, rows: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+    def held_out(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
         """(trial, fold, score, y): every row's score from the model without it."""
         n, n_models = len(self.features), sum(len(t.folds) for t in trials)
         numbers, folds = [t.number for t in trials], list(trials[0].folds)
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                _, y, fold, _, scores = _read(b, n, n_models)
-                own = np.searchsorted(folds, fold)
+                _, at, y, fold, _ = _read(b, n)
+                scores, own = _scores(b, n_models), _place(fold, folds)
                 for i, number in enumerate(numbers):
-                    s = scores[np.arange(len(y)), i * len(folds) + own]
+                    s = scores[at, i * len(folds) + own]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(y), number, np.int32)), pa.array(fold), pa.array(s), pa.array(y)],
                         names=["trial", "fold", "score", "y"])
 
-        return rows.mapInArrow(step, "trial int, fold int, score double, y float")
+        return cells.mapInArrow(step, "trial int, fold int, score double, y float")
+
+    def held_out_counts(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+        """(trial, fold, score, n, pos, neg): the rows of :meth:`held_out`, counted per score."""
+        n, n_models = len(self.features), sum(len(t.folds) for t in trials)
+        numbers, folds = [t.number for t in trials], list(trials[0].folds)
+
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                codes, at, y, fold, _ = _read(b, n)
+                scores, key = _scores(b, n_models), at * len(folds) + _place(fold, folds)
+                size = len(codes) * len(folds)
+                count, pos = np.bincount(key, minlength=size), np.bincount(key, y, size)
+                some = np.flatnonzero(count)
+                cell, own = some // len(folds), some % len(folds)
+                for i, number in enumerate(numbers):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), number, np.int32)), pa.array(np.array(folds, np.int32)[own]),
+                         pa.array(scores[cell, i * len(folds) + own]), pa.array(count[some]), pa.array(pos[some]),
+                         pa.array(count[some] - pos[some])], names=["trial", "fold", "score", "n", "pos", "neg"])
+
+        counts = cells.mapInArrow(step, "trial int, fold int, score double, n long, pos double, neg double")
+        return counts.groupBy("trial", "fold", "score").agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neg")])
 
 
 @dataclass
@@ -457,16 +558,16 @@ def search(train: DataFrame, features: Sequence[str], label: str, key: Sequence[
     """(trial, params, mean AUC, AUC per fold) in the order of the trials, up to
     ``n_trials`` or ``patience`` trials in a row without a better mean.  Trials of
     a batch are drawn and grown together; those after the stop are not counted."""
-    from .metrics import roc_auc
+    from .metrics import auc_of_counts
     from .model import stratified_folds
     rng, past = random.Random(seed), []
     boost = Booster(stratified_folds(train, label, key, folds, seed, "_fold"), features, label, key, "_fold")
     out, best, stale = [], -1.0, 0
     while len(out) < n_trials:
         drawn = [(len(out) + i, suggest(space, past, rng)) for i in range(min(batch, n_trials - len(out)))]
-        trials, rows = boost.grow(drawn, list(range(folds)))
+        trials, cells = boost.grow(drawn, list(range(folds)))
         aucs: dict[int, dict[int, float]] = {}
-        for r in roc_auc(boost.held_out(rows, trials), "score", "y", ["trial", "fold"]).collect():
+        for r in auc_of_counts(boost.held_out_counts(cells, trials), ["trial", "fold"]).collect():
             aucs.setdefault(r["trial"], {})[r["fold"]] = r["auc"]
         for number, params in drawn:
             per_fold = [aucs.get(number, {}).get(f) for f in range(folds)]

@@ -32,8 +32,12 @@ def score_counts(df: DataFrame, score: str, label: str, group_cols: Sequence[str
 def cumulative_counts(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (),
                       descending: bool = True) -> DataFrame:
     """Score counts with inclusive running sums (highest score first) and group totals."""
+    return running_counts(score_counts(df, score, label, group_cols), group_cols, descending)
+
+
+def running_counts(sc: DataFrame, group_cols: Sequence[str] = (), descending: bool = True) -> DataFrame:
+    """``sc`` (group..., score, n, pos, neg; one row per score) with running sums and group totals."""
     g = list(group_cols)
-    sc = score_counts(df, score, label, g)
     cum = prefix_sums(sc, "score", ["n", "pos", "neg"], g, descending=descending)
     tot = sc.groupBy(*g).agg(F.sum("n").alias("n_total"), F.sum("pos").alias("pos_total"),
                              F.sum("neg").alias("neg_total"))
@@ -65,7 +69,12 @@ def ks_from_roc(df: DataFrame, score: str, label: str, group_cols: Sequence[str]
 
 def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact ROC AUC (ties count 1/2) and Gini = 2 AUC - 1."""
-    c = cumulative_counts(df, score, label, group_cols)
+    return auc_of_counts(score_counts(df, score, label, group_cols), group_cols)
+
+
+def auc_of_counts(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """:func:`roc_auc` of (group..., score, n, pos, neg), one row per score."""
+    c = running_counts(counts, group_cols)
     below = F.col("neg_total") - F.col("cum_neg")
     part = F.col("pos") * (below + 0.5 * F.col("neg"))
     a = c.groupBy(*group_cols).agg(
