@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, task_slots
 
 BINS = 64
 MIN_ROWS = 20        # rows of a leaf
 MIN_HESSIAN = 1e-3   # summed second derivatives of a leaf
-KEEP_EVERY = 5       # finished trees of a model that a job applies again before scores are written
+KEEP_EVERY = 2       # finished trees of a model that a job applies again before scores are written
 
 # The search space: (kind, from, to) per parameter.
 SPACE: dict[str, tuple] = {
@@ -90,7 +90,7 @@ class Tree:
         return at, at + 1
 
 
-@dataclass
+@dataclass(eq=False)
 class Trial:
     """One parameter set on its way: its models' finished trees that the written
     scores lack, and the trees that grow."""
@@ -321,7 +321,9 @@ class Booster:
             (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
             F.xxhash64(*[F.col(k) for k in key]).alias("h")).filter("y is not null")
         # even tasks, as every job reads all rows; the hash parts codes that many rows have
-        n, tasks = len(self.features), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n, spark = len(self.features), df.sparkSession
+        # a level is a job of its own: no more tasks than keep the cluster busy, as each reads its cells as a stream
+        tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * task_slots(spark))
         self.cells = checkpointed(table.repartitionByRange(tasks, "codes", "h").sortWithinPartitions("codes")
                                   .mapInArrow(lambda it: _pack(it, n), _CELLS))
         self.rows = self.cells.mapInArrow(lambda it: _unpack(it, n), "codes binary, y float, fold int, h long")
@@ -338,25 +340,25 @@ class Booster:
         first = np.array([b for t in trials for b in t.base], np.float64).tobytes()
         return self.cells.withColumn("scores", F.lit(bytearray(first)))
 
-    def grow(self, settings: Sequence[tuple[int, dict]], folds: Sequence[int]) -> tuple[list[Trial], DataFrame]:
+    def grow(self, settings: Sequence[tuple[int, dict]], folds: Sequence[int]) -> tuple[list[Trial], list[Scored]]:
         """The finished trials of (number, params), one model per left-out fold, and
-        the cells with all final scores."""
+        the cells with the final scores, in parts as the trials ended."""
         trials = [Trial(k, {**DEFAULTS, **p}, list(folds), [self.base(f, {**DEFAULTS, **p}) for f in folds])
                   for k, p in settings]
         for t in trials:
             t.done, t.pending = [[] for _ in folds], [[] for _ in folds]
             t.start_tree()
         n, bins = len(self.features), self.bins
-        cells = self._with_scores(trials)
-        while not all(t.finished for t in trials):
-            if max(len(t.pending[0]) for t in trials) >= KEEP_EVERY:
-                cells = self._advance(cells, trials)
+        cells, live, parts = self._with_scores(trials), trials, []
+        while not all(t.finished for t in live):
+            if max(len(t.pending[0]) for t in live) >= KEEP_EVERY:
+                cells, live = self._advance(cells, live, parts)
             how, m = {}, 0
-            for t in trials:
+            for t in live:
                 cols = columns_of(n, t.number, t.iteration, t.params["colsample_bytree"])
                 how |= {m + j: (cols, t.params) for j in range(len(t.folds))}
                 m += len(t.folds)
-            now = [replace(t, done=[]) for t in trials]
+            now = [replace(t, done=[], pending=[[] for _ in t.folds] if t.finished else t.pending) for t in live]
             splits = cells.mapInArrow(lambda it: _histograms(it, now, n, bins), "model int, node int, stats binary"
                                       ).repartition("model", "node").mapInArrow(
                 lambda it: _choose(it, how, bins),
@@ -364,8 +366,9 @@ class Booster:
             found: dict[int, list] = {}
             for s in splits:
                 found.setdefault(s["model"], []).append(s)
-            self._take(trials, found)
-        return trials, self._advance(cells, trials)
+            self._take(live, found)
+        self._advance(cells, live, parts)
+        return trials, parts
 
     def _take(self, trials: Sequence[Trial], found: Mapping[int, list]) -> None:
         """One level's splits into the growing trees; full trees are finished."""
@@ -388,45 +391,49 @@ class Booster:
                 t.iteration += 1
                 t.start_tree()
 
-    def _advance(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
-        """``cells`` with the pending trees in their scores, written."""
-        n, n_models = len(self.features), sum(len(t.folds) for t in trials)
-        now = [replace(t, done=[], pending=[list(p) for p in t.pending]) for t in trials]
+    def _advance(self, cells: DataFrame, live: list[Trial], parts: list[Scored]) -> tuple[DataFrame, list[Trial]]:
+        """``cells`` with the pending trees in their scores, written, and whose scores
+        these are: trials that are in ``parts`` are left out, those that have ended
+        since are added to them."""
+        n, n_models = len(self.features), sum(len(t.folds) for t in live)
+        kept = [t for t in live if not any(t in p.ended for p in parts)]
+        models = [m for m, t in enumerate(t for t in live for _ in t.folds) if t in kept]
+        now = [replace(t, done=[], pending=[list(p) for p in t.pending]) for t in live]
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                new = _advanced(_scores(b, n_models), _fixed(b.column(0), np.uint8, n), now)
+                new = _advanced(_scores(b, n_models), _fixed(b.column(0), np.uint8, n), now)[:, models]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[:5], pa.array([r.tobytes() for r in new], pa.binary())], names=b.schema.names)
 
         out = checkpointed(cells.mapInArrow(step, _CELLS + ", scores binary"))
-        for t in trials:
+        for t in live:
             t.pending = [[] for _ in t.folds]
-        return out
+        if ended := [t for t in kept if t.finished]:
+            parts.append(Scored(out, kept, ended))
+        return out, kept
 
-    def held_out(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+    def held_out(self, parts: Sequence[Scored], trials: Sequence[Trial]) -> DataFrame:
         """(trial, fold, score, y): every row's score from the model without it."""
-        n, n_models = len(self.features), sum(len(t.folds) for t in trials)
-        numbers, folds = [t.number for t in trials], list(trials[0].folds)
+        n = len(self.features)
 
-        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def step(batches: Iterator[pa.RecordBatch], models: list, folds: list, n_models: int) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 _, at, y, fold, _ = _read(b, n)
                 scores, own = _scores(b, n_models), _place(fold, folds)
-                for i, number in enumerate(numbers):
-                    s = scores[at, i * len(folds) + own]
+                for number, first in models:
+                    s = scores[at, first + own]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(y), number, np.int32)), pa.array(fold), pa.array(s), pa.array(y)],
                         names=["trial", "fold", "score", "y"])
 
-        return cells.mapInArrow(step, "trial int, fold int, score double, y float")
+        return _of_parts(parts, trials, step, "trial int, fold int, score double, y float")
 
-    def held_out_counts(self, cells: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+    def held_out_counts(self, parts: Sequence[Scored], trials: Sequence[Trial]) -> DataFrame:
         """(trial, fold, score, n, pos, neg): the rows of :meth:`held_out`, counted per score."""
-        n, n_models = len(self.features), sum(len(t.folds) for t in trials)
-        numbers, folds = [t.number for t in trials], list(trials[0].folds)
+        n = len(self.features)
 
-        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def step(batches: Iterator[pa.RecordBatch], models: list, folds: list, n_models: int) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 codes, at, y, fold, _ = _read(b, n)
                 scores, key = _scores(b, n_models), at * len(folds) + _place(fold, folds)
@@ -434,16 +441,36 @@ class Booster:
                 count, pos = np.bincount(key, minlength=size), np.bincount(key, y, size)
                 some = np.flatnonzero(count)
                 cell, own = some // len(folds), some % len(folds)
-                for i, number in enumerate(numbers):
+                for number, first in models:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(some), number, np.int32)), pa.array(np.array(folds, np.int32)[own]),
-                         pa.array(scores[cell, i * len(folds) + own]), pa.array(count[some]), pa.array(pos[some]),
+                         pa.array(scores[cell, first + own]), pa.array(count[some]), pa.array(pos[some]),
                          pa.array(count[some] - pos[some])], names=["trial", "fold", "score", "n", "pos", "neg"])
 
-        counts = cells.mapInArrow(step, "trial int, fold int, score double, n long, pos double, neg double")
+        counts = _of_parts(parts, trials, step, "trial int, fold int, score double, n long, pos double, neg double")
         return counts.groupBy("trial", "fold", "score").agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neg")])
 
 
+@dataclass
+class Scored:
+    """Cells with the scores of ``trials``; those of ``ended`` are final."""
+    cells: DataFrame
+    trials: list[Trial]
+    ended: list[Trial]
+
+
+def _of_parts(parts: Sequence[Scored], trials: Sequence[Trial], step, schema: str) -> DataFrame:
+    """``step`` over the cells of every part, with the (number, first model) of its ended ``trials``."""
+    numbers, out = {t.number for t in trials}, None
+    for p in parts:
+        folds = list(p.trials[0].folds)
+        models = [(t.number, i * len(folds)) for i, t in enumerate(p.trials) if t in p.ended and t.number in numbers]
+        found = p.cells.mapInArrow(
+            lambda it, a=models, f=folds, k=len(folds) * len(p.trials): step(it, a, f, k), schema)
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
 @dataclass
 class BoostedTrees:
     """A fitted model: bounded by its parameters, whatever the rows."""

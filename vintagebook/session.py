@@ -71,3 +71,12 @@ def checkpointed(df):
     ``spark.checkpoint.dir`` when the context has none yet)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def task_slots(spark: SparkSession) -> int:
+    """How many tasks the cluster runs at once (under Spark Connect, which does not
+    say: the number of shuffle partitions)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
