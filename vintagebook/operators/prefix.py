@@ -105,6 +105,16 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                                    for c in sum_cols])
 
 
+def count_below(df: DataFrame, cuts: str, value: str, most: int, out: str) -> DataFrame:
+    """Add ``out``: how many of the increasing ``cuts`` (an array column of at most
+    ``most`` elements) lie below ``value``, by halving: one column per step."""
+    at = df.withColumn(out, F.lit(0))
+    for k in reversed(range(most.bit_length())):
+        up = F.col(out) + (1 << k)
+        at = at.withColumn(out, F.when(F.get(F.col(cuts), up - 1) < F.col(value), up).otherwise(F.col(out)))
+    return at
+
+
 # Ranks a sketch of this accuracy may be off by: n / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 10_000
 # Distinct values of one bracket that a plain window sorts in one task; a
@@ -183,8 +193,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     base = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull())
     cuts = checkpointed(_brackets(base, probs, g, accuracy))
     rows = base.join(_small(cuts), g) if g else with_row(base, cuts)
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    rows = rows.select("*", below.alias("_k"))
+    rows = count_below(rows, "_cuts", "_v", 2 * len(probs), "_k")
     point = F.coalesce(F.get("_cuts", F.col("_k")) == F.col("_v"), F.lit(False))
     rows = rows.select(*g, "_v", "_fine", (2 * F.col("_k") + point.cast("int")).alias("_range"))
     state = checkpointed(
