@@ -234,7 +234,8 @@ TEST_FROM_SAFRA = 199801
 
 
 def items_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled item frame with the part's brand and type (high-cardinality text)."""
+    """Labelled item frame with the part's brand and type (high-cardinality text).
+    Parts grow with the items: the join is shuffled, none of them go through the driver."""
     li = labelled(spark, sf_dir)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    return li.join(p, li.l_partkey == p.p_partkey, "left").drop("p_partkey")
+    return li.join(p.hint("merge"), li.l_partkey == p.p_partkey, "left").drop("p_partkey")
