@@ -464,3 +464,8 @@ def test_contamination_query_finds_every_verbatim_item(spark, sf):
             if any(tuple(w[k:k + 8]) in grams for k in range(len(w) - 7))}
     got = {r.doc_id for r in QUERIES["op8_template_decontamination"](spark, sf).collect() if r.contaminated}
     assert whole and whole <= got <= any_
+
+
+def test_all_good_documents_are_trusted(spark):
+    labels = spark.range(100_300).selectExpr("id doc_id", "1 quality", "0 toxic")
+    assert Q.trusted_ids(labels).count() == 100_300

@@ -152,3 +152,10 @@ def test_rows_with_equal_codes_share_a_cell(spark):
         F.count("*").alias("n"), F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     counts = boost.held_out_counts(scored, trials).select(rows.columns)
     assert sorted(counts.collect()) == sorted(rows.collect())
+
+
+def test_average_precision_by_itself(spark):
+    from vintagebook.operators.metrics import average_precision, probability_metrics
+    df = spark.range(200).selectExpr("id % 2 g", "id % 17 / 17 s", "cast(id % 3 = 0 as int) y")
+    got = {r.g: r.average_precision for r in average_precision(df, "s", "y", ["g"]).collect()}
+    assert len(got) == 2 and got == {r.g: r.average_precision for r in probability_metrics(df, "s", "y", ["g"]).collect()}

@@ -55,3 +55,9 @@ def test_report_tables_are_whole(spark):
     deciles = queries()["model_report_deciles"](spark, SF_SMALL)
     assert deciles.count() == 10 and deciles.agg(F.sum("volume")).first()[0] == spark.read.parquet(
         f"{SF_SMALL}/lineitem.parquet").count()
+
+
+def test_parts_do_not_go_through_the_driver(spark, capsys):
+    from vintagebook.plans.roles import items_with_parts
+    items_with_parts(spark, SF_SMALL).explain()
+    assert "BroadcastExchange" not in capsys.readouterr().out

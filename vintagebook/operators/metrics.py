@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .binning import fit_bins, linspace_probs
+from ..session import checkpointed
 from .prefix import prefix_sums
 from .bounded import with_row
 
@@ -38,7 +39,8 @@ def cumulative_counts(df: DataFrame, score: str, label: str, group_cols: Sequenc
 def running_counts(sc: DataFrame, group_cols: Sequence[str] = (), descending: bool = True) -> DataFrame:
     """``sc`` (group..., score, n, pos, neg; one row per score) with running sums and group totals."""
     g = list(group_cols)
-    cum = prefix_sums(sc, "score", ["n", "pos", "neg"], g, descending=descending)
+    sc = checkpointed(sc)  # read for the sums and for the totals
+    cum = prefix_sums(sc, "score", ["n", "pos", "neg"], g, descending=descending, materialize=False)
     tot = sc.groupBy(*g).agg(F.sum("n").alias("n_total"), F.sum("pos").alias("pos_total"),
                              F.sum("neg").alias("neg_total"))
     return cum.join(tot, g) if g else with_row(cum, tot)
@@ -142,10 +144,7 @@ def probability_metrics(df: DataFrame, score: str, label: str, group_cols: Seque
     base = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*group_cols).agg(
         F.avg((s - y) * (s - y)).alias("brier"),
         F.avg(-(y * F.log(ps) + (1 - y) * F.log(1 - ps))).alias("log_loss"))
-    c = cumulative_counts(df, score, label, group_cols)
-    ap = c.groupBy(*group_cols).agg(
-        F.sum(F.try_divide(F.col("pos"), F.col("pos_total")) *
-              F.try_divide(F.col("cum_pos"), F.col("cum_n"))).alias("average_precision"))
+    ap = average_precision(df, score, label, group_cols)
     return base.join(ap, list(group_cols)) if group_cols else with_row(base, ap)
 
 
@@ -155,6 +154,14 @@ def _curve(cum: DataFrame, group_cols: Sequence[str], point: Column, start: Colu
     return cum.select(*group_cols, F.inline(points))
 
 
+def average_precision(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Sum over thresholds of recall step x precision."""
+    c = cumulative_counts(df, score, label, group_cols)
+    return c.groupBy(*group_cols).agg(
+        F.sum(F.try_divide(F.col("pos"), F.col("pos_total")) *
+              F.try_divide(F.col("cum_pos"), F.col("cum_n"))).alias("average_precision"))
+
+
 def roc_curve_table(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()
                     ) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, from (0, 0) at threshold infinity."""

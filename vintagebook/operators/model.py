@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from . import boosting
 from .bounded import bounded_broadcast, with_row
-from .metrics import probability_metrics, roc_auc
+from .metrics import average_precision, roc_auc
 from .selection import first_by_hash
 
 FEATURES_COL = "features"
@@ -188,18 +188,17 @@ def shuffled_position(pos: Column, n: int, *key: Column, rounds: int = 24) -> Co
 
 def permuted_frames(df: DataFrame, features: Sequence[str], n_repeats: int, seed: int = 42) -> DataFrame:
     """Every row once per (feature, repeat), with that feature's value taken from
-    the row that a bijection of all rows names: one join on (feature, position)."""
+    the row that a bijection of all rows names: one join on the position."""
     rows, n = row_positions(df)
     rows = checkpointed(rows)
-    values = rows.select("_pos", *[F.col(f).cast("double") for f in features]).unpivot(
-        ["_pos"], list(features), "_f", "_v").withColumnRenamed("_pos", "_from")
+    values = rows.select(F.col("_pos").alias("_from"), F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("_v"))
     what = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
                      for f in features for r in range(n_repeats)])
     many = rows.select("*", F.inline(what))
     many = many.withColumn("_q", shuffled_position(F.col("_pos"), n, F.col("feature"), F.col("repeat"), F.lit(seed)))
-    hit = many.join(values, (F.col("feature") == F.col("_f")) & (F.col("_q") == F.col("_from")))
+    hit = many.join(values, F.col("_q") == F.col("_from"))
     return hit.select("feature", "repeat", *[
-        F.when(F.col("feature") == c, F.col("_v")).otherwise(F.col(c).cast("double")).alias(c) if c in features
+        F.when(F.col("feature") == c, F.col("_v")[c]).otherwise(F.col(c).cast("double")).alias(c) if c in features
         else F.col(c) for c in df.columns])
 
 
@@ -210,7 +209,7 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     permuted over all rows, per feature over ``n_repeats`` permutations; all
     features and repeats are scored and measured in one job."""
     def measure(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-        found = roc_auc(scored, "score", label, by) if metric == "auc" else probability_metrics(scored, "score", label, by)
+        found = (roc_auc if metric == "auc" else average_precision)(scored, "score", label, by)
         return found.select(*by, F.col("auc" if metric == "auc" else "average_precision").alias("_m"))
 
     df = df.select(*features, label)
