@@ -6,8 +6,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from . import boosting
 from .bounded import bounded_broadcast, with_row
+from .forest import Binned, Forest, cells, fit_binned, grow_forest, tree_cuts
 from .metrics import average_precision, roc_auc
 from .selection import first_by_hash
 
@@ -29,29 +29,33 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES_COL) ->
     return v.transform(cast).drop(*[f"_d_{c}" for c in features])
 
 
-def tree_models(label: str, seed: int = 42, max_depth: int = 7, min_leaf: int = 3) -> dict:
-    """Decision tree (depth 7, min 3 rows per leaf), random forest, boosted trees."""
-    common = dict(featuresCol=FEATURES_COL, labelCol=label)
-    return {
-        "decision_tree": DecisionTreeClassifier(maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                                seed=seed, **common),
-        "random_forest": RandomForestClassifier(numTrees=100, maxDepth=max_depth,
-                                                minInstancesPerNode=min_leaf, seed=seed, **common),
-        "gbt": GBTClassifier(maxIter=50, maxDepth=5, minInstancesPerNode=min_leaf, seed=seed, **common),
-    }
+def tree_models(seed: int = 42, max_depth: int = 7) -> dict:
+    """The single tree (depth 7) and the boosted trees."""
+    return {"decision_tree": DecisionTreeClassifier(maxDepth=max_depth, seed=seed),
+            "gbt": GBTClassifier(maxIter=50, maxDepth=5, seed=seed)}
 
 
 def fit_tree_models(train: DataFrame, features: Sequence[str], label: str,
                     which: Sequence[str] = ("decision_tree", "random_forest", "gbt"),
-                    seed: int = 42) -> dict:
-    data = assemble(train, features).select(FEATURES_COL, F.col(label).cast("double").alias(label))
-    est = tree_models(label, seed)
-    return {name: est[name].fit(data) for name in which}
+                    seed: int = 42, max_depth: int = 7, min_leaf: int = 3) -> dict:
+    """Decision tree (depth 7, min 3 rows per leaf), random forest (100 trees), boosted
+    trees, by name; the rows are counted into cells once, for all of them."""
+    cuts = tree_cuts(train, features)
+    counted = cells(train, features, label, cuts)
+
+    def fit(name: str) -> Binned | Forest:
+        if name == "random_forest":
+            return grow_forest(counted, features, cuts, 100, max_depth, min_leaf, seed)
+        return fit_binned(tree_models(seed, max_depth)[name], counted, features, cuts, min_leaf)
+
+    return {name: fit(name) for name in which}
 
 
 def score(model, df: DataFrame, features: Sequence[str], out: str = "score",
           positive_index: int = 1) -> DataFrame:
     """Append P(class = ``positive_index``) as ``out`` (all other columns kept)."""
+    if isinstance(model, (Binned, Forest)):
+        return model.with_probability(df, out, positive_index)
     s = model.transform(assemble(df, features))
     return s.withColumn(out, vector_to_array("probability")[positive_index]).drop(
         FEATURES_COL, "rawPrediction", "probability", "prediction")
@@ -95,13 +99,13 @@ def rf_feature_selection(train: DataFrame, features: Sequence[str], label: str,
     of 15 rows, as Spark bounds leaves and not the nodes that are split."""
     if mode not in ("max_ratio", "top_k"):
         raise ValueError(f"mode is max_ratio or top_k, not {mode}")
-    shape = (dict(numTrees=100, maxDepth=5, minInstancesPerNode=2) if mode == "max_ratio"
-             else dict(numTrees=50, maxDepth=3, minInstancesPerNode=8, weightCol="weight"))
-    data = assemble(train.filter(F.col(label).isNotNull()), features).select(
-        FEATURES_COL, F.col(label).cast("double").alias(label))
-    if mode == "top_k":
-        data = balanced_weights(data, label)
-    forest = RandomForestClassifier(featuresCol=FEATURES_COL, labelCol=label, seed=seed, **shape).fit(data)
+    rows = train.filter(F.col(label).isNotNull())
+    cuts = tree_cuts(rows, features)
+    if mode == "max_ratio":
+        forest = grow_forest(cells(rows, features, label, cuts), features, cuts, 100, 5, 2, seed)
+    else:
+        rows = balanced_weights(rows.select(*features, label), label)
+        forest = grow_forest(cells(rows, features, label, cuts, "weight"), features, cuts, 50, 3, 8, seed)
     imp = feature_importances(forest, features, train.sparkSession)
     return threshold_by_max(imp, ratio) if mode == "max_ratio" else top_k_features(imp, k)
 
