@@ -54,3 +54,13 @@ def test_backfill_equals_single_safras(spark):
     for s in safras:
         single = B.book_for_safra(fact, "seller_id", "safra", s, ORDER_VALUES, "_orders", ["seller_region"])
         _same(_rows(bf.filter(F.col("safra") == s)), _rows(single))
+
+
+def test_months_are_shuffled_before_they_are_copied(spark):
+    """A month goes into many (reference month, window)s: its copies stay where it is."""
+    from vintagebook.operators.book_partials import book_two_level
+    fact = spark.range(200).selectExpr("id % 5 e", "cast(199801 + id % 12 as int) safra", "cast(id as double) v")
+    book = book_two_level(fact, "e", "safra", [199806, 199812], ["v"], "")
+    plan = book._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("RepartitionByExpression") > plan.rindex("Generate")
+    assert book.count() == len({(i % 5, i % 12) for i in range(200) if i % 12 in (5, 11)})

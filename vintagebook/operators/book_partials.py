@@ -98,7 +98,8 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
     (entity, safra, window), and the windows of one (entity, safra) are
     laid side by side from a sorted list of exactly ``len(months)`` rows
     (every window of an active entity contains its reference month).  One
-    repartition by (entity, safra) serves both merges.
+    repartition of the monthly rows by the entity serves both merges: the copies
+    are made behind it and never shuffled.
     """
     span = max(months)
     # the reference safras are a parameter list: each monthly row is expanded
@@ -106,13 +107,15 @@ def book_from_partials(partials: DataFrame, keys: Sequence[str], month_col: str,
     refs = F.array(*[F.struct(F.lit(int(s)).alias("_ref"),
                               F.lit(shift_safra_value(int(s), -span)).alias("_lo"))
                      for s in safras])
-    paired = partials.select("*", F.inline(
+    # as many tasks as the session asks for: the copies make them larger than they look
+    tasks = int(partials.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = partials.repartition(tasks, *[F.col(k) for k in keys])
+    paired = dealt.select("*", F.inline(
         F.filter(refs, lambda r: F.col(month_col).between(r["_lo"], r["_ref"]))))
     d = (month_index("_ref") - month_index(month_col)).cast("int")
     wins = F.array(*[F.lit(int(k)) for k in months])
     exploded = (paired.withColumn("_d", d)
                 .withColumn("_w", F.explode(F.filter(wins, lambda k: F.col("_d") <= k))))
-    exploded = exploded.repartition(*[F.col(k) for k in keys], F.col("_ref"))
     # expressions are SQL text: one parse on the JVM per column instead of a
     # py4j round trip per nested Column call (hundreds of columns per book)
     aggs = [F.expr("max(CAST(_d = 0 AS INT))").alias("_active")]
