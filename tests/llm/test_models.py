@@ -213,3 +213,28 @@ def test_compare_against_all_pairs(two_parts):
                 mine = [far_of[p] for p in want if p[side] == member]
                 if mine:
                     assert min(mine) in [far_of[p] for p in near if p[side] == member]
+
+
+def test_large_groups_are_compared_in_small_pieces():
+    """A cell of 2 x 1024 near copies: the pieces take a few MB, and no pair is lost."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from vintagebook.llm import jaccard
+    rng, m = np.random.default_rng(0), 2048
+    base, sets = rng.integers(0, 2**63, 400, dtype=np.uint64), []
+    for _ in range(m):
+        s = base.copy()
+        s[rng.integers(0, 400, 8)] = rng.integers(0, 2**63, 8, dtype=np.uint64)
+        sets.append(np.unique(s))
+    side = np.arange(m) % 2
+    rows = pa.table({"n": pa.array([len(s) for s in sets], pa.int32()), "part": side, "root": np.arange(m),
+                     "one": np.zeros(m, np.int64), "two": np.ones(m, np.int64),
+                     "sketch": pa.array([jaccard.parity_sketch(s) for s in sets], pa.binary())})
+    tracemalloc.start()
+    n = sum(len(i) for i, _, _ in jaccard.survivors(rows, np.array([0, m]), (80, 100)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == (m // 2) ** 2 and peak < 30e6

@@ -48,6 +48,7 @@ from .components import connected_components
 HEAVY = 1 << 18   # shingles whose frequency is known
 CELLS = 1 << 24   # bits of the bitmap of classes to be verified
 GROUP = 2048      # members of a group that one task compares with as many
+CELL = 1 << 17    # pairs that a task compares at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,13 +207,13 @@ def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
 
 
 def _pairs_of(cuts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(i, j) in pieces of about two million: the pairs j < i inside each group
+    """(i, j) in pieces of about ``CELL``: the pairs j < i inside each group
     of ``most`` members or fewer; ``cuts`` are the groups' bounds."""
     size = np.diff(cuts)
     few = (size > 1) & (size <= most)
     rows = np.repeat(cuts[:-1][few], size[few])
     place = np.arange(len(rows)) - np.repeat(np.cumsum(size[few]) - size[few], size[few])
-    piece = np.cumsum(place) // 2_000_000
+    piece = np.cumsum(place) // CELL
     for at in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(piece)) + 1):
         start, before = rows[at], place[at]
         j = np.arange(before.sum()) - np.repeat(np.cumsum(before) - before, before)
@@ -220,11 +221,11 @@ def _pairs_of(cuts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 
 def _blocks_of(cuts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(i, j) as a column and a row of a matrix of about two million cells: the
+    """(i, j) as a column and a row of a matrix of about ``CELL`` cells: the
     members of the groups of more than ``most``."""
     for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if z - a > most:
-            step = max(1, 2_000_000 // (z - a))
+            step = max(1, CELL // (z - a))
             for k in range(a, z, step):
                 last = min(z, k + step)
                 yield np.arange(k, last)[:, None], np.arange(a, last)[None, :]
@@ -260,7 +261,7 @@ def survivors(rows: pa.Table, cuts: np.ndarray, t: tuple[int, int], most: int =
             w, v = k >> 32, k & 0xFFFFFFFF
             x, narrow = np.flatnonzero(kind == k), min(w, v)
             left, right = _folded(packed[w], narrow), _folded(packed[v], narrow)
-            for x in np.array_split(x, len(x) * narrow // 4_000_000 + 1):
+            for x in np.array_split(x, len(x) * narrow // CELL + 1):
                 far = np.bitwise_count(left[slot[i[x]]] ^ right[slot[j[x]]]).sum(axis=1, dtype=np.int64)
                 x, far = (z[far * (den + num) <= (n[i[x]] + n[j[x]]) * (den - num)] for z in (x, far))
                 yield i[x], j[x], far
