@@ -64,3 +64,10 @@ def test_leaves_hold_enough_drawn_rows_and_nulls_are_the_largest(rows):
     with pytest.raises(ValueError):
         cuts = FO.tree_cuts(rows, FEATURES)
         FO.grow_forest(FO.cells(rows.withColumn("y", F.lit(None).cast("int")), FEATURES, "y", cuts), FEATURES, cuts, 2, 2, 1, 1)
+
+
+@pytest.mark.parametrize("bad", ["cast(null as double)", "double('nan')", "double('inf')"])
+def test_training_rows_have_all_features(rows, bad):
+    df = rows.withColumn("a", F.expr(f"if(id = 17, {bad}, cast(a as double))"))
+    with pytest.raises(Exception, match="MUST NOT"):
+        ML.rf_feature_selection(df, FEATURES, "y")

@@ -39,10 +39,16 @@ def _value(c: str):
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
+def _known(c: str):
+    """The feature's value; as in ``pyspark.ml``, rows that are trained on have one."""
+    return F.when(F.abs(_value(c)) < math.inf, F.col(c).cast("double")).otherwise(
+        F.raise_error(F.lit(f"{c} MUST NOT be null, NaN or Infinity")))
+
+
 def tree_cuts(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """At most ``bins`` - 1 increasing cuts per feature: half-way between neighbours
     of at most ``bins`` values, else quantiles of all rows."""
-    about = df.agg(*[F.approx_count_distinct(_value(c)).alias(f"c{i}") for i, c in enumerate(features)]).first()
+    about = df.agg(*[F.approx_count_distinct(_known(c)).alias(f"c{i}") for i, c in enumerate(features)]).first()
     few = [i for i in range(len(features)) if about[f"c{i}"] <= 2 * bins]
     cuts: dict[int, list[float]] = {}
     if few:
@@ -63,7 +69,7 @@ def bin_columns(cuts: Sequence) -> list[str]:
 
 def binned(df: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[float]]) -> DataFrame:
     """``df`` with a column of :func:`bin_columns` per feature: the number of cuts
-    below its value.  Null and NaN are in the last bin, as in Spark's trees."""
+    below its value.  Null and NaN are in the last bin, where Spark's trees send them."""
     values = [f"_value{i}" for i in range(len(cuts))]
     df = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(v)
                           for c, v in zip(features, values)])
@@ -83,7 +89,8 @@ def cells(df: DataFrame, features: Sequence[str], label: str, cuts: Sequence[Seq
     """(bins..., label, n): the rows of every cell, written once; with the ``weight``
     of a row of the label, if given."""
     more = [weight] if weight else []
-    rows = binned(df.select(*dict.fromkeys([*features, label, *more])), features, cuts)
+    known = [_known(c).alias(f"_f{i}") for i, c in enumerate(features)]
+    rows = binned(df.select(*dict.fromkeys([label, *more]), *known), [f"_f{i}" for i in range(len(features))], cuts)
     return checkpointed(rows.groupBy(*bin_columns(cuts), F.col(label).cast("double").alias("label")).agg(
         F.count(F.lit(1)).alias("n"), *[F.max(c).alias("weight") for c in more]))
 
