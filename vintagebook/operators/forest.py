@@ -33,6 +33,7 @@ from .boosting import Tree, quantile_cuts
 
 BINS = 32            # bins of a feature, the default of pyspark.ml
 BLOCK_CELLS = 4096   # cells whose draws share a random stream, on the average
+SCORES = 1 << 18     # bins whose scores a task remembers
 
 
 def _value(c: str):
@@ -276,10 +277,16 @@ class Forest:
         k, n = len(df.columns), len(self.cuts)
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[bytes, float] = {}  # the scores of the bins that the task has met
             for b in batches:
                 codes = np.stack([b.column(k + i).to_numpy() for i in range(n)], axis=1).astype(np.uint8)
-                met, back = np.unique(codes, axis=0, return_inverse=True)
-                p = self.probabilities(met)[:, positive_index][back.reshape(-1)]
+                keys = list(map(bytes, codes))
+                if new := [x for x in set(keys) if x not in known]:
+                    if len(known) > SCORES:
+                        known, new = {}, list(set(keys))
+                    met = np.frombuffer(b"".join(new), np.uint8).reshape(len(new), n)
+                    known |= zip(new, self.probabilities(met)[:, positive_index].tolist())
+                p = np.fromiter((known[x] for x in keys), np.float64, len(keys))
                 yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(p)], names=[*b.schema.names[:k], "_p"])
 
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), "_p double"])

@@ -48,7 +48,10 @@ def running_counts(sc: DataFrame, group_cols: Sequence[str] = (), descending: bo
 
 def ks_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Cumulative event / non-event shares by score, highest first."""
-    c = cumulative_counts(df, score, label, group_cols)
+    return _ks_curve(cumulative_counts(df, score, label, group_cols), group_cols)
+
+
+def _ks_curve(c: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     ev = F.try_divide(F.col("cum_pos"), F.col("pos_total"))
     ne = F.try_divide(F.col("cum_neg"), F.col("neg_total"))
     return c.select(*group_cols, "score", ev.alias("cum_events_pct"),
@@ -76,7 +79,10 @@ def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (
 
 def auc_of_counts(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """:func:`roc_auc` of (group..., score, n, pos, neg), one row per score."""
-    c = running_counts(counts, group_cols)
+    return _auc(running_counts(counts, group_cols), group_cols)
+
+
+def _auc(c: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     below = F.col("neg_total") - F.col("cum_neg")
     part = F.col("pos") * (below + 0.5 * F.col("neg"))
     a = c.groupBy(*group_cols).agg(
@@ -248,8 +254,8 @@ def classification_report(df: DataFrame, score: str, label: str,
     """Model x split table of accuracy, precision, recall, AUC, Gini, KS."""
     g = list(group_cols)
     cm = confusion_metrics(df, score, label, threshold, g).select(*g, "accuracy", "precision", "recall")
-    auc = roc_auc(df, score, label, g)
-    ks = ks_statistic(df, score, label, g)
+    c = cumulative_counts(df, score, label, g)  # the rows are scored for it once
+    auc, ks = _auc(c, g), _ks_curve(c, g).groupBy(*g).agg(F.max("ks").alias("ks"))
     return cm.join(auc, g).join(ks, g)
 
 
