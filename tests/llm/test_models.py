@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vintagebook.llm import components, jaccard as J, lm_score as M
 from vintagebook.llm.queries import QUERIES
@@ -238,3 +239,38 @@ def test_large_groups_are_compared_in_small_pieces():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == (m // 2) ** 2 and peak < 30e6
+
+
+def traced(work):
+    """The result of ``work`` and the bytes that the driver's Python held at most."""
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_bitmap_has_every_cell_and_takes_the_driver_little(spark):
+    from vintagebook.llm.common import bitmap
+    most, at = 1 << 20, [0, 1, 7, 8, 32_767, 32_768, (1 << 20) - 1]
+    some = spark.createDataFrame([(x,) for x in at * 2], "cell long")
+    bits, _ = bitmap(some, most)
+    assert np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")).tolist() == at
+    assert bitmap(some.limit(0), most) == (bytes(most // 8), [])
+    (bits, _), peak = traced(lambda: bitmap(spark.range(most).select((F.col("id") * 3 % most).alias("cell")), most))
+    assert bits == b"\xff" * (most // 8) and peak < 5e6
+
+
+def test_frequent_shingles_take_the_driver_little(spark, tmp_path):
+    """200 passages of 500 words in two documents each: 99,200 shingles that the driver gets."""
+    rows = []
+    for k in range(200):
+        passage = " ".join(f"p{k}w{i}" for i in range(500))
+        rows += [(2 * k, f"{passage} " + " ".join(f"x{k}y{i}" for i in range(600))), (2 * k + 1, passage)]
+    rows.append((1000, rows[1][1]))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got, peak = traced(lambda: J.similar_documents(docs).filter("component_id != doc_id").collect())
+    assert [(r.doc_id, r.component_id, r.n_shingles) for r in got] == [(1000, 1, 496)]
+    assert peak < 12e6

@@ -93,6 +93,21 @@ def test_pack_round_trip(messy, nothing):
     assert P.pack(nothing, TOKENIZER, 2).count() == 0
 
 
+def test_only_tasks_load_the_tokenizer(messy, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("the driver loads the tokenizer")
+    monkeypatch.setattr(P, "WordEncoder", refuse)
+    rows = P.pack(messy, TOKENIZER, 2).select("doc_id").distinct().collect()
+    assert {r.doc_id for r in rows} == {None, *range(1, 11)}
+
+
+def test_ids_of_any_width_become_wide():
+    import pyarrow as pa
+    for kind in ("<u2", "<u4"):
+        b = pa.RecordBatch.from_pydict({"length": [2, 1], "ids": [np.array(x, kind).tobytes() for x in ([7, 500], [2])]})
+        assert [np.frombuffer(x, "<u4").tolist() for x in next(P._widen(iter([b])))["ids"].to_pylist()] == [[7, 500], [2]]
+
+
 def test_pack_query(spark, sf):
     rows = QUERIES["op1_min_bin_slack_packing"](spark, sf).collect()
     tokenizer = Tokenizer.from_file(TOKENIZER)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import reserve, tidy
+from .common import bitmap, reserve, tidy
 
 CELLS = 1 << 22
 # Words that count as numbers or units.
@@ -158,7 +158,7 @@ def _emit(batches: Iterator[pa.RecordBatch], kinds: list[tuple[int, int, bool]],
     """Windows (id, hash, width, reading, slots, place, source, first): every
     place of a hash in a text; ``source`` tells texts of one id apart.
     ``kinds``: the (width, reading, whole) looked for; ``cells``: the bitmap that a hash must hit."""
-    marked = np.unpackbits(np.frombuffer(cells, np.uint8)) if cells is not None else None
+    marked = np.unpackbits(np.frombuffer(cells, np.uint8), bitorder="little") if cells is not None else None
     for b in tidy(batches):
         for i in range(0, b.num_rows, 512):
             part = b.slice(i, 512)
@@ -212,12 +212,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_literals:
     templated = items.filter(F.col("reading") != EXACT).select(F.col("id").alias("_t")).distinct()
     bare = items.filter(F.col("reading") == EXACT).join(templated, F.col("id").eqNullSafe(F.col("_t")), "left_anti")
     items = items.filter(F.col("reading") != EXACT).unionByName(bare)
-    seen = items.select((F.col("hash").bitwiseAND(F.lit(CELLS - 1))).alias("cell"), "width", "reading").distinct()
-    rows = seen.toPandas()  # bounded: CELLS cells of at most `width` widths and three readings
-    bits = np.zeros(CELLS, np.uint8)
-    bits[rows["cell"].to_numpy(np.int64)] = 1
-    cells = np.packbits(bits).tobytes()
-    kinds = [(int(w), int(r), False) for w, r in sorted(set(zip(rows["width"], rows["reading"])))]
+    seen = items.select((F.col("hash").bitwiseAND(F.lit(CELLS - 1))).alias("cell"), F.struct("width", "reading").alias("kind"))
+    # at most `width` widths and three readings
+    cells, parts = bitmap(seen, CELLS, F.collect_set("kind").alias("kinds"))
+    kinds = [(w, r, False) for w, r in sorted({(k["width"], k["reading"]) for p in parts for k in p["kinds"]})]
     found = docs.select("doc_id", "text").mapInArrow(
         lambda it: _emit(it, kinds, min_literals, cells), _FOUND)
     n_item = items.groupBy("id", "reading").agg(F.countDistinct("hash").alias("n_item"))

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_slices, tidy, word_table
+from .common import bitmap, materialize, text_slices, tidy, word_table
 from .components import connected_components
 
 HEAVY = 1 << 18   # shingles whose frequency is known
@@ -186,7 +186,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int, t: tuple[int, int], heavy
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int, cells: bytes) -> Iterator[pa.RecordBatch]:
     """(cls, shingles) of the classes in the bitmap ``cells``, once a slice."""
-    marked = np.unpackbits(np.frombuffer(cells, np.uint8))
+    marked = np.unpackbits(np.frombuffer(cells, np.uint8), bitorder="little")
     for b in tidy(batches):
         for part in text_slices(b, 0):
             sets = shingle_sets(part.column(0), n)
@@ -321,13 +321,6 @@ def _verify(batches: Iterator[pa.RecordBatch], t: tuple[int, int]) -> Iterator[p
             pa.array(keep, pa.bool_()))
 
 
-def _bitmap(cells: DataFrame) -> bytes:
-    """The set cells (column ``cell``, below CELLS) as bits; CELLS rows at most."""
-    bits = np.zeros(CELLS, np.uint8)
-    bits[cells.distinct().toPandas()["cell"].to_numpy(np.int64)] = 1
-    return np.packbits(bits).tobytes()
-
-
 def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (80, 100)
                       ) -> DataFrame:
     """(doc_id, n_shingles, component_id, mark, component) of ``docs`` (doc_id,
@@ -342,8 +335,8 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
         lambda it: _describe(it, n), _SETS), "jaccard-classes")
     classes = described.filter("n > 0").groupBy("cls", "check", "n").agg(F.min("doc_id").alias("first"))
     top = (described.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
-           .orderBy(F.desc("times"), "shingle").limit(HEAVY).toPandas())
-    heavy, times = top["shingle"].to_numpy(np.int64).view(np.uint64), top["times"].to_numpy(np.int64)
+           .orderBy(F.desc("times"), "shingle").limit(HEAVY).toArrow())
+    heavy, times = top["shingle"].to_numpy().view(np.uint64), top["times"].to_numpy()
     order = np.argsort(heavy)
     heavy, times = heavy[order], times[order]
 
@@ -377,7 +370,7 @@ def similar_documents(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     near = materialize(compared(groups.withColumn("root", F.col("cls")), True), "jaccard-pairs")
     # the sets of the classes that survive a comparison
     alive = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    cells = _bitmap(alive.select(F.col("cls").bitwiseAND(F.lit(CELLS - 1)).alias("cell")))
+    cells, _ = bitmap(alive.select(F.col("cls").bitwiseAND(F.lit(CELLS - 1)).alias("cell")), CELLS)
     sets = materialize(text.mapInArrow(lambda it: _sets(it, n, cells), "cls long, shingles binary")
                        .join(alive, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-sets")
 

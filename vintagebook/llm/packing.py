@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,24 +90,26 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, close: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids, n_ids), with the id ``close`` at the end."""
     if path not in _ENCODERS:  # kept between tasks of one worker, with its word cache
         _ENCODERS[path] = WordEncoder(path)
     enc = _ENCODERS[path]
+    size, wide = enc.dtype.itemsize, pa.large_binary()
+    end = pa.scalar(close.to_bytes(size, "little"), wide)
     for b in tidy(batches):
         for part in text_slices(b, 1):
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), enc.encode(part.column(1)).cast(pa.binary())], names=["doc_id", "ids"])
+            ids = pc.binary_join_element_wise(enc.encode(part.column(1)), end, pa.scalar(b"", wide))
+            n_ids = np.asarray(pc.binary_length(ids)).astype(np.int64) // size
+            yield pa.RecordBatch.from_arrays([part.column(0), ids.cast(pa.binary()), pa.array(n_ids)],
+                                             names=["doc_id", "ids", "n_ids"])
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, close: int) -> DataFrame:
-    """(doc_id, ids, n_ids): ids in the tokenizer's narrowest width, ``close`` last."""
-    size = WordEncoder(tokenizer).dtype.itemsize
-    end = F.lit(bytearray(int(close).to_bytes(size, "little")))
-    ids = docs.select("doc_id", "text").mapInArrow(
-        lambda it: _encode(it, tokenizer), "doc_id long, ids binary")
-    return ids.select("doc_id", F.concat("ids", end).alias("ids")).withColumn(
-        "n_ids", (F.octet_length("ids") / size).cast("long"))
+    """(doc_id, ids, n_ids): ids in the tokenizer's narrowest width, ``close`` last.
+    Only tasks load the tokenizer, which would stay in the driver's memory."""
+    return docs.select("doc_id", "text").mapInArrow(
+        lambda it: _encode(it, tokenizer, int(close)), "doc_id long, ids binary, n_ids long")
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -213,11 +216,12 @@ def _place(batches: Iterator[pa.RecordBatch], entries: np.ndarray, width: int, s
             names=["row", "start", "length", "sequence_id", "offset"])
 
 
-def _widen(batches: Iterator[pa.RecordBatch], dtype: str) -> Iterator[pa.RecordBatch]:
-    at = None
+def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ids`` of ``length`` numbers of any width, in 32 bits."""
     for b in batches:
         at = b.schema.get_field_index("ids")
-        wide = [np.frombuffer(x, dtype).astype("<u4").tobytes() for x in b.column(at).to_pylist()]
+        wide = [np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes()
+                for x, n in zip(b.column(at).to_pylist(), b.column("length").to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [pa.array(wide, pa.binary()) if i == at else c for i, c in enumerate(b.columns)],
             names=b.schema.names)
@@ -227,7 +231,6 @@ def pack(docs: DataFrame, tokenizer: str, close: int, width: int = 4096, max_sla
          ) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) of
     ``docs`` (doc_id, text); ``ids`` are little-endian unsigned 32-bit."""
-    dtype = WordEncoder(tokenizer).dtype
     tokens = materialize(encode_documents(docs, tokenizer, close)
                          .withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
     sizes = tokens.select("row", "n_ids", (F.col("n_ids") % width).alias("tail"))
@@ -250,9 +253,6 @@ def pack(docs: DataFrame, tokenizer: str, close: int, width: int = 4096, max_sla
         "row long, start long, length long, sequence_id long, offset long")
     cut = tokens.join(pieces, "row").select(
         "doc_id", "start", "length", F.col("n_ids").alias("doc_tokens"), "sequence_id", "offset",
-        F.expr(f"substring(ids, cast(start * {dtype.itemsize} + 1 as int), "
-               f"cast(length * {dtype.itemsize} as int))").alias("ids"))
-    if dtype.itemsize == 4:
-        return cut
-    name = dtype.str
-    return cut.mapInArrow(lambda it: _widen(it, name), cut.schema)
+        F.expr("substring(ids, cast(start * (octet_length(ids) div n_ids) + 1 as int), "
+               "cast(length * (octet_length(ids) div n_ids) as int))").alias("ids"))
+    return cut.mapInArrow(_widen, cut.schema)
