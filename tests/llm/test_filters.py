@@ -1,9 +1,13 @@
+import random
 import re
 import struct
+import sys
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -383,6 +387,80 @@ def test_planted_passages_without_punctuation(spark):
     assert max(parts) <= S.LONG + 1
 
 
+def plain_sentences(text):
+    """(stop, words) of the sentences, cut word by word."""
+    low, out, at = text.lower(), [], 0
+    ends = [m.end() for m in re.finditer(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n", low)]
+    for stop in ends + [len(low)] * (not ends or ends[-1] < len(low)):
+        words = [(zlib.crc32(m.group()), m) for m in re.compile(rb"[^\x20\x09-\x0D]+").finditer(low, at, stop)]
+        cuts, part = {stop}, []
+        for k, (h, m) in enumerate(words if len(words) > S.LONG else ()):
+            part.append((h, -m.end()))
+            found = m.group()[-1] in b",;:" or h % 8 == 0
+            if found:
+                cuts.add(m.end())
+            if found or k == len(words) - 1:
+                cuts |= {-min(part[i:i + S.LONG])[1] for i in range(len(part) - S.LONG)}
+                part = []
+        for cut in sorted(cuts):
+            if cut > at:
+                out.append((cut, len(low[at:cut].split())))
+            at = max(at, cut)
+    return out
+
+
+def odd_texts(seed):
+    r = random.Random(seed)
+    pool = ["a", "b", "Word", "x,", "y;", "end.", "q?!", "..", "\n", " \n", "\t", "\x0b", "\r", "\x00", "\x00\x00", "É",
+            "龍.", "z" * 64, "z" * 65, "12345678", "123456789", "p:", "\x1c"]
+    pools = [pool, pool[:4], [f"w{k}" for k in range(300)], [f"w{k}" for k in range(300)] + ["\n", "e. "]]
+    texts = [r.choice([" ", " ", "", "  "]).join(r.choices(r.choice(pools), k=r.choice([0, 1, 20, 200, 900])))
+             for _ in range(60)]
+    return [t.encode() for t in ["", *texts, "", "\n", "", "one. Two.", "."]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sentences_and_runs_of_a_slice_are_those_of_its_texts(seed):
+    texts = odd_texts(seed)
+    stops, counts, hashes, bounds = S._sentences(texts)
+    for min_words in (0, 1, 20, 50):
+        found, a, z, edges = S._runs(counts, hashes, bounds, min_words)
+        by_hash, by_words = {}, {}
+        for i, text in enumerate(texts):
+            s, e = bounds[i], bounds[i + 1]
+            units = list(zip(stops[s:e].tolist(), counts[s:e].tolist()))
+            assert units == plain_sentences(text)
+            words = [tuple(text.lower()[x:y[0]].split()) for x, y in zip([0, *(u[0] for u in units)], units)]
+            real = [k for k, w in enumerate(words) if w]
+            enough = [(x, y) for x in range(len(real)) for y in range(x + 2, min(x + max(min_words, 1) + 2, len(real) + 1))
+                      if sum(len(words[k]) for k in real[x:y]) >= min_words]
+            first, last = {}, {}
+            for x, y in enough:
+                first.setdefault(x, y)
+                last[y] = max(x, last.get(y, 0))
+            want = sorted({*first.items(), *((x, y) for y, x in last.items())})
+            mine = slice(edges[i], edges[i + 1])
+            assert list(zip((a[mine] - s).tolist(), (z[mine] - s).tolist())) == [(real[x], real[y - 1] + 1) for x, y in want]
+            for h, (x, y) in zip(found[mine].tolist(), want):
+                run = tuple(words[k] for k in real[x:y])
+                assert by_hash.setdefault(h, run) == run and by_words.setdefault(run, h) == h
+    assert S.sentences(texts[1]) == [(*u, h) for u, h in zip(plain_sentences(texts[1]), hashes[:bounds[2]].tolist())]
+
+
+def test_hashing_runs_takes_no_call_per_word():
+    """The work on words, sentences and runs is done on arrays."""
+    texts = [sentence_text(k, 300).replace(".", ". " if k % 2 else "") for k in range(60)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        spans = list(S._spans(iter([docs]), 20))
+    finally:
+        sys.setprofile(None)
+    assert sum(b.num_rows for b in spans) > 1_000
+    assert calls["call"] + calls["c_call"] < 0.1 * sum(len(t.split()) for t in texts)
+
+
 def test_passages_of_messy_rows(messy, nothing):
     got = S.remove_repeats(messy).collect()
     assert len(got) == messy.count()
