@@ -11,7 +11,8 @@ time: one job sums gradients and Hessians by (model, open node, feature, bin) in
 every task, merges the tasks' sums per (model, node) and finds the node's best
 split there; the driver gets one split per open node.  A trial so costs depth x
 iterations jobs, whatever the number of folds, and the trials of a batch share
-them: every job takes each unfinished trial one level further.
+them: every job takes each unfinished trial one level further.  Where the cells are
+few, models grow whole in a task each instead (:mod:`packed`).
 
 Trees grow level by level; when a level would exceed ``num_leaves``, its splits
 of the largest gain are taken.  A null or NaN lies below all values.  Rows are
@@ -137,19 +138,27 @@ def shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - alpha, 0)
 
 
-def best_split(stats: np.ndarray, features: Sequence[int], params: Mapping) -> tuple:
-    """(gain, feature, cut, left value, right value) of a node's ``stats`` (g, h, n) x
-    features x bins; gain 0 where no split is allowed."""
+def best_splits(stats: np.ndarray, features: Sequence[int], params: Mapping) -> list[tuple]:
+    """(gain, feature, cut, left value, right value) of every node of ``stats``, nodes x
+    (g, h, n) x features x bins; gain 0 where no split is allowed."""
     alpha, lam = params["reg_alpha"], params["reg_lambda"] + 1e-12
-    total = stats[:, 0].sum(axis=1)
-    left = np.cumsum(stats, axis=2)[:, :, :-1]
-    right = total[:, None, None] - left
-    score = lambda s: shrunk(s[0], alpha) ** 2 / (s[1] + lam)
-    ok = ((left[2] >= MIN_ROWS) & (right[2] >= MIN_ROWS) & (left[1] >= MIN_HESSIAN) & (right[1] >= MIN_HESSIAN))
+    total = stats[:, :, 0].sum(axis=2)[:, :, None, None]
+    left = np.cumsum(stats, axis=3)[:, :, :, :-1]
+    right = total - left
+    score = lambda s: shrunk(s[:, 0], alpha) ** 2 / (s[:, 1] + lam)
+    ok = ((left[:, 2] >= MIN_ROWS) & (right[:, 2] >= MIN_ROWS) & (left[:, 1] >= MIN_HESSIAN) & (right[:, 1] >= MIN_HESSIAN))
     gain = np.where(ok, score(left) + score(right) - score(total), 0.0)
-    f, cut = np.unravel_index(int(np.argmax(gain)), gain.shape)
-    value = lambda s: float(-params["learning_rate"] * shrunk(s[0], alpha) / (s[1] + lam))
-    return float(gain[f, cut]), int(features[f]), int(cut), value(left[:, f, cut]), value(right[:, f, cut])
+    best = gain.reshape(len(gain), -1).argmax(axis=1)
+    f, cut = np.unravel_index(best, gain.shape[1:])
+    node = np.arange(len(gain))
+    value = lambda s: -params["learning_rate"] * shrunk(s[node, 0, f, cut], alpha) / (s[node, 1, f, cut] + lam)
+    return list(zip(gain[node, f, cut].tolist(), np.array(features)[f].tolist(), cut.tolist(),
+                    value(left).tolist(), value(right).tolist()))
+
+
+def best_split(stats: np.ndarray, features: Sequence[int], params: Mapping) -> tuple:
+    """:func:`best_splits` of one node."""
+    return best_splits(stats[None], features, params)[0]
 
 
 def _fixed(column: pa.Array, dtype, width: int) -> np.ndarray:
@@ -211,6 +220,18 @@ def _unpack(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[pa.R
              *[pa.array(x) for x in (y, fold, h)]], names=["codes", "y", "fold", "h"])
 
 
+def _sizes(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[pa.RecordBatch]:
+    """(fold, y, n): rows by fold and label, and without them the cells of other codes than the one before."""
+    for b in batches:
+        if b.num_rows:
+            codes, _, y, fold, _ = _read(b, n_features)
+            both = pa.table({"fold": fold, "y": y, "n": np.ones(len(y), np.int64)}).group_by(["fold", "y"]).aggregate([("n", "sum")])
+            cells = 1 + int((codes[1:] != codes[:-1]).any(axis=1).sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*both["fold"].to_pylist(), None], pa.int32()), pa.array([*both["y"].to_pylist(), None], pa.float32()),
+                 pa.array([*both["n_sum"].to_pylist(), cells], pa.int64())], names=["fold", "y", "n"])
+
+
 def _read(b: pa.RecordBatch, n_features: int) -> tuple:
     """The cells' codes, and of every row its cell, label, fold and hash."""
     at = np.repeat(np.arange(b.num_rows), b.column(1).to_numpy())
@@ -327,8 +348,10 @@ class Booster:
         self.cells = checkpointed(table.repartitionByRange(tasks, "codes", "h").sortWithinPartitions("codes")
                                   .mapInArrow(lambda it: _pack(it, n), _CELLS))
         self.rows = self.cells.mapInArrow(lambda it: _unpack(it, n), "codes binary, y float, fold int, h long")
-        self.counts = {(r["fold"], r["y"]): r["n"] for r in self.rows.groupBy("fold", "y").agg(
-            F.count(F.lit(1)).alias("n")).collect()}
+        sizes = {(r["fold"], r["y"]): r["n"] for r in self.cells.mapInArrow(
+            lambda it: _sizes(it, n), "fold int, y float, n long").groupBy("fold", "y").agg(F.sum("n").alias("n")).collect()}
+        self.n_cells = sizes.pop((None, None), 0)
+        self.counts = sizes
 
     def base(self, left_out: int, params: Mapping) -> float:
         """The log odds of the weighted rows outside a fold."""
@@ -336,6 +359,19 @@ class Booster:
         neg = sum(n for (f, y), n in self.counts.items() if f != left_out and y <= 0)
         return math.log(pos / neg) if pos and neg else 0.0
 
+    @property
+    def few_cells(self) -> bool:
+        """Whether models may grow whole in a task: few cells, and labels that counts tell."""
+        from . import packed
+        return self.n_cells * len(self.features) <= packed.MOST_CODES and {y for _, y in self.counts} <= {0.0, 1.0}
+
+    def grown(self, settings: Sequence[tuple[int, dict]], folds: Sequence[int], trees: bool) -> DataFrame:
+        """:func:`packed.grown` of this frame: one model per (number, params) and left-out fold."""
+        from . import packed
+        settings = [(k, {**DEFAULTS, **p}) for k, p in settings]
+        return packed.grown(self.cells, settings, folds, [self.base(f, p) for _, p in settings for f in folds],
+                            len(self.features), self.bins, trees)
+
     def _with_scores(self, trials: Sequence[Trial]) -> DataFrame:
         first = np.array([b for t in trials for b in t.base], np.float64).tobytes()
         return self.cells.withColumn("scores", F.lit(bytearray(first)))
@@ -592,9 +628,13 @@ def search(train: DataFrame, features: Sequence[str], label: str, key: Sequence[
     out, best, stale = [], -1.0, 0
     while len(out) < n_trials:
         drawn = [(len(out) + i, suggest(space, past, rng)) for i in range(min(batch, n_trials - len(out)))]
-        trials, cells = boost.grow(drawn, list(range(folds)))
         aucs: dict[int, dict[int, float]] = {}
-        for r in auc_of_counts(boost.held_out_counts(cells, trials), ["trial", "fold"]).collect():
+        if boost.few_cells:
+            counts = boost.grown(drawn, list(range(folds)), False)
+        else:
+            trials, cells = boost.grow(drawn, list(range(folds)))
+            counts = boost.held_out_counts(cells, trials)
+        for r in auc_of_counts(counts, ["trial", "fold"]).collect():
             aucs.setdefault(r["trial"], {})[r["fold"]] = r["auc"]
         for number, params in drawn:
             per_fold = [aucs.get(number, {}).get(f) for f in range(folds)]
