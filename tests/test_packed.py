@@ -65,6 +65,21 @@ def test_a_search_runs_no_job_per_level(spark, frame):
     assert 0 < few == many
 
 
+def test_a_fit_runs_no_job_per_level(spark, frame):
+    few, many = (jobs_of(spark, f"fit {n}", lambda: B.fit(frame, ["a", "b", "c"], "y", ["id"], {**PARAMS, "n_estimators": n}))
+                 for n in (1, 12))
+    assert 0 < few == many
+
+
+def test_many_cells_and_other_labels_grow_by_levels(spark, frame, monkeypatch):
+    own = B.fit(frame, ["a", "b", "c"], "y", ["id"], PARAMS)
+    double = frame.withColumn("y", F.col("y") * 2)
+    assert not B.Booster(double, ["a", "b", "c"], "y", ["id"], "f").few_cells
+    monkeypatch.setattr(P, "MOST_CODES", 10)
+    levels = B.fit(frame, ["a", "b", "c"], "y", ["id"], PARAMS)
+    assert own.base == levels.base and [t.feature for t in own.trees] == [t.feature for t in levels.trees]
+
+
 def test_sums_are_exact_in_any_order():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 5, (400, 2)).astype(np.uint8)

@@ -574,8 +574,11 @@ def coded(df: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[float]
 def fit(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], params: Mapping | None = None,
         number: int = 0) -> BoostedTrees:
     """One model on all rows."""
-    b = Booster(df, features, label, key)
-    (t,), _ = b.grow([(number, dict(params or {}))], [-2])
+    b, settings = Booster(df, features, label, key), [(number, dict(params or {}))]
+    if b.few_cells:
+        trees = [Tree(**json.loads(r["tree"])) for r in b.grown(settings, [-2], True).collect()]
+        return BoostedTrees(list(features), b.cuts, b.base(-2, {**DEFAULTS, **settings[0][1]}), trees)
+    (t,), _ = b.grow(settings, [-2])
     return BoostedTrees(list(features), b.cuts, t.base[0], t.done[0])
 
 
