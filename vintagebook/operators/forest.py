@@ -113,13 +113,18 @@ class Binned:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` (without a column "features") with the model's columns."""
-        rows = self.vectors(binned(df, self.features, self.cuts), self.cuts)
-        return self.model.transform(rows).drop(*bin_columns(self.cuts))
+        return self._of_bins(binned(df, self.features, self.cuts))
+
+    def _of_bins(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.vectors(df, self.cuts)).drop(*bin_columns(self.cuts))
 
     def with_probability(self, df: DataFrame, out: str, positive_index: int) -> DataFrame:
+        return self.score_bins(binned(df, self.features, self.cuts), out, positive_index)
+
+    def score_bins(self, df: DataFrame, out: str, positive_index: int) -> DataFrame:
+        """:meth:`with_probability` of rows that have :func:`bin_columns` at their end, which are dropped."""
         from pyspark.ml.functions import vector_to_array
-        s = self.transform(df)
-        return s.withColumn(out, vector_to_array("probability")[positive_index]).drop(
+        return self._of_bins(df).withColumn(out, vector_to_array("probability")[positive_index]).drop(
             "features", "rawPrediction", "probability", "prediction")
 
 
@@ -274,7 +279,12 @@ class Forest:
         return votes / np.where(sums > 0, sums, 1)
 
     def with_probability(self, df: DataFrame, out: str, positive_index: int) -> DataFrame:
-        k, n = len(df.columns), len(self.cuts)
+        return self.score_bins(binned(df, self.features, self.cuts), out, positive_index)
+
+    def score_bins(self, df: DataFrame, out: str, positive_index: int) -> DataFrame:
+        """:meth:`with_probability` of rows that have :func:`bin_columns` at their end, which are dropped."""
+        n = len(self.cuts)
+        k = len(df.columns) - n
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[bytes, float] = {}  # the scores of the bins that the task has met
@@ -289,8 +299,8 @@ class Forest:
                 p = np.fromiter((known[x] for x in keys), np.float64, len(keys))
                 yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(p)], names=[*b.schema.names[:k], "_p"])
 
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), "_p double"])
-        return binned(df, self.features, self.cuts).mapInArrow(step, schema).withColumn(out, F.col("_p")).drop("_p")
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:k]), "_p double"])
+        return df.mapInArrow(step, schema).withColumn(out, F.col("_p")).drop("_p")
 
 
 def grow_forest(counted: DataFrame, features: Sequence[str], cuts: list[list[float]], n_trees: int, max_depth: int,

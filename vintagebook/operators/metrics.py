@@ -162,7 +162,12 @@ def _curve(cum: DataFrame, group_cols: Sequence[str], point: Column, start: Colu
 
 def average_precision(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Sum over thresholds of recall step x precision."""
-    c = cumulative_counts(df, score, label, group_cols)
+    return average_precision_of_counts(score_counts(df, score, label, group_cols), group_cols)
+
+
+def average_precision_of_counts(counts: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """:func:`average_precision` of (group..., score, n, pos, neg), one row per score."""
+    c = running_counts(counts, group_cols)
     return c.groupBy(*group_cols).agg(
         F.sum(F.try_divide(F.col("pos"), F.col("pos_total")) *
               F.try_divide(F.col("cum_pos"), F.col("cum_n"))).alias("average_precision"))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from . import boosting
 from .bounded import bounded_broadcast, with_row
-from .forest import Binned, Forest, cells, fit_binned, grow_forest, tree_cuts
-from .metrics import average_precision, roc_auc
+from .forest import Binned, Forest, bin_columns, cells, fit_binned, grow_forest, tree_cuts
+from .metrics import auc_of_counts, average_precision, average_precision_of_counts, roc_auc
+from .permuted import permuted_counts
 from .selection import first_by_hash
 
 FEATURES_COL = "features"
@@ -211,15 +212,31 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
                            metric: str = "average_precision") -> DataFrame:
     """Mean drop of ``metric`` ("average_precision" or "auc") when one feature is
     permuted over all rows, per feature over ``n_repeats`` permutations; all
-    features and repeats are scored and measured in one job."""
-    def measure(scored: DataFrame, by: Sequence[str]) -> DataFrame:
-        found = (roc_auc if metric == "auc" else average_precision)(scored, "score", label, by)
-        return found.select(*by, F.col("auc" if metric == "auc" else "average_precision").alias("_m"))
-
+    features and repeats are scored and measured in one job.  For a model of bins
+    the permuted rows are counted by their bins and only these counts are scored."""
     df = df.select(*features, label)
-    base = measure(score(model, df, features), []).withColumnRenamed("_m", "base_score")
-    many = score(model, permuted_frames(df, features, n_repeats, seed), features)
-    drops = with_row(measure(many.select("feature", "repeat", "score", label), ["feature", "repeat"]), base)
+    if isinstance(model, (Binned, Forest)):
+        rows, n = row_positions(df)
+        counts = permuted_counts(rows, n, model, features, label, n_repeats, seed)
+        bins = bin_columns(model.cuts)
+        scored = model.score_bins(counts.select("perm", "label", "n", *bins), "score", 1)
+        y, of = F.col("label"), F.col("n")
+        scored = scored.filter("score is not null").groupBy("perm", "score").agg(
+            F.sum("n").alias("n"), F.sum(y * of).alias("pos"), F.sum((1 - y) * of).alias("neg"))
+        measured = auc_of_counts(scored, ["perm"]) if metric == "auc" else average_precision_of_counts(scored, ["perm"])
+        measured = checkpointed(measured.withColumnRenamed("auc" if metric == "auc" else "average_precision", "_m"))
+        base = measured.filter("perm = 0").select(F.col("_m").alias("base_score"))
+        names = F.array(*[F.lit(f) for f in features])
+        feature = F.get(names, F.floor((F.col("perm") - 1) / n_repeats).cast("int"))
+        drops = with_row(measured.filter("perm > 0").select(feature.alias("feature"), "_m"), base)
+    else:
+        def measure(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+            found = (roc_auc if metric == "auc" else average_precision)(scored, "score", label, by)
+            return found.select(*by, F.col("auc" if metric == "auc" else "average_precision").alias("_m"))
+
+        base = measure(score(model, df, features), []).withColumnRenamed("_m", "base_score")
+        many = score(model, permuted_frames(df, features, n_repeats, seed), features)
+        drops = with_row(measure(many.select("feature", "repeat", "score", label), ["feature", "repeat"]), base)
     return drops.groupBy("feature").agg(F.avg(F.col("base_score") - F.col("_m")).alias("importance"),
                                         F.first("base_score").alias("base_score")).orderBy(F.desc("importance"), "feature")
 
